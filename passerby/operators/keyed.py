@@ -17,7 +17,7 @@ def stale_keys(old: DataFrame, new: DataFrame, keys: list[str] = SESSION_KEYS) -
 
 def delete_keys(target: DataFrame, stale: DataFrame, keys: list[str] = SESSION_KEYS) -> DataFrame:
     """``target`` without the rows whose key is in ``stale``."""
-    return target.join(stale.select(*keys), keys, "left_anti")
+    return target.join(stale.select(*keys), keys, "left_anti").select(target.columns)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str] = SESSION_KEYS) -> DataFrame:

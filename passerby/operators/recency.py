@@ -14,51 +14,72 @@ DAY_SECONDS = 24 * 60 * 60
 VISITOR = ["entityid", "clientmac"]
 
 
+def _statistics(daily: DataFrame, counted: dict[str, Column]) -> DataFrame:
+    """Adds the statistics of each stem over the rows of a visitor that its condition counts."""
+    visitor = Window.partitionBy(*VISITOR)
+    by_day, by_month = visitor.orderBy("day"), visitor.orderBy("ufirstday")
+    this_month = by_month.rangeBetween(Window.currentRow, Window.currentRow)
+    months_before = by_month.rangeBetween(Window.unboundedPreceding, -1)
+
+    def count(stem: str, window) -> Column:
+        return F.count(F.when(counted[stem], 1)).over(window)
+
+    def each(columns) -> dict[str, Column]:
+        return {name: column for stem in counted for name, column in columns(stem).items()}
+
+    def month(stem: str) -> dict[str, Column]:
+        return {f"{stem}_month": F.when(counted[stem], count(stem, this_month))}
+
+    def previous_month(stem: str) -> dict[str, Column]:
+        # The last counted row before this month lies in the previous active one.
+        before = F.last(f"{stem}_month", ignorenulls=True).over(months_before)
+        return {f"{stem}sPrevMonth": F.coalesce(before, F.lit(0).cast("bigint"))}
+
+    def rolling(stem: str) -> dict[str, Column]:
+        return {
+            f"{stem}s{days}": count(stem, by_day.rangeBetween(1 - days, Window.currentRow))
+            for days in (30, 7)
+        }
+
+    def ever(stem: str) -> dict[str, Column]:
+        day, title = F.when(counted[stem], F.col("utoday")), stem.capitalize()
+        return {
+            f"First{title}": F.min(day).over(visitor),
+            f"Last{title}": F.max(day).over(visitor),
+            f"{stem}s": count(stem, visitor),
+        }
+
+    rows = daily.withColumn("day", day_number(F.col("utoday")))
+    for step in (month, previous_month, rolling, ever):
+        rows = rows.withColumns(each(step))
+    return rows
+
+
 def recency(daily: DataFrame, stem: str) -> DataFrame:
     """Visit statistics beside each daily row, named after ``stem`` ("visit" or "indoor").
 
     30-day and 7-day counts end with the row's own day. The previous month is
     the last earlier month with any row, and 0 where there is none.
     """
-    visitor = Window.partitionBy(*VISITOR)
-    by_day = visitor.orderBy("day")
-    by_month = visitor.orderBy("ufirstday")
-    this_month = F.count(F.lit(1)).over(by_month.rangeBetween(Window.currentRow, Window.currentRow))
-    # The last row before this month lies in the previous active one.
-    before = F.last("month_rows").over(by_month.rangeBetween(Window.unboundedPreceding, -1))
     title = stem.capitalize()
-    counted = (
-        daily.withColumn("day", day_number(F.col("utoday")))
-        .withColumn("month_rows", this_month)
-        .withColumn(f"{stem}sPrevMonth", F.coalesce(before, F.lit(0).cast("bigint")))
-        .withColumns({
-            f"{stem}s30": F.count(F.lit(1)).over(by_day.rangeBetween(-29, Window.currentRow)),
-            f"{stem}s7": F.count(F.lit(1)).over(by_day.rangeBetween(-6, Window.currentRow)),
-        })
-        .withColumns({
-            f"First{title}": F.min("utoday").over(visitor),
-            f"Last{title}": F.max("utoday").over(visitor),
-            f"{stem}s": F.count(F.lit(1)).over(visitor),
-        })
-    )
     seconds = [F.col("seconds").alias("secondsbyday")] if "seconds" in daily.columns else []
-    return counted.select(
+    return _statistics(daily, {stem: F.lit(True)}).select(
         *VISITOR, "utoday", "ufirstday", *seconds, f"{stem}s30", f"{stem}s7",
         f"First{title}", f"Last{title}", f"{stem}s", f"{stem}sPrevMonth",
     )
 
 
-def recency_as_of(daily_with_recency: DataFrame, as_of_day: int | Column,
-                  stem: str = "indoor") -> DataFrame:
+def recency_as_of(daily_with_recency: DataFrame, as_of_day: int | Column, stem: str = "indoor",
+                  counted: Column | None = None) -> DataFrame:
     """Adds how many of a visitor's days are less than 7 and 30 days before ``as_of_day``.
 
     Days after ``as_of_day`` count too.
     """
-    age = (F.lit(as_of_day) - F.col("utoday"))
+    age = F.lit(as_of_day) - F.col("utoday")
+    counted = F.lit(True) if counted is None else counted
     visitor = Window.partitionBy(*VISITOR)
     return daily_with_recency.withColumns({
-        f"r_{stem}s{days}":
-            F.count(F.when(age < days * DAY_SECONDS, 1)).over(visitor)
+        f"r_{stem}s{days}": F.count(F.when(counted & (age < days * DAY_SECONDS), 1)).over(visitor)
         for days in (7, 30)
     })
 
@@ -91,6 +112,30 @@ def footfall_report(flow_recency: DataFrame, indoor_recency: DataFrame) -> DataF
     )
 
 
+def visitor_report(flow: DataFrame, indoor: DataFrame, as_of_day: int | Column) -> DataFrame:
+    """The same report straight from the daily tables, with one shuffle and no join.
+
+    Flow and indoor days of a visitor meet in the same windows; the stay of a
+    day is what a window over that one day holds.
+    """
+    stayed = F.col("seconds").isNotNull()
+    key = [*VISITOR, "utoday", "ufirstday"]
+    days = flow.select(*key, F.lit(None).cast("bigint").alias("seconds")).unionByName(
+        indoor.select(*key, F.col("seconds").cast("bigint").alias("seconds"))
+    )
+    counted = recency_as_of(
+        _statistics(days, {"visit": ~stayed, "indoor": stayed}), as_of_day, counted=stayed,
+    )
+    today = Window.partitionBy(*VISITOR).orderBy("day").rangeBetween(0, 0)
+    with_stay = counted.withColumn("secondsbyday", F.sum("seconds").over(today)).filter(~stayed)
+    here = F.col("secondsbyday").isNotNull()
+    return with_stay.select(
+        *key,
+        *[F.when(here, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c) for c in INDOOR_MEASURES],
+        *FLOW_MEASURES,
+    )
+
+
 def client_profile(report: DataFrame) -> DataFrame:
     """The latest report row of each visitor, first and last days as dates."""
     def latest(c: str) -> Column:

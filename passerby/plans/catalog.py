@@ -137,6 +137,11 @@ def recency_indoor(t: Tables) -> DataFrame:
 
 @_query
 def footfall_report(t: Tables) -> DataFrame:
+    return recency.visitor_report(t.flow_days(), t.indoor_days(), AS_OF_DAY)
+
+
+@_query
+def footfall_report_joined(t: Tables) -> DataFrame:
     return recency.footfall_report(recency_flow(t), recency_indoor(t))
 
 

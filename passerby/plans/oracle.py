@@ -205,6 +205,7 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT entityid, clientmac, utoday, ufirstday, secondsbyday, {_INDOOR},
                    r_indoors7, r_indoors30 FROM indoor_as_of"""),
         "footfall_report": _with(_REPORT, "SELECT * FROM report"),
+        "footfall_report_joined": _with(_REPORT, "SELECT * FROM report"),
         "client_profile": _with(_REPORT, """
             SELECT entityid, clientmac,
                    CAST(to_timestamp(FirstVisit) AT TIME ZONE 'UTC' AS DATE) AS FirstVisit,
@@ -231,6 +232,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE ts < TIMESTAMP '{NOW}' AND ts > TIMESTAMP '{NOW}' - INTERVAL 1 DAY"""),
         "zone_heatmap": _with(f"{_SIGHTED} zones", _counted(
             "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END")),
+        # A sketch of as few devices as a window of the tables has is exact.
+        "zone_heatmap_approx": _with(f"{_SIGHTED} zones", _counted(
+            "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END")),
         "zone_heatmap_tagged": _with(f"{_SIGHTED} zones", _counted(
             "(mac || CASE WHEN indoor THEN '|1' ELSE '|0' END)",
             "(mac || CASE WHEN away THEN '|1' ELSE '|0' END)",

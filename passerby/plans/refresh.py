@@ -4,10 +4,11 @@ from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
 from passerby.operators.keyed import merge_probes, stale_keys
-from passerby.operators.recency import footfall_report, recency_flow, recency_indoor
+from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
 from passerby.schemas import DAY_KEYS, SESSION_KEYS
 from passerby.session import cut_lineage
@@ -29,7 +30,13 @@ def touched_days(increment: DataFrame) -> DataFrame:
 
 
 def of_days(df: DataFrame, days: DataFrame) -> DataFrame:
-    return df.join(broadcast_if_small(days), DAY_KEYS, "left_semi")
+    """Rows of ``df`` filed under one of ``days``.
+
+    The range of the days is known when the scan starts, so of a table stored by
+    day only the partitions in it are read.
+    """
+    first, last = (days.agg(bound("file_day")).scalar() for bound in (F.min, F.max))
+    return df.filter(F.col("file_day").between(first, last)).join(days, DAY_KEYS, "left_semi")
 
 
 def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
@@ -39,7 +46,7 @@ def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
     ``tombstones`` are the keys published for those days that no longer exist.
     Duplicates need no removal first: sessions and flow are the same with them.
     """
-    days = touched_days(increment)
+    days = broadcast_if_small(touched_days(increment))
     probes = of_days(history, days).unionByName(increment)
     sessions = sessionize(probes, thresholds)
     return Refresh(
@@ -59,7 +66,7 @@ def publish_refresh(spark: SparkSession, increment: DataFrame, thresholds: DataF
     again changes nothing: the history comes last and merging ignores repeats.
     """
     increment = increment.select(*DAY_KEYS, "clientmac", "stime", "flag")
-    days = cut_lineage(touched_days(increment))
+    days = broadcast_if_small(cut_lineage(touched_days(increment)))
     history = of_days(_stored(spark, f"{root}/t_cf", read_stored_probes, increment), days)
     probes = cut_lineage(merge_probes(history.select(increment.columns), increment))
     sessions = cut_lineage(sessionize(probes, thresholds))
@@ -84,7 +91,6 @@ def _stored(spark: SparkSession, path: str, read, like: DataFrame) -> DataFrame:
 
 def daily_report(spark: SparkSession, root: str, as_of_day: int) -> DataFrame:
     """The visitor report over all published days under ``root``."""
-    return footfall_report(
-        recency_flow(read_flow_daily(spark, f"{root}/flow")),
-        recency_indoor(read_indoor_daily(spark, f"{root}/indoor"), as_of_day),
+    return visitor_report(
+        read_flow_daily(spark, f"{root}/flow"), read_indoor_daily(spark, f"{root}/indoor"), as_of_day,
     )

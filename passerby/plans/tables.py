@@ -48,7 +48,7 @@ class Tables:
     def indoor_sightings(self) -> DataFrame:
         """Probes with flag 1 and the leave time of their venue, as the live feed has them."""
         known = self.thresholds().select("entityid", "leave_seconds")
-        return self.probes().filter(F.col("flag") == 1).join(F.broadcast(known), "entityid").select(
+        return self.probes().filter(F.col("flag") == 1).join(known, "entityid").select(
             "entityid", "clientmac", "stime", "leave_seconds"
         )
 
@@ -59,7 +59,7 @@ class Tables:
             (-20 - F.col("s_suppkey") % 10).cast("int").alias("rssi"),
             (-60 - F.col("s_suppkey") % 10).cast("int").alias("nearbyrssi"),
         )
-        return bounds.join(F.broadcast(self.thresholds()), "entityid").select(
+        return bounds.join(self.thresholds(), "entityid").select(
             "apmac", "entityid", "rssi", "nearbyrssi", "indoor_seconds", "leave_seconds"
         )
 

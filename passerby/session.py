@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName("passerby")
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",

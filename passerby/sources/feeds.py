@@ -33,10 +33,8 @@ def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str]
     ``types`` names those that are not text; a field that is missing or does
     not convert is null. ``upper`` names those to put in upper case.
     """
-    parts = F.split(F.col(value), ",")
-
     def field(name: str):
-        text = F.trim(F.get(parts, F.lit(positions[name])))
+        text = F.trim(F.get("parts", F.lit(positions[name])))
         if name in upper:
             text = F.upper(text)
         if types and name in types:
@@ -45,7 +43,9 @@ def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str]
                 else text.try_cast(kind)
         return text.alias(name)
 
-    return df.select(*[field(name) for name in positions])
+    return df.select(F.split(F.col(value), ",").alias("parts")).select(
+        *[field(name) for name in positions]
+    )
 
 
 def parse_raw_feed(lines: DataFrame) -> DataFrame:

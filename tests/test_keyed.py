@@ -1,0 +1,142 @@
+import random
+
+from helpers import frame, probes, rows, thresholds
+from passerby.operators.keyed import delete_keys, merge_probes, stale_keys, upsert
+from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
+from passerby.plans.refresh import daily_report, publish_refresh, refresh_days
+from passerby.sources.tables import (
+    read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days, write_new,
+    write_table,
+)
+
+SESSION = "clientmac string, entityid int, etime long, ltime long, seconds long"
+COLUMNS = ["clientmac", "entityid", "etime", "ltime", "seconds"]
+
+
+def stays(spark, *etimes, seconds=10):
+    return frame(spark, SESSION, *[("a", 1, t, t + seconds, seconds) for t in etimes])
+
+
+def test_stale_keys(spark):
+    old, new = stays(spark, 10, 20, 30), stays(spark, 20, 30, 40, seconds=15)
+    stale = stale_keys(old, new)
+    assert rows(stale, "etime") == [(10,)]
+    final = upsert(delete_keys(old, stale), new)
+    assert rows(final, "etime", "seconds") == [(20, 15), (30, 15), (40, 15)]
+
+
+def test_everything_is_stale_after_an_empty_recompute(spark):
+    assert rows(stale_keys(stays(spark, 10, 20), stays(spark, 1).filter("false")), "etime") == [(10,), (20,)]
+
+
+def test_stale_keys_come_once(spark):
+    assert rows(stale_keys(stays(spark, 10, 10), stays(spark, 20)), "etime") == [(10,)]
+
+
+def test_merge_keeps_each_row_once(spark):
+    a = probes(spark, ("a", 1, 1), ("a", 1, 1), ("a", 2, 1))
+    b = probes(spark, ("a", 2, 1), ("a", 2, 0))
+    assert rows(merge_probes(a, b), "stime", "flag") == [(1, 1), (2, 0), (2, 1)]
+
+
+def _day(spark, seed, n=300):
+    rng = random.Random(seed)
+    return probes(spark, *[(rng.choice("abcd"), rng.randrange(1, 86400), rng.randrange(4) and 1)
+                           for _ in range(n)])
+
+
+def test_any_split_of_a_day_refreshes_to_the_whole(spark):
+    limits = thresholds(spark)
+    for seed in range(2):
+        day = _day(spark, seed)
+        history, increment = day.filter("hash(stime) % 3 = 0"), day.filter("hash(stime) % 3 <> 0")
+        published = sessionize(history, limits)
+        result = refresh_days(history, increment, published, limits)
+        whole = sessionize(day, limits)
+        assert rows(result.sessions) == rows(whole)
+        assert rows(result.indoor_daily) == rows(indoor_daily(whole))
+        assert rows(result.flow_daily) == rows(flow_daily(day))
+        # Deleting the tombstones and upserting is the same as replacing the day.
+        final = upsert(delete_keys(published, result.tombstones), result.sessions)
+        assert rows(final) == rows(whole)
+
+
+def test_other_days_stay_as_they_are(spark):
+    limits = thresholds(spark)
+    history = probes(spark, ("a", 100, 1), ("a", 200, 1)).union(
+        probes(spark, ("a", 86400 + 100, 1), ("a", 86400 + 200, 1), day=86400))
+    increment = probes(spark, ("a", 86400 + 250, 1), day=86400)
+    result = refresh_days(history, increment, sessionize(history, limits), limits)
+    assert rows(result.sessions, "etime", "ltime") == [(86500, 86650)]
+    assert rows(result.tombstones) == []
+
+
+def test_written_days_are_replaced_and_emptied(spark, tmp_path):
+    path = str(tmp_path / "days")
+    limits = thresholds(spark)
+    first = probes(spark, ("a", 100, 1), ("a", 200, 1)).union(
+        probes(spark, ("a", 86400 + 100, 1), ("a", 86400 + 200, 1), day=86400))
+    write_days(sessionize(first, limits), path)
+    assert rows(read_sessions(spark, path), "etime") == [(100,), (86500,)]
+    processed = frame(spark, "entityid int, file_day long", (1, 86400))
+    write_days(sessionize(first.filter("false"), limits), path, processed)
+    assert rows(read_sessions(spark, path), "etime", "file_day") == [(100, 0)]
+    again = probes(spark, ("b", 50, 1), ("b", 90, 1))
+    write_days(sessionize(again, limits), path, frame(spark, "entityid int, file_day long", (1, 0)))
+    assert rows(read_sessions(spark, path), "clientmac", "etime") == [("b", 50)]
+
+
+def test_published_refresh(spark, tmp_path):
+    root = str(tmp_path)
+    limits = thresholds(spark)
+    day = probes(spark, ("a", 1000, 1), ("a", 1100, 1), ("a", 5000, 1), ("a", 5100, 1))
+    publish_refresh(spark, day, limits, root, "r1")
+    assert rows(read_sessions(spark, f"{root}/rec_indoor"), "etime", "ltime") == [(1000, 1100), (5000, 5100)]
+    assert spark.read.parquet(f"{root}/tombstones/r1").count() == 0
+    # An earlier sighting moves the first session's start.
+    more = probes(spark, ("a", 900, 1), ("b", 70, 0)).union(
+        probes(spark, ("c", 86400 + 5, 1), ("c", 86400 + 65, 1), day=86400))
+    publish_refresh(spark, more, limits, root, "r2")
+    publish_refresh(spark, more, limits, root, "r3")
+    assert rows(read_sessions(spark, f"{root}/rec_indoor"), "clientmac", "etime", "ltime") == \
+        [("a", 900, 1100), ("a", 5000, 5100), ("c", 86405, 86465)]
+    assert rows(spark.read.parquet(f"{root}/tombstones/r2"), "etime") == [(1000,)]
+    assert spark.read.parquet(f"{root}/tombstones/r3").count() == 0
+    assert rows(read_indoor_daily(spark, f"{root}/indoor"), "clientmac", "etime", "seconds") == \
+        [("a", 900, 300), ("c", 86405, 60)]
+    assert rows(read_flow_daily(spark, f"{root}/flow"), "clientmac", "etime") == \
+        [("a", 900), ("b", 70), ("c", 86405)]
+    assert read_stored_probes(spark, f"{root}/t_cf").count() == 8
+    report = daily_report(spark, root, 86400 * 2)
+    assert rows(report, "clientmac", "secondsbyday", "visits", "r_indoors7") == \
+        [("a", 300, 1, 1), ("b", 0, 1, 0), ("c", 60, 1, 1)]
+
+
+def test_history_of_other_days_is_not_read(spark, tmp_path):
+    from passerby.plans.refresh import of_days, touched_days
+
+    path = str(tmp_path / "t_cf")
+    for d in range(4):
+        write_days(probes(spark, ("a", d * 86400 + 9, 1), day=d * 86400), path)
+    days = touched_days(probes(spark, ("a", 86400 + 9, 1), day=86400))
+    kept = of_days(read_stored_probes(spark, path), days)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    pruning = plan[plan.index("PartitionFilters"):]
+    assert "file_day" in pruning[:pruning.index("]")] and "ubquery" in pruning[:pruning.index("]")]
+    assert rows(kept, "stime") == [(86409,)]
+
+
+def test_new_place_and_managed_table(spark, tmp_path):
+    path = str(tmp_path / "new")
+    write_new(stays(spark, 1), path)
+    assert spark.read.parquet(path).count() == 1
+    try:
+        write_new(stays(spark, 1), path)
+        raise AssertionError("must not write where there is something")
+    except Exception as error:
+        assert "PATH_ALREADY_EXISTS" in str(error)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS made LOCATION '{tmp_path}/made'")
+    write_table(stays(spark, 1, 2), "made.report")
+    write_table(stays(spark, 3), "made.report")
+    assert rows(spark.table("made.report"), "etime") == [(3,)]
+    spark.sql("DROP DATABASE made CASCADE")

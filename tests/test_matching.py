@@ -1,0 +1,97 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import frame, rows
+from passerby.functions.sizes import broadcast_if_small
+from passerby.operators.dimensions import ap_dimension, entity_thresholds
+from passerby.operators.heatmap import zone_heatmap
+from passerby.operators.matching import (
+    fresh_as_of, fresh_sightings, latest_sighting, match_access_points,
+)
+
+AP = "apmac string, entityid int, rssi int, nearbyrssi int, indoor_seconds long, leave_seconds long"
+
+
+def ap(spark, *items):
+    return frame(spark, AP, *(items or [("p", 1, -20, -60, 10, 300)]))
+
+
+def seen(spark, *items):
+    """(mac, rssi, second) at access point p."""
+    df = frame(spark, "mac string, rssi int, stime long", *items)
+    return df.select(F.lit("p").alias("apmac"), "*", F.timestamp_seconds("stime").alias("ts"))
+
+
+def test_threshold_defaults(spark):
+    entities = frame(spark, "entityid int, indoor_threshold int, leave_threshold int",
+                     (1, 0, 0), (2, 20, 5), (3, 0, 1), (4, None, None))
+    assert rows(entity_thresholds(entities)) == [(1, 10, 300), (2, 20, 300), (3, 10, 60), (4, 10, 300)]
+
+
+def test_access_point_dimension(spark):
+    got = ap_dimension(
+        frame(spark, "id int, indoorrssi int, flag int, nearbyrssi int",
+              (1, -20, 0, -60), (2, -30, 90, -60), (3, -40, 89, -70)),
+        frame(spark, "vboxid int, apmac string, flag int", (1, "ab", 1), (1, "ac", 0), (2, "ad", 1), (3, "ae", 1)),
+        frame(spark, "id int, indoor_threshold int, leave_threshold int, flags int",
+              (7, 0, 0, 0), (8, 20, 2, 89), (9, 20, 2, 90)),
+        frame(spark, "entityid int, vboxid int", (7, 1), (8, 1), (9, 1), (7, 2), (8, 3), (8, 3)),
+    )
+    assert rows(got, "entityid", "rssi", "nearbyrssi", "apmac", "indoor_seconds", "leave_seconds") == [
+        (7, -20, -60, "AB", 10, 300), (8, -40, -70, "AE", 20, 120), (8, -20, -60, "AB", 20, 120),
+    ]
+
+
+def test_signal_bounds(spark):
+    s = seen(spark, ("at", -20, 1), ("positive", 5, 1), ("near", -19, 1), ("zero", 0, 1))
+    assert rows(match_access_points(s, ap(spark)), "mac") == [("near",), ("zero",)]
+    assert rows(match_access_points(s, ap(spark), inclusive=True), "mac") == [("at",), ("near",), ("zero",)]
+    any_sign = match_access_points(s, ap(spark), inclusive=True, refuse_positive=False)
+    assert rows(any_sign, "mac") == [("at",), ("near",), ("positive",), ("zero",)]
+
+
+def test_one_access_point_serves_many_venues(spark):
+    many = ap(spark, ("p", 1, -20, -60, 10, 300), ("p", 2, -5, -60, 10, 300), ("q", 3, -20, -60, 10, 300))
+    got = match_access_points(seen(spark, ("a", -10, 1), ("a", -3, 5)), many)
+    assert rows(got, "entityid", "rssi") == [(1, -10), (1, -3), (2, -3)]
+    assert rows(latest_sighting(got), "mac", "entityid", "updatingtime") == [("a", 1, 5), ("a", 2, 5)]
+
+
+def test_freshness(spark):
+    s = seen(spark, ("kept", -1, 1000), ("late", -1, 1000))
+    delay = F.when(F.col("mac") == "kept", 299).otherwise(300)
+    arriving = s.withColumn("arrival", F.timestamp_seconds(F.col("stime") + delay))
+    assert rows(fresh_sightings(arriving, "ts", "arrival"), "mac") == [("kept",)]
+    aged = seen(spark, ("a", -1, 700), ("b", -1, 701), ("c", -1, 999), ("d", -1, 1000))
+    now = F.timestamp_seconds(F.lit(1000))
+    assert rows(fresh_as_of(aged, "ts", now), "mac") == [("b",), ("c",)]
+
+
+ZONES = [("A", -10, 0), ("A", -70, 1), ("B", -50, 2), ("C", -80, 299)]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_zones(spark, exact):
+    s = seen(spark, *ZONES, ("A", -10, 300), ("A", None, 600), (None, -10, 600))
+    def counts(mode):
+        return [tuple(r)[1:] for r in rows(zone_heatmap(s, ap(spark), mode=mode, exact=exact).select(
+            F.unix_timestamp("starttime").alias("t"), "indoors", "aways", "visits"))]
+    assert counts("matching") == [(1, 2, 1), (1, 0, 0), (0, 0, 0)]
+    assert counts("tagged") == [(4, 4, 3), (1, 1, 1), (1, 1, 1)]
+    with pytest.raises(ValueError):
+        zone_heatmap(s, ap(spark), mode="other")
+
+
+def test_approximate_zones_stay_close(spark):
+    s = spark.range(40000).select(
+        F.lit("p").alias("apmac"), F.col("id").cast("string").alias("mac"),
+        F.lit(-10).alias("rssi"), F.timestamp_seconds(F.lit(5)).alias("ts"))
+    got = zone_heatmap(s, ap(spark), exact=False).first()
+    assert abs(got["indoors"] - 40000) < 0.03 * 40000 and got["aways"] == 0
+
+
+def test_only_a_counted_side_is_broadcast(spark):
+    def hinted(rows_allowed):
+        plan = broadcast_if_small(ap(spark, ("p", 1, -1, -1, 1, 1), ("q", 1, -1, -1, 1, 1)), rows_allowed)
+        return "ResolvedHint (strategy=broadcast)" in plan._jdf.queryExecution().analyzed().toString()
+    assert hinted(2) and not hinted(1)

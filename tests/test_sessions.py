@@ -1,0 +1,146 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import frame, probes, rows, sightings, thresholds
+from passerby.operators.sessions import (
+    closed_visits, flow_daily, indoor_daily, live_visits_batch, sessionize,
+)
+
+SPAN = ("etime", "ltime", "seconds")
+TIMES = [1000, 1100, 2000, 2050, 3000, 3020]
+ALL = [(1000, 1100, 100), (2000, 2050, 50), (3000, 3020, 20)]
+
+
+def test_edges(spark):
+    p = probes(spark, *[("a", t, 1) for t in TIMES])
+    assert rows(sessionize(p, thresholds(spark)), *SPAN) == ALL
+    assert rows(sessionize(p, thresholds(spark), edges="drop"), *SPAN) == [(2000, 2050, 50)]
+    with pytest.raises(ValueError):
+        sessionize(p, thresholds(spark), edges="some")
+
+
+def test_gap_of_exactly_the_leave_time(spark):
+    p = probes(spark, *[("a", t, 1) for t in (0, 300, 599, 1500)])
+    options = {"day_scoped": False, "min_seconds": None}
+    loose = sessionize(p.withColumn("stime", F.col("stime") + 7000), thresholds(spark), **options)
+    strict = sessionize(p.withColumn("stime", F.col("stime") + 7000), thresholds(spark),
+                        strict_gap=True, **options)
+    assert [(a - 7000, b - 7000) for a, b in rows(loose, "etime", "ltime")] == \
+        [(0, 0), (300, 599), (1500, 1500)]
+    assert [(a - 7000, b - 7000) for a, b in rows(strict, "etime", "ltime")] == [(0, 599), (1500, 1500)]
+
+
+def test_duplicates_and_flag(spark):
+    p = probes(spark, *[("a", t, 1) for t in TIMES * 2], ("a", 1050, 0), ("a", 1500, 0))
+    assert rows(sessionize(p, thresholds(spark)), *SPAN) == ALL
+    assert rows(flow_daily(p), "etime", "ltime") == [(1000, 3020)]
+    assert p.distinct().count() == 8
+
+
+def test_day_bounds(spark):
+    day = 86400 * 10
+    p = probes(spark, ("a", day, 1), ("a", day + 20, 1), ("b", day + 86399, 1), ("b", day + 86400, 1),
+               day=day)
+    assert rows(sessionize(p, thresholds(spark))) == []
+    assert rows(flow_daily(p), "clientmac", "etime", "ltime") == \
+        [("a", day + 20, day + 20), ("b", day + 86399, day + 86399)]
+
+
+def test_session_may_end_after_its_day(spark):
+    day = 86400
+    p = probes(spark, ("a", day + 86390, 1), ("a", day + 86500, 1), day=day)
+    assert rows(sessionize(p, thresholds(spark)), *SPAN) == [(day + 86390, day + 86500, 110)]
+
+
+def test_minimum_length(spark):
+    p = probes(spark, ("a", 100, 1), ("a", 109, 1), ("b", 100, 1), ("b", 110, 1))
+    assert rows(sessionize(p, thresholds(spark)), "clientmac") == [("b",)]
+    assert rows(sessionize(p, thresholds(spark), min_seconds=5), "clientmac") == [("a",), ("b",)]
+    assert rows(sessionize(p, thresholds(spark), min_seconds=11), "clientmac") == []
+
+
+def test_unknown_venue_has_the_defaults(spark):
+    p = probes(spark, ("a", 100, 1), ("a", 399, 1), ("a", 699, 1))
+    assert rows(sessionize(p, thresholds(spark, entity=2)), *SPAN) == [(100, 399, 299)]
+
+
+def test_empty_input(spark):
+    p = probes(spark, ("a", 100, 1)).filter("false")
+    assert rows(sessionize(p, thresholds(spark))) == []
+    assert rows(indoor_daily(sessionize(p, thresholds(spark)))) == []
+    assert rows(flow_daily(p)) == []
+    assert rows(live_visits_batch(sightings(spark, [1]).filter("false"))) == []
+
+
+def test_daily_rollup(spark):
+    p = probes(spark, *[("a", t, 1) for t in TIMES])
+    daily = indoor_daily(sessionize(p, thresholds(spark)))
+    assert rows(daily, "clientmac", "entityid", "etime", "ltime", "seconds", "utoday", "ufirstday") == \
+        [("a", 1, 1000, 3020, 170, 0, 0)]
+
+
+def test_daily_seconds_are_the_sum_of_session_seconds(spark):
+    rng = random.Random(3)
+    p = probes(spark, *[(rng.choice("abc"), rng.randrange(1, 86400), 1) for _ in range(400)])
+    s = sessionize(p, thresholds(spark))
+    total = s.agg(F.sum("seconds")).first()[0]
+    assert total and indoor_daily(s).agg(F.sum("seconds")).first()[0] == total
+
+
+def by_hand(times, leave, strict):
+    stays = []
+    for t in sorted(set(times)):
+        if stays and (t - stays[-1][1] <= leave if strict else t - stays[-1][1] < leave):
+            stays[-1][1] = t
+        else:
+            stays.append([t, t])
+    return [(a, b) for a, b in stays]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("strict", [False, True])
+def test_stays_against_a_loop(spark, seed, strict):
+    rng = random.Random(seed)
+    leave = rng.choice([60, 90, 300])
+    times = {mac: [rng.randrange(-2000, 9000) for _ in range(120)] for mac in "ab"}
+    p = probes(spark, *[(mac, t, 1) for mac in times for t in times[mac]])
+    ours = sessionize(p, thresholds(spark, leave=leave), strict_gap=strict, day_scoped=False,
+                      min_seconds=None)
+    expected = sorted((mac, a, b) for mac in times for a, b in by_hand(times[mac], leave, strict) if b > 0)
+    assert rows(ours, "clientmac", "etime", "ltime") == expected
+
+
+def test_live_visits_leave_the_last_open(spark):
+    live = live_visits_batch(sightings(spark, [1000, 1100, 1400, 2000, 3000]))
+    assert rows(live, "etime", "ltime", "seconds", "done") == \
+        [(1000, 1100, 100, 1), (1400, 1400, 0, 1), (2000, 2000, 0, 1), (3000, 3000, 0, 0)]
+
+
+def test_closed_visits(spark):
+    closed = closed_visits(sightings(spark, [1000, 1100, 1050, 1400, 1350, 2000, 3000]))
+    assert rows(closed, *SPAN) == [(1000, 1400, 400), (2000, 2000, 5)]
+
+
+def test_venues_are_told_apart_by_their_whole_number(spark):
+    both = sightings(spark, [1000], entity=100).union(sightings(spark, [1010], entity=10))
+    assert rows(live_visits_batch(both), "entityid", "etime", "done") == [(10, 1010, 0), (100, 1000, 0)]
+
+
+def test_leave_time_of_each_sighting(spark):
+    mixed = frame(spark, "entityid int, clientmac string, stime long, leave_seconds long",
+                  (1, "a", 1000, 60), (1, "a", 1100, 600), (1, "a", 1170, 60), (1, "a", 1180, 600))
+    assert rows(live_visits_batch(mixed), "etime", "ltime") == [(1000, 1100), (1170, 1180)]
+
+
+def test_short_leave_times_need_a_smaller_slot(spark):
+    quick = sightings(spark, [0, 5, 20], leave=10)
+    with pytest.raises(Exception, match="slot_seconds"):
+        live_visits_batch(quick).collect()
+    assert rows(live_visits_batch(quick, slot_seconds=0), "etime", "ltime") == [(0, 5), (20, 20)]
+
+
+def test_zero_leave_time_parts_every_moment(spark):
+    zero = sightings(spark, [5, 5, 6], leave=0)
+    assert rows(live_visits_batch(zero, slot_seconds=0), "etime", "done") == [(5, 1), (6, 0)]
