@@ -11,24 +11,24 @@ MEGABYTE = 1024 * 1024
 PROCESSED = "0-ProcessincFile"
 
 
-def _in_listing_order(folders: DataFrame) -> DataFrame:
-    """``folder, position`` from 0 in name order, without sorting all names in one task.
+def _numbered(folders: DataFrame) -> DataFrame:
+    """``folders`` with their position in name order and their number, without one task for all.
 
-    The range-partitioned names are kept on reliable storage: parts counted in
-    one pass and numbered in another have to be the same parts.
+    The sorted rows are kept on reliable storage: parts counted in one pass and
+    numbered in another have to be the same parts.
     """
-    parts = cut_lineage(
-        folders.select("folder").distinct().orderBy("folder")
-        .withColumn("part", F.spark_partition_id())
-    )
+    parts = cut_lineage(folders.orderBy("folder").withColumn("part", F.spark_partition_id()))
     # One row per part: as many as the sort had tasks.
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("part").agg(F.count(F.lit(1)).alias("names")).select(
-        "part", F.coalesce(F.sum("names").over(earlier), F.lit(0)).alias("offset")
+    offsets = parts.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).select(
+        "part",
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"),
+        F.sum("rows").over(every).alias("total"),
     )
     within = F.row_number().over(Window.partitionBy("part").orderBy("folder"))
-    return parts.join(broadcast_if_small(offsets), "part").select(
-        "folder", (F.col("offset") + within - 1).alias("position")
+    return parts.withColumn("within", within).join(broadcast_if_small(offsets), "part").withColumn(
+        "position", F.col("offset") + F.col("within") - 1
     )
 
 
@@ -43,11 +43,9 @@ def ingest_backlog(files: DataFrame, groups: int = 6) -> DataFrame:
         F.count("path").alias("files"),
         F.coalesce(F.sum(F.when(F.col("path").isNotNull(), F.col("length"))), F.lit(0)).alias("bytes"),
     )
-    total = folders.agg(F.count(F.lit(1)))
-    ordered = _in_listing_order(folders)
-    size = F.floor(total.scalar() / F.lit(groups)) + 1
+    size = F.floor(F.col("total") / groups) + 1
     return (
-        folders.join(ordered, "folder")
+        _numbered(folders)
         .groupBy((F.floor(F.col("position") / size) + 1).cast("int").alias("folder_group"))
         .agg(
             F.sum("files").alias("files"),

@@ -1,5 +1,6 @@
 """The registered queries: every operator on the given tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,10 @@ from passerby.operators import dimensions, heatmap, ingest, keyed, matching, rec
 from passerby.plans.refresh import refresh_days
 from passerby.plans.tables import Tables
 from passerby.schemas import SESSION_KEYS
+from passerby.session import cut_lineage, shared_folder
 from passerby.sources.feeds import explode_payload, parse_fields
+from passerby.streaming.live import live_visits as live_visits_of
+from passerby.streaming.sinks import change_writer, read_heatmap, read_live_visits, start_live
 
 SESSION = ["clientmac", "entityid", "etime", "ltime", "seconds"]
 LONG_STAY = 2 * 60 * 60
@@ -92,7 +96,7 @@ def day_refresh(t: Tables) -> DataFrame:
     rows = t.probe_rows()
     history = rows.filter(F.col("event_id") % 2 == 0).drop("event_id")
     increment = rows.filter(F.col("event_id") % 2 == 1).drop("event_id")
-    published = sessions.sessionize(history, t.thresholds())
+    published = cut_lineage(sessions.sessionize(history, t.thresholds()))
     refreshed = refresh_days(history, increment, published, t.thresholds())
     kept = keyed.delete_keys(published, refreshed.tombstones)
     return keyed.upsert(kept, refreshed.sessions).select(SESSION)
@@ -228,3 +232,30 @@ def ingest_backlog(t: Tables) -> DataFrame:
 @_query
 def processing_log(t: Tables) -> DataFrame:
     return ingest.processing_log(t.probes(), PROCESSED_AT)
+
+
+def _streamed(t: Tables, rows, write_to: str) -> str:
+    """Runs a stream over all that is there and returns where its changes are."""
+    place = f"{shared_folder(t.spark)}/{write_to}-{uuid.uuid4().hex}"
+    start_live(rows, change_writer(f"{place}/changes"), f"{place}/state", every=None).start().awaitTermination()
+    return f"{place}/changes"
+
+
+@_query
+def live_visits_stream(t: Tables) -> DataFrame:
+    """The state machine itself, fed with the probes as a stream."""
+    return read_live_visits(t.spark, _streamed(t, live_visits_of(t.as_stream().indoor_sightings()), "visits"))
+
+
+@_query
+def closed_visits_stream(t: Tables) -> DataFrame:
+    rows = live_visits_of(t.as_stream().indoor_sightings(), "trigger")
+    return read_live_visits(t.spark, _streamed(t, rows, "closed")).drop("done")
+
+
+@_query
+def zone_heatmap_stream(t: Tables) -> DataFrame:
+    rows = heatmap.zone_heatmap(t.as_stream().sightings(), t.access_points(), exact=False,
+                                watermark="5 minutes")
+    counted = read_heatmap(t.spark, _streamed(t, rows, "heatmap"))
+    return counted.withColumn("starttime", F.unix_timestamp("starttime"))

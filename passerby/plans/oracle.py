@@ -153,6 +153,16 @@ def oracle_sql() -> dict[str, str]:
                CAST(CASE WHEN visit = max(visit) OVER (PARTITION BY entityid, clientmac)
                     THEN 0 ELSE 1 END AS INTEGER) AS done
         FROM visit_numbers GROUP BY entityid, clientmac, visit""")
+    closed = _with(
+        f"{_TIMELINE} strict_numbers",
+        f"""SELECT clientmac, entityid, etime, ltime,
+               CASE WHEN etime = ltime THEN 5 ELSE ltime - etime END AS seconds
+        FROM (SELECT {_VISIT}, visit,
+                     max(visit) OVER (PARTITION BY entityid, clientmac) AS last_visit
+              FROM strict_numbers GROUP BY entityid, clientmac, visit)
+        WHERE visit < last_visit""")
+    matching = _with(f"{_SIGHTED} zones", _counted(
+        "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END"))
     return {
         "probe_dedup": _with(_PROBES, """
             SELECT *, CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT)
@@ -230,23 +240,18 @@ def oracle_sql() -> dict[str, str]:
         "fresh_asof": _with("sightings", f"""
             SELECT event_id, apmac, mac, rssi, stime FROM sightings
             WHERE ts < TIMESTAMP '{NOW}' AND ts > TIMESTAMP '{NOW}' - INTERVAL 1 DAY"""),
-        "zone_heatmap": _with(f"{_SIGHTED} zones", _counted(
-            "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END")),
+        "zone_heatmap": matching,
         # A sketch of as few devices as a window of the tables has is exact.
-        "zone_heatmap_approx": _with(f"{_SIGHTED} zones", _counted(
-            "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END")),
+        "zone_heatmap_approx": matching,
+        "zone_heatmap_stream": matching,
         "zone_heatmap_tagged": _with(f"{_SIGHTED} zones", _counted(
             "(mac || CASE WHEN indoor THEN '|1' ELSE '|0' END)",
             "(mac || CASE WHEN away THEN '|1' ELSE '|0' END)",
             "(mac || CASE WHEN visit THEN '|1' ELSE '|0' END)")),
         "live_visits": live,
-        "closed_visits": _with(f"{_TIMELINE} strict_numbers", f"""
-            SELECT clientmac, entityid, etime, ltime,
-                   CASE WHEN etime = ltime THEN 5 ELSE ltime - etime END AS seconds
-            FROM (SELECT {_VISIT}, visit,
-                         max(visit) OVER (PARTITION BY entityid, clientmac) AS last_visit
-                  FROM strict_numbers GROUP BY entityid, clientmac, visit)
-            WHERE visit < last_visit"""),
+        "live_visits_stream": live,
+        "closed_visits": closed,
+        "closed_visits_stream": closed,
         "ingest_backlog": """
             WITH folders AS (
                 SELECT source, count(*) AS files, sum(n_chars) AS bytes,

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
-from passerby.operators.keyed import merge_probes, stale_keys
+from passerby.operators.keyed import delete_keys, merge_probes, stale_keys, upsert
 from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
-from passerby.schemas import DAY_KEYS, SESSION_KEYS
+from passerby.schemas import DAY_KEYS, SESSION_KEYS, SESSIONS, by_day
 from passerby.session import cut_lineage
 from passerby.sources.tables import (
     read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days,
@@ -45,10 +45,16 @@ def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
 
     ``tombstones`` are the keys published for those days that no longer exist.
     Duplicates need no removal first: sessions and flow are the same with them.
+    The sessions are computed here, once for all that is derived from them.
     """
     days = broadcast_if_small(touched_days(increment))
     probes = of_days(history, days).unionByName(increment)
-    sessions = sessionize(probes, thresholds)
+    return _recompute(probes, days, published, thresholds)
+
+
+def _recompute(probes: DataFrame, days: DataFrame, published: DataFrame,
+               thresholds: DataFrame) -> Refresh:
+    sessions = cut_lineage(sessionize(probes, thresholds))
     return Refresh(
         sessions=sessions,
         indoor_daily=indoor_daily(sessions),
@@ -59,23 +65,25 @@ def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
 
 def publish_refresh(spark: SparkSession, increment: DataFrame, thresholds: DataFrame, root: str,
                     run: str) -> None:
-    """Runs `refresh_days` against the tables under ``root`` and replaces the touched days.
+    """Recomputes the days that ``increment`` touches and replaces them under ``root``.
 
     The tables are t_cf (merged probes), rec_indoor (sessions), indoor and flow;
-    the tombstones of a run go to tombstones/<run>. Running the same increment
-    again changes nothing: the history comes last and merging ignores repeats.
+    the days and tombstones of a run go to days/<run> and tombstones/<run>.
+    Running the same increment again changes nothing: the history comes last and
+    merging ignores repeats.
     """
     increment = increment.select(*DAY_KEYS, "clientmac", "stime", "flag")
-    days = broadcast_if_small(cut_lineage(touched_days(increment)))
+    touched_days(increment).write.mode("overwrite").parquet(f"{root}/days/{run}")
+    days = broadcast_if_small(spark.read.parquet(f"{root}/days/{run}"))
     history = of_days(_stored(spark, f"{root}/t_cf", read_stored_probes, increment), days)
     probes = cut_lineage(merge_probes(history.select(increment.columns), increment))
-    sessions = cut_lineage(sessionize(probes, thresholds))
-    published = _stored(spark, f"{root}/rec_indoor", read_sessions, sessions)
-    stale = stale_keys(of_days(published, days), sessions)
-    stale.write.mode("append").parquet(f"{root}/tombstones/{run}")
-    write_days(sessions, f"{root}/rec_indoor", days)
-    write_days(indoor_daily(sessions), f"{root}/indoor", days)
-    write_days(flow_daily(probes), f"{root}/flow", days)
+    no_sessions = spark.createDataFrame([], by_day(SESSIONS))
+    published = _stored(spark, f"{root}/rec_indoor", read_sessions, no_sessions)
+    fresh = _recompute(probes, days, published, thresholds)
+    fresh.tombstones.write.mode("append").parquet(f"{root}/tombstones/{run}")
+    write_days(fresh.sessions, f"{root}/rec_indoor", days)
+    write_days(fresh.indoor_daily, f"{root}/indoor", days)
+    write_days(fresh.flow_daily, f"{root}/flow", days)
     write_days(probes, f"{root}/t_cf", days)
 
 
@@ -89,6 +97,17 @@ def _stored(spark: SparkSession, path: str, read, like: DataFrame) -> DataFrame:
         return like.limit(0)
 
 
+def apply_run(spark: SparkSession, target: DataFrame, root: str, run: str) -> DataFrame:
+    """A keyed store of all sessions, brought up to date with one published run.
+
+    Lazy: write it to a new place.
+    """
+    stale = spark.read.parquet(f"{root}/tombstones/{run}")
+    days = broadcast_if_small(spark.read.parquet(f"{root}/days/{run}"))
+    sessions = of_days(read_sessions(spark, f"{root}/rec_indoor"), days).select(target.columns)
+    return upsert(delete_keys(target, stale), sessions)
+
+
 def daily_report(spark: SparkSession, root: str, as_of_day: int) -> DataFrame:
     """The visitor report over all published days under ``root``."""
     return visitor_report(

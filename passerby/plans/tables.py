@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passerby.operators.dimensions import entity_thresholds
+from passerby.sources.feeds import read_stream
 
 
 class Tables:
@@ -12,14 +13,24 @@ class Tables:
     The tables hold times without a zone, read here as UTC.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, streaming: bool = False):
+        self.spark, self.folder, self.streaming = spark, folder, streaming
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def as_stream(self) -> "Tables":
+        """The same inputs with the events as a stream."""
+        return Tables(self.spark, self.folder, streaming=True)
+
+    def events(self) -> DataFrame:
+        if not self.streaming:
+            return self.read("events")
+        return read_stream(self.spark, "parquet", self.read("events").schema, path=self.folder,
+                           pathGlobFilter="events.parquet")
+
     def entities(self) -> DataFrame:
         unset = F.col("n_nationkey") % 5 == 0
         return self.read("nation").select(
@@ -33,7 +44,7 @@ class Tables:
 
     def probe_rows(self) -> DataFrame:
         """Probes as they come, with the event they come from."""
-        return self.read("events").select(
+        return self.events().select(
             (100000 + F.col("user_id") % 25).cast("int").alias("entityid"),
             _midnight("ts").alias("file_day"),
             _device(F.col("user_id")).alias("clientmac"),
@@ -91,7 +102,7 @@ class Tables:
     def sightings(self) -> DataFrame:
         """Raw sightings, each at one of the suppliers' access points."""
         boxes = self.read("supplier").agg(F.count(F.lit(1))).scalar()
-        return self.read("events").select(
+        return self.events().select(
             _device(F.col("event_id") % boxes).alias("apmac"),
             _device(F.col("user_id")).alias("mac"),
             (-F.floor(F.col("value"))).cast("int").alias("rssi"),

@@ -15,6 +15,15 @@ def _layout(**columns: str) -> T.StructType:
     return layout
 
 
+def by_day(layout: T.StructType) -> T.StructType:
+    """The layout with its partition columns, as stored by day."""
+    stored = T.StructType(list(layout.fields))
+    for name, kind in (("entityid", "integer"), ("file_day", "long")):
+        if name not in layout.names:
+            stored.add(name, kind)
+    return stored
+
+
 PROBES = _layout(clientmac="string", stime="long", flag="integer")
 SESSIONS = _layout(clientmac="string", entityid="integer", etime="long", ltime="long", seconds="long")
 INDOOR_DAILY = _layout(

@@ -13,15 +13,11 @@ from passerby import schemas
 
 
 def _read(spark: SparkSession, path: str, fmt: str, layout: T.StructType) -> DataFrame:
-    reader = spark.read
     if fmt == "csv":
-        return reader.schema(layout).option("recursiveFileLookup", True).csv(path).filter(
-            F.col("clientmac").isNotNull()
-        )
-    stored = T.StructType(layout.fields)
-    if "entityid" in layout.names and "file_day" not in layout.names:
-        stored = T.StructType(layout.fields + [T.StructField("file_day", T.LongType())])
-    return reader.schema(stored).format(fmt).load(path).filter(F.col("clientmac").isNotNull())
+        rows = spark.read.schema(layout).option("recursiveFileLookup", True).csv(path)
+    else:
+        rows = spark.read.schema(schemas.by_day(layout)).format(fmt).load(path)
+    return rows.filter(F.col("clientmac").isNotNull())
 
 
 def read_indoor_daily(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -39,10 +35,7 @@ def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 def read_stored_probes(spark: SparkSession, path: str) -> DataFrame:
     """The merged probe history as `write_days` keeps it."""
-    layout = T.StructType(
-        [T.StructField("entityid", T.IntegerType())] + schemas.PROBES.fields
-    )
-    return _read(spark, path, "parquet", layout)
+    return _read(spark, path, "parquet", schemas.PROBES)
 
 
 def read_dim(spark: SparkSession, fmt: str = "jdbc", **options) -> DataFrame:

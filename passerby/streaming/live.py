@@ -54,16 +54,25 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
     latest, trigger = rule == "latest", rule == "trigger"
 
     def distinct_seconds(frames):
+        """Each second once, in order, with its shortest leave time."""
         import numpy as np
 
-        seconds, leaves = np.empty(0, np.int64), np.empty(0, np.int64)
-        for frame in frames:
-            seconds = np.concatenate([seconds, frame["stime"].to_numpy(np.int64)])
-            leaves = np.concatenate([leaves, frame["leave_seconds"].to_numpy(np.int64)])
+        def folded(parts):
+            seconds = np.concatenate([part[0] for part in parts])
+            leaves = np.concatenate([part[1] for part in parts])
             order = np.lexsort((leaves, seconds))
             seconds, leaves = seconds[order], leaves[order]
             first = np.append(True, seconds[1:] != seconds[:-1])
-            seconds, leaves = seconds[first], leaves[first]
+            return seconds[first], leaves[first]
+
+        parts, kept, waiting = [], 0, 0
+        for frame in frames:
+            parts.append((frame["stime"].to_numpy(np.int64), frame["leave_seconds"].to_numpy(np.int64)))
+            waiting += len(frame)
+            if waiting > max(kept, 100_000):
+                parts, waiting = [folded(parts)], 0
+                kept = len(parts[0][0])
+        seconds, leaves = folded(parts)
         return (seconds[-1:], leaves[-1:]) if latest else (seconds, leaves)
 
     def advance(key, frames, state):

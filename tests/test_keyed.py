@@ -3,7 +3,7 @@ import random
 from helpers import frame, probes, rows, thresholds
 from passerby.operators.keyed import delete_keys, merge_probes, stale_keys, upsert
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
-from passerby.plans.refresh import daily_report, publish_refresh, refresh_days
+from passerby.plans.refresh import apply_run, daily_report, publish_refresh, refresh_days
 from passerby.sources.tables import (
     read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days, write_new,
     write_table,
@@ -96,7 +96,10 @@ def test_published_refresh(spark, tmp_path):
     # An earlier sighting moves the first session's start.
     more = probes(spark, ("a", 900, 1), ("b", 70, 0)).union(
         probes(spark, ("c", 86400 + 5, 1), ("c", 86400 + 65, 1), day=86400))
+    keyed = stays(spark, 1000, 5000, seconds=100).union(stays(spark, 9 * 86400))
     publish_refresh(spark, more, limits, root, "r2")
+    assert rows(apply_run(spark, keyed, root, "r2"), "etime", "ltime") == \
+        [(900, 1100), (5000, 5100), (86405, 86465), (9 * 86400, 9 * 86400 + 10)]
     publish_refresh(spark, more, limits, root, "r3")
     assert rows(read_sessions(spark, f"{root}/rec_indoor"), "clientmac", "etime", "ltime") == \
         [("a", 900, 1100), ("a", 5000, 5100), ("c", 86405, 86465)]
