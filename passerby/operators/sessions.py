@@ -20,18 +20,16 @@ from passerby.operators.dimensions import DEFAULT_INDOOR_SECONDS, DEFAULT_LEAVE_
 SLOT_SECONDS = 60
 
 
-def _stays(sightings: DataFrame, keys: list[str], slot: Column, strict_gap: bool,
-           carry: tuple[str, ...] = ()) -> DataFrame:
+def _stays(sightings: DataFrame, keys: list[str], slot: Column, strict_gap: bool) -> DataFrame:
     """Stays by ``keys``, numbered in time order in ``stay``.
 
     ``sightings`` has ``stime`` and ``leave_seconds``; ``slot`` must not exceed
-    the leave time of any sighting with the same keys. ``carry`` names columns
-    that ``keys`` determine.
+    the leave time of any sighting with the same keys.
     """
     seen, leave = F.col("stime"), F.col("leave_seconds")
     slots = (
         sightings.filter(seen.isNotNull())
-        .groupBy(*keys, *carry, "leave_seconds", (seen - F.pmod(seen, slot)).alias("slot"))
+        .groupBy(*keys, "leave_seconds", (seen - F.pmod(seen, slot)).alias("slot"))
         .agg(F.min("stime").alias("first"), F.max("stime").alias("last"))
     )
     in_order = Window.partitionBy(*keys).orderBy("first", "leave_seconds")
@@ -43,22 +41,15 @@ def _stays(sightings: DataFrame, keys: list[str], slot: Column, strict_gap: bool
         slots.withColumn("begins", begins)
         .withColumn("stay", F.sum("begins").over(until_now))
         .groupBy(*keys, "stay")
-        .agg(
-            F.min("first").alias("etime"),
-            F.max("last").alias("ltime"),
-            *[F.max(c).alias(c) for c in carry],
-        )
+        .agg(F.min("first").alias("etime"), F.max("last").alias("ltime"))
         .withColumn("seconds", F.col("ltime") - F.col("etime"))
     )
 
 
-def _with_thresholds(probes: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Each probe with its venue's thresholds; an unknown venue has the defaults."""
-    known = thresholds.select("entityid", "indoor_seconds", "leave_seconds")
-    return probes.join(broadcast_if_small(known), "entityid", "left").withColumns({
-        "indoor_seconds": F.coalesce("indoor_seconds", F.lit(DEFAULT_INDOOR_SECONDS).cast("bigint")),
-        "leave_seconds": F.coalesce("leave_seconds", F.lit(DEFAULT_LEAVE_SECONDS).cast("bigint")),
-    })
+def _with_threshold(rows: DataFrame, known: DataFrame, name: str, default: int) -> DataFrame:
+    """Each row with one of its venue's thresholds; an unknown venue has the default."""
+    value = F.coalesce(name, F.lit(default).cast("bigint"))
+    return rows.join(known.select("entityid", name), "entityid", "left").withColumn(name, value)
 
 
 def sessionize(probes: DataFrame, thresholds: DataFrame, edges: str = "keep",
@@ -75,19 +66,22 @@ def sessionize(probes: DataFrame, thresholds: DataFrame, edges: str = "keep",
     if edges not in ("keep", "drop"):
         raise ValueError(f"edges must be 'keep' or 'drop', not {edges!r}")
     keys = ["entityid", "clientmac"] + (["file_day"] if day_scoped else [])
-    carry = ("indoor_seconds",) if min_seconds == "threshold" else ()
+    known = broadcast_if_small(thresholds.select("entityid", "indoor_seconds", "leave_seconds"))
     indoor = probes.filter(F.col("flag") == 1) if "flag" in probes.columns else probes
     slot = F.greatest(F.col("leave_seconds") + int(strict_gap), F.lit(1))
-    stays = _stays(_with_thresholds(indoor, thresholds), keys, slot, strict_gap, carry)
+    timed = _with_threshold(indoor, known, "leave_seconds", DEFAULT_LEAVE_SECONDS)
+    stays = _stays(timed, keys, slot, strict_gap)
     if edges == "drop":
         last = F.max("stay").over(Window.partitionBy(*keys))
         stays = stays.withColumn("last", last).filter(
             (F.col("stay") > 1) & (F.col("stay") < F.col("last"))
         )
     stays = stays.filter(F.col("ltime") > 0)
-    if min_seconds is not None:
-        shortest = F.col("indoor_seconds") if carry else F.lit(min_seconds)
-        stays = stays.filter(F.col("seconds") >= shortest)
+    if min_seconds == "threshold":
+        stays = _with_threshold(stays, known, "indoor_seconds", DEFAULT_INDOOR_SECONDS)
+        stays = stays.filter(F.col("seconds") >= F.col("indoor_seconds"))
+    elif min_seconds is not None:
+        stays = stays.filter(F.col("seconds") >= min_seconds)
     if day_scoped:
         stays = stays.filter(within_day(F.col("etime"), F.col("file_day")))
     return stays.select("clientmac", "entityid", "etime", "ltime", "seconds", *keys[2:])

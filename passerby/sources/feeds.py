@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passerby.functions.text import whole_number
+
 # Field positions of the feeds, counted from 0.
 RAW_FEED = {"apmac": 1, "mac": 2, "rssi": 3, "ttime": 4, "updatingtime": 5}
 HEAT_MAP_FEED = {"apmac": 2, "mac": 3, "rssi": 4, "stime": 5}
@@ -30,7 +32,7 @@ def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str]
                  upper: tuple[str, ...] = (), value: str = "value") -> DataFrame:
     """Named fields of each line, trimmed. Works on a stream.
 
-    ``types`` names those that are not text; a field that is missing or does
+    ``types`` names those that are whole numbers or timestamps; a field that is missing or does
     not convert is null. ``upper`` names those to put in upper case.
     """
     def field(name: str):
@@ -40,7 +42,7 @@ def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str]
         if types and name in types:
             kind = types[name]
             text = F.try_to_timestamp(text, F.lit(TIME_FORMAT)) if kind == "timestamp" \
-                else text.try_cast(kind)
+                else whole_number(text, kind)
         return text.alias(name)
 
     return df.select(F.split(F.col(value), ",").alias("parts")).select(

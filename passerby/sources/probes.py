@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passerby.functions.text import whole_number
 from passerby.functions.time import month_start
 
 # Fixed values: <root>/<entity>/t_cf_<yyyyMMdd>.txt
@@ -15,7 +16,7 @@ def _path_part(path: Column, group: int) -> Column:
 
 
 def file_entity(path: Column) -> Column:
-    return _path_part(path, 1).try_cast("int")
+    return whole_number(_path_part(path, 1), "int")
 
 
 def file_day(path: Column) -> Column:
@@ -40,8 +41,8 @@ def read_probes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     typed = lines.withColumns({
         "entityid": file_entity(F.col("file_path")),
         "file_day": file_day(F.col("file_path")),
-        "stime": F.col("raw_stime").try_cast("bigint"),
-        "flag": F.col("raw_flag").try_cast("int"),
+        "stime": whole_number(F.col("raw_stime"), "bigint"),
+        "flag": whole_number(F.col("raw_flag"), "int"),
     })
     good = F.lit(True)
     for required in ("clientmac", "stime", "flag", "entityid", "file_day"):
