@@ -1,8 +1,9 @@
 """Set operations on keyed rows: merging, stale keys, deletes and upserts."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from passerby.schemas import SESSION_KEYS
+from passerby.schemas import DAY_KEYS, SESSION_KEYS
 
 
 def merge_probes(history: DataFrame, increment: DataFrame) -> DataFrame:
@@ -27,3 +28,18 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str] = SESSION_KEYS
     over what it reads.
     """
     return delete_keys(target, updates, keys).unionByName(updates)
+
+
+def touched_days(increment: DataFrame) -> DataFrame:
+    """The venue days that an increment has any probe for."""
+    return increment.select(*DAY_KEYS).distinct()
+
+
+def of_days(df: DataFrame, days: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
+    """Rows of ``df`` filed under one of ``days``.
+
+    The range of the days is known when the scan starts, so of a table stored by
+    day only the partitions in it are read.
+    """
+    first, last = (days.agg(bound("file_day")).scalar() for bound in (F.min, F.max))
+    return df.filter(F.col("file_day").between(first, last)).join(days.select(*keys), keys, "left_semi")

@@ -2,18 +2,17 @@
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
-from passerby.operators.keyed import delete_keys, merge_probes, stale_keys, upsert
+from passerby.operators.keyed import delete_keys, of_days, stale_keys, touched_days, upsert
 from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
-from passerby.schemas import DAY_KEYS, SESSION_KEYS, SESSIONS, by_day
+from passerby.schemas import SESSION_KEYS, SESSIONS, by_day
 from passerby.session import cut_lineage
 from passerby.sources.tables import (
-    read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days,
+    append_probes, is_stored, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes,
+    write_days,
 )
 
 
@@ -24,21 +23,6 @@ class Refresh(NamedTuple):
     tombstones: DataFrame
 
 
-def touched_days(increment: DataFrame) -> DataFrame:
-    """The venue days that an increment has any probe for."""
-    return increment.select(*DAY_KEYS).distinct()
-
-
-def of_days(df: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of ``df`` filed under one of ``days``.
-
-    The range of the days is known when the scan starts, so of a table stored by
-    day only the partitions in it are read.
-    """
-    first, last = (days.agg(bound("file_day")).scalar() for bound in (F.min, F.max))
-    return df.filter(F.col("file_day").between(first, last)).join(days, DAY_KEYS, "left_semi")
-
-
 def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
                  thresholds: DataFrame) -> Refresh:
     """Everything about the touched days, recomputed from history and increment together.
@@ -65,36 +49,33 @@ def _recompute(probes: DataFrame, days: DataFrame, published: DataFrame,
 
 def publish_refresh(spark: SparkSession, increment: DataFrame, thresholds: DataFrame, root: str,
                     run: str) -> None:
-    """Recomputes the days that ``increment`` touches and replaces them under ``root``.
+    """Adds an increment to the history under ``root`` and replaces the venue days it touches.
 
-    The tables are t_cf (merged probes), rec_indoor (sessions), indoor and flow;
-    the days and tombstones of a run go to days/<run> and tombstones/<run>.
-    Running the same increment again changes nothing: the history comes last and
-    merging ignores repeats.
+    The tables are t_cf (all probes, each run's own), rec_indoor (sessions),
+    indoor and flow; the days and tombstones of a run go to days/<run> and
+    tombstones/<run>. After a failure, run the same increment as the same run again.
     """
-    increment = increment.select(*DAY_KEYS, "clientmac", "stime", "flag")
+    append_probes(increment, f"{root}/t_cf", run)
     touched_days(increment).write.mode("overwrite").parquet(f"{root}/days/{run}")
-    days = broadcast_if_small(spark.read.parquet(f"{root}/days/{run}"))
-    history = of_days(_stored(spark, f"{root}/t_cf", read_stored_probes, increment), days)
-    probes = cut_lineage(merge_probes(history.select(increment.columns), increment))
-    no_sessions = spark.createDataFrame([], by_day(SESSIONS))
-    published = _stored(spark, f"{root}/rec_indoor", read_sessions, no_sessions)
+    republish_days(spark, spark.read.parquet(f"{root}/days/{run}"), thresholds, root, run)
+
+
+def republish_days(spark: SparkSession, days: DataFrame, thresholds: DataFrame, root: str,
+                   run: str) -> None:
+    """Recomputes venue days from the history alone and replaces them.
+
+    Also what repairs a whole day, should the driver be lost while its directory
+    is being swapped.
+    """
+    days = broadcast_if_small(days)
+    probes = of_days(read_stored_probes(spark, f"{root}/t_cf"), days)
+    published = read_sessions(spark, f"{root}/rec_indoor") if is_stored(spark, f"{root}/rec_indoor") \
+        else spark.createDataFrame([], by_day(SESSIONS))
     fresh = _recompute(probes, days, published, thresholds)
     fresh.tombstones.write.mode("append").parquet(f"{root}/tombstones/{run}")
     write_days(fresh.sessions, f"{root}/rec_indoor", days)
     write_days(fresh.indoor_daily, f"{root}/indoor", days)
     write_days(fresh.flow_daily, f"{root}/flow", days)
-    write_days(probes, f"{root}/t_cf", days)
-
-
-def _stored(spark: SparkSession, path: str, read, like: DataFrame) -> DataFrame:
-    """What ``read`` finds at ``path``, or no rows before the first run."""
-    try:
-        return read(spark, path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
 
 
 def apply_run(spark: SparkSession, target: DataFrame, root: str, run: str) -> DataFrame:

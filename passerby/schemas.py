@@ -16,7 +16,7 @@ def _layout(**columns: str) -> T.StructType:
 
 
 def by_day(layout: T.StructType) -> T.StructType:
-    """The layout with its partition columns, as stored by day."""
+    """The layout with venue and day, as stored by day."""
     stored = T.StructType(list(layout.fields))
     for name, kind in (("entityid", "integer"), ("file_day", "long")):
         if name not in layout.names:

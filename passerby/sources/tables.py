@@ -1,15 +1,21 @@
 """Readers and writers of stored tables.
 
-Days are stored as Spark partitions by (entityid, file_day). A partition whose
-recomputation came out empty holds one row without a device, see `write_days`;
-the readers here leave it out.
+Tables are partitioned by file_day alone and sorted by venue inside: one
+directory per venue and day would be millions of small files. A venue's day is
+still replaced by itself, see `write_days`. Each day holds a row without a
+device, so that a day that came out empty is replaced too; the readers leave it
+out.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passerby import schemas
+from passerby.functions.sizes import broadcast_if_small
+from passerby.operators.keyed import delete_keys, of_days, touched_days
+from passerby.session import cut_lineage
 
 
 def _read(spark: SparkSession, path: str, fmt: str, layout: T.StructType) -> DataFrame:
@@ -34,10 +40,16 @@ def read_sessions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def read_stored_probes(spark: SparkSession, path: str) -> DataFrame:
-    """The merged probe history as `write_days` keeps it."""
+    """All probes that `append_probes` stored, with the repeats between runs."""
     return _read(spark, path, "parquet", schemas.PROBES)
 
 
+def append_probes(increment: DataFrame, path: str, run: str) -> None:
+    """Adds the probes of a run to the history; the same run again replaces its own."""
+    rows = increment.select("entityid", "file_day", "clientmac", "stime", "flag")
+    _replace_partitions(rows.withColumn("run", F.lit(run)), path, ["file_day", "run"], "parquet")
+
+
 def read_dim(spark: SparkSession, fmt: str = "jdbc", **options) -> DataFrame:
     """A dimension from wherever ``options`` point to.
 
@@ -48,24 +60,44 @@ def read_dim(spark: SparkSession, fmt: str = "jdbc", **options) -> DataFrame:
     return spark.read.format(fmt).options(**options).load()
 
 
-def write_days(df: DataFrame, path: str, processed: DataFrame | None = None,
-               keys: list[str] = schemas.DAY_KEYS, fmt: str = "parquet") -> None:
-    """Replaces the partitions that ``df`` has rows for, and those that ``processed`` names.
-
-    Dynamic overwrite replaces only partitions that get a row, so each processed
-    one gets a row that has its keys and nothing else: a day that came out empty
-    replaces what was there in the same job. The rebalance hint lets adaptive
-    execution merge small partitions and split one that holds most of the rows.
-    """
-    if processed is not None:
-        df = df.unionByName(processed.select(*keys).distinct(), allowMissingColumns=True)
+def _replace_partitions(df: DataFrame, path: str, partitions: list[str], fmt: str) -> None:
+    """Dynamic overwrite; adaptive execution merges small partitions and splits one that is most."""
     (
-        df.hint("rebalance", *keys)
+        df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, "entityid")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).format(fmt).save(path)
+        .partitionBy(*partitions).format(fmt).save(path)
     )
 
 
+def is_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    try:
+        spark.read.schema("file_day long").format(fmt).load(path)
+        return True
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def write_days(df: DataFrame, path: str, processed: DataFrame | None = None,
+               fmt: str = "parquet") -> None:
+    """Replaces the venue days that ``processed`` names, by default those ``df`` has rows for.
+
+    The stored rows of other venues on the same days are set aside and written
+    with the new ones. ``df`` has no rows outside ``processed``.
+    """
+    spark = df.sparkSession
+    processed = broadcast_if_small(touched_days(df) if processed is None else touched_days(processed))
+    days = processed.select("file_day").distinct()
+    rows = df
+    if is_stored(spark, path, fmt):
+        stored = spark.read.schema(df.schema).format(fmt).load(path)
+        others = of_days(stored.filter(F.col("clientmac").isNotNull()), days, ["file_day"])
+        rows = rows.unionByName(cut_lineage(delete_keys(others, processed, schemas.DAY_KEYS)))
+    rows = rows.unionByName(days, allowMissingColumns=True)
+    _replace_partitions(rows, path, ["file_day"], fmt)
+
+
 def write_new(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Writes to a place that must not exist yet, such as the result of an upsert."""
     df.write.mode("errorifexists").format(fmt).save(path)

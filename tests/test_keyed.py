@@ -1,12 +1,14 @@
 import random
 
 from helpers import frame, probes, rows, thresholds
-from passerby.operators.keyed import delete_keys, merge_probes, stale_keys, upsert
+from passerby.operators.keyed import (
+    delete_keys, merge_probes, of_days, stale_keys, touched_days, upsert,
+)
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
 from passerby.plans.refresh import apply_run, daily_report, publish_refresh, refresh_days
 from passerby.sources.tables import (
-    read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days, write_new,
-    write_table,
+    append_probes, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days,
+    write_new, write_table,
 )
 
 SESSION = "clientmac string, entityid int, etime long, ltime long, seconds long"
@@ -86,6 +88,19 @@ def test_written_days_are_replaced_and_emptied(spark, tmp_path):
     assert rows(read_sessions(spark, path), "clientmac", "etime") == [("b", 50)]
 
 
+def test_other_venues_of_a_day_are_kept(spark, tmp_path):
+    path = str(tmp_path / "days")
+    limits = thresholds(spark)
+    both = probes(spark, ("a", 100, 1), ("a", 200, 1)).union(
+        probes(spark, ("b", 100, 1), ("b", 200, 1), entity=2))
+    write_days(sessionize(both, limits), path)
+    write_days(sessionize(probes(spark, ("c", 7, 1), ("c", 90, 1)), limits), path)
+    assert rows(read_sessions(spark, path), "entityid", "clientmac") == [(1, "c"), (2, "b")]
+    write_days(sessionize(both.filter("false"), limits), path,
+               frame(spark, "entityid int, file_day long", (1, 0), (2, 0)))
+    assert rows(read_sessions(spark, path)) == []
+
+
 def test_published_refresh(spark, tmp_path):
     root = str(tmp_path)
     limits = thresholds(spark)
@@ -109,18 +124,17 @@ def test_published_refresh(spark, tmp_path):
         [("a", 900, 300), ("c", 86405, 60)]
     assert rows(read_flow_daily(spark, f"{root}/flow"), "clientmac", "etime") == \
         [("a", 900), ("b", 70), ("c", 86405)]
-    assert read_stored_probes(spark, f"{root}/t_cf").count() == 8
+    stored = read_stored_probes(spark, f"{root}/t_cf").select("entityid", "clientmac", "stime", "flag")
+    assert stored.count() == 12 and stored.distinct().count() == 8
     report = daily_report(spark, root, 86400 * 2)
     assert rows(report, "clientmac", "secondsbyday", "visits", "r_indoors7") == \
         [("a", 300, 1, 1), ("b", 0, 1, 0), ("c", 60, 1, 1)]
 
 
 def test_history_of_other_days_is_not_read(spark, tmp_path):
-    from passerby.plans.refresh import of_days, touched_days
-
     path = str(tmp_path / "t_cf")
     for d in range(4):
-        write_days(probes(spark, ("a", d * 86400 + 9, 1), day=d * 86400), path)
+        append_probes(probes(spark, ("a", d * 86400 + 9, 1), day=d * 86400), path, "r1")
     days = touched_days(probes(spark, ("a", 86400 + 9, 1), day=86400))
     kept = of_days(read_stored_probes(spark, path), days)
     plan = kept._jdf.queryExecution().executedPlan().toString()
