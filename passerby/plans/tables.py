@@ -15,11 +15,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str, streaming: bool = False):
         self.spark, self.folder, self.streaming = spark, folder, streaming
+        self._frames: dict[str, DataFrame] = {}
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     def as_stream(self) -> "Tables":
         """The same inputs with the events as a stream."""

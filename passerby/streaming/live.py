@@ -23,7 +23,8 @@ def _fold_batches(sightings: DataFrame, latest: bool) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            folded = pa.Table.from_batches([batch]).group_by(keys).aggregate(measures)
+            grouped = pa.Table.from_batches([batch]).group_by(keys, use_threads=False)
+            folded = grouped.aggregate(measures)
             folded = folded.select(names).rename_columns(keys + [column for column, _ in measures])
             yield from folded.to_batches()
 
@@ -46,8 +47,9 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
       sightings are ignored, and only ended visits come out, those of a single
       moment ``floor_seconds`` long.
 
-    State is kept for every device and venue ever seen. A new checkpoint
-    location starts with none.
+    State is kept for every device and venue seen since the start. A new
+    checkpoint location starts with none; starting anew each night keeps the
+    state to a day's devices.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
