@@ -29,9 +29,9 @@ def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
 
     ``tombstones`` are the keys published for those days that no longer exist.
     Duplicates need no removal first: sessions and flow are the same with them.
-    The sessions are computed here, once for all that is derived from them.
+    The days and the sessions are computed here, once for all that needs them.
     """
-    days = broadcast_if_small(touched_days(increment))
+    days = broadcast_if_small(cut_lineage(touched_days(increment)))
     probes = of_days(history, days).unionByName(increment)
     return _recompute(probes, days, published, thresholds)
 
