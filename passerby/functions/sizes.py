@@ -4,14 +4,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIMENSION_ROWS = 100_000
+SALTS = 16
 
 
-def broadcast_if_small(dimension: DataFrame, max_rows: int = DIMENSION_ROWS) -> DataFrame:
+def is_small(dimension: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a bounded count finds no more than ``max_rows``, by default `DIMENSION_ROWS`."""
+    limit = DIMENSION_ROWS if max_rows is None else max_rows
+    return not dimension.isStreaming and dimension.limit(limit + 1).count() <= limit
+
+
+def broadcast_if_small(dimension: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``dimension`` with a broadcast hint when a bounded count proves it small.
 
     A larger one comes back as it was: Spark then shuffles both sides, and
     adaptive execution splits the partitions of a hot key.
     """
-    if dimension.isStreaming or dimension.limit(max_rows + 1).count() > max_rows:
-        return dimension
-    return F.broadcast(dimension)
+    return F.broadcast(dimension) if is_small(dimension, max_rows) else dimension
+
+
+def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, how: str = "inner",
+                   small: bool | None = None) -> DataFrame:
+    """``rows`` with the columns of ``dimension``, however large and however skewed ``key`` is.
+
+    A small dimension is broadcast. A large one is repeated once per salt, and
+    the rows of a busy key are dealt out by the input partition they come from,
+    which is the same when a lost task runs again.
+    """
+    if is_small(dimension) if small is None else small:
+        return rows.join(F.broadcast(dimension), key, how)
+    salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
+    repeated = dimension.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(repeated, [key, "salt"], how).drop("salt")

@@ -5,17 +5,17 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passerby.functions.sizes import broadcast_if_small
+from passerby.functions.sizes import join_dimension
 from passerby.functions.zones import ZONES, tagged_device, zone_tests
 
 
 def zone_sightings(sightings: DataFrame, access_points: DataFrame) -> DataFrame:
     """``entityid, mac, ts`` and one boolean per zone, for each venue of the access point."""
-    venues = broadcast_if_small(access_points.select(
+    venues = access_points.select(
         "apmac", "entityid", F.col("rssi").alias("inside"), F.col("nearbyrssi").alias("nearby"),
-    ))
+    )
     tests = zone_tests(F.col("rssi"), F.col("inside"), F.col("nearby"))
-    return sightings.select("apmac", "mac", "rssi", "ts").join(venues, "apmac").select(
+    return join_dimension(sightings.select("apmac", "mac", "rssi", "ts"), venues, "apmac").select(
         "entityid", "mac", "ts", *[test.alias(zone) for zone, test in tests.items()]
     )
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passerby.functions.sizes import broadcast_if_small
+from passerby.functions.sizes import join_dimension
 from passerby.functions.zones import reaches
 
 
@@ -14,15 +14,11 @@ def match_access_points(sightings: DataFrame, access_points: DataFrame, inclusiv
     Works on a stream. ``sightings`` has apmac and rssi; the venue's entityid,
     indoor_seconds and leave_seconds are added.
     """
-    venues = broadcast_if_small(access_points.select(
-        F.col("apmac").alias("venue_apmac"), F.col("rssi").alias("venue_rssi"),
-        "entityid", "indoor_seconds", "leave_seconds",
-    ))
-    strong = reaches(F.col("rssi"), F.col("venue_rssi"), inclusive, refuse_positive)
-    return (
-        sightings.join(venues, (F.col("apmac") == F.col("venue_apmac")) & strong)
-        .drop("venue_apmac", "venue_rssi")
+    venues = access_points.select(
+        "apmac", F.col("rssi").alias("venue_rssi"), "entityid", "indoor_seconds", "leave_seconds",
     )
+    strong = reaches(F.col("rssi"), F.col("venue_rssi"), inclusive, refuse_positive)
+    return join_dimension(sightings, venues, "apmac").filter(strong).drop("venue_rssi")
 
 
 def latest_sighting(matched: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ window that finds the gaps.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passerby.functions.sizes import broadcast_if_small
+from passerby.functions.sizes import is_small, join_dimension
 from passerby.functions.time import day_start, month_start, within_day
 from passerby.operators.dimensions import DEFAULT_INDOOR_SECONDS, DEFAULT_LEAVE_SECONDS
 
@@ -46,10 +46,11 @@ def _stays(sightings: DataFrame, keys: list[str], slot: Column, strict_gap: bool
     )
 
 
-def _with_threshold(rows: DataFrame, known: DataFrame, name: str, default: int) -> DataFrame:
+def _with_threshold(rows: DataFrame, thresholds: DataFrame, small: bool, name: str,
+                    default: int) -> DataFrame:
     """Each row with one of its venue's thresholds; an unknown venue has the default."""
-    value = F.coalesce(name, F.lit(default).cast("bigint"))
-    return rows.join(known.select("entityid", name), "entityid", "left").withColumn(name, value)
+    joined = join_dimension(rows, thresholds.select("entityid", name), "entityid", "left", small)
+    return joined.withColumn(name, F.coalesce(name, F.lit(default).cast("bigint")))
 
 
 def sessionize(probes: DataFrame, thresholds: DataFrame, edges: str = "keep",
@@ -66,10 +67,10 @@ def sessionize(probes: DataFrame, thresholds: DataFrame, edges: str = "keep",
     if edges not in ("keep", "drop"):
         raise ValueError(f"edges must be 'keep' or 'drop', not {edges!r}")
     keys = ["entityid", "clientmac"] + (["file_day"] if day_scoped else [])
-    known = broadcast_if_small(thresholds.select("entityid", "indoor_seconds", "leave_seconds"))
+    small = is_small(thresholds)
     indoor = probes.filter(F.col("flag") == 1) if "flag" in probes.columns else probes
     slot = F.greatest(F.col("leave_seconds") + int(strict_gap), F.lit(1))
-    timed = _with_threshold(indoor, known, "leave_seconds", DEFAULT_LEAVE_SECONDS)
+    timed = _with_threshold(indoor, thresholds, small, "leave_seconds", DEFAULT_LEAVE_SECONDS)
     stays = _stays(timed, keys, slot, strict_gap)
     if edges == "drop":
         last = F.max("stay").over(Window.partitionBy(*keys))
@@ -78,7 +79,8 @@ def sessionize(probes: DataFrame, thresholds: DataFrame, edges: str = "keep",
         )
     stays = stays.filter(F.col("ltime") > 0)
     if min_seconds == "threshold":
-        stays = _with_threshold(stays, known, "indoor_seconds", DEFAULT_INDOOR_SECONDS)
+        stays = _with_threshold(
+            stays, thresholds, small, "indoor_seconds", DEFAULT_INDOOR_SECONDS)
         stays = stays.filter(F.col("seconds") >= F.col("indoor_seconds"))
     elif min_seconds is not None:
         stays = stays.filter(F.col("seconds") >= min_seconds)

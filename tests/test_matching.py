@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, rows
-from passerby.functions.sizes import broadcast_if_small
+from passerby.functions import sizes
+from passerby.functions.sizes import broadcast_if_small, join_dimension
 from passerby.operators.dimensions import ap_dimension, entity_thresholds
 from passerby.operators.heatmap import zone_heatmap
 from passerby.operators.matching import (
@@ -95,3 +96,16 @@ def test_only_a_counted_side_is_broadcast(spark):
         plan = broadcast_if_small(ap(spark, ("p", 1, -1, -1, 1, 1), ("q", 1, -1, -1, 1, 1)), rows_allowed)
         return "ResolvedHint (strategy=broadcast)" in plan._jdf.queryExecution().analyzed().toString()
     assert hinted(2) and not hinted(1)
+
+
+def test_a_large_dimension_is_joined_by_salt(spark, monkeypatch):
+    s = seen(spark, *ZONES).repartition(3)
+    whole = rows(match_access_points(s, ap(spark)).drop("ts"))
+    zones = rows(zone_heatmap(s, ap(spark)).drop("starttime"))
+    monkeypatch.setattr(sizes, "DIMENSION_ROWS", 0)
+    salted = match_access_points(s, ap(spark))
+    assert "salt" in salted._jdf.queryExecution().analyzed().toString()
+    assert rows(salted.drop("ts")) == whole and rows(zone_heatmap(s, ap(spark)).drop("starttime")) == zones
+    left = join_dimension(s.withColumn("apmac", F.lit("none")), ap(spark).select("apmac", "entityid"),
+                          "apmac", "left")
+    assert left.count() == len(ZONES) and left.filter("entityid IS NOT NULL").count() == 0

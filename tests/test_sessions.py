@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, probes, rows, sightings, thresholds
+from passerby.functions import sizes
 from passerby.operators.sessions import (
     closed_visits, flow_daily, indoor_daily, live_visits_batch, sessionize,
 )
@@ -66,6 +67,13 @@ def test_unknown_venue_has_the_defaults(spark):
     assert rows(sessionize(p, thresholds(spark, entity=2)), *SPAN) == [(100, 399, 299)]
 
 
+def test_many_venues_are_joined_by_salt(spark, monkeypatch):
+    monkeypatch.setattr(sizes, "DIMENSION_ROWS", 0)
+    p = probes(spark, *[("a", t, 1) for t in TIMES]).repartition(3)
+    assert rows(sessionize(p, thresholds(spark)), *SPAN) == ALL
+    assert rows(sessionize(p, thresholds(spark, entity=2)), *SPAN) == ALL
+
+
 def test_empty_input(spark):
     p = probes(spark, ("a", 100, 1)).filter("false")
     assert rows(sessionize(p, thresholds(spark))) == []

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, rows, sightings
+from passerby.functions import sizes
 from passerby.operators.sessions import closed_visits, live_visits_batch
 from passerby.schemas import VISIT_KEYS
 from passerby.sources.feeds import explode_payload, parse_matched_feed, read_stream
@@ -92,7 +93,10 @@ def test_a_new_checkpoint_starts_empty(spark, tmp_path):
     assert rows(run_visits(spark, tmp_path, batches, name="second"), *SPAN) == [(1000, 1000, 0, 0)]
 
 
-def test_live_heatmap(spark, tmp_path):
+@pytest.mark.parametrize("dimension_rows", [100_000, 0])
+def test_live_heatmap(spark, tmp_path, monkeypatch, dimension_rows):
+    monkeypatch.setattr(sizes, "DIMENSION_ROWS", dimension_rows)
+
     def line(mac, rssi, time):
         return f"0,1,p,{mac},{rssi},2024-01-15 {time}"
 
