@@ -14,10 +14,10 @@ def merge_probes(history: DataFrame, increment: DataFrame) -> DataFrame:
 def stale_keys(old: DataFrame, new: DataFrame, keys: list[str] = SESSION_KEYS) -> DataFrame:
     """Keys that were published and are no longer there, each once. No key part is null.
 
-    An anti join on plain equality leaves rows where the distinct needs them, so
-    both take one shuffle; ``subtract`` compares null-safely and needs another.
+    The distinct combines before the shuffle and leaves rows where an anti join on
+    plain equality needs them; ``subtract`` compares null-safely and shuffles again.
     """
-    return old.select(*keys).join(new.select(*keys), keys, "left_anti").distinct()
+    return old.select(*keys).distinct().join(new.select(*keys), keys, "left_anti")
 
 
 def delete_keys(target: DataFrame, stale: DataFrame, keys: list[str] = SESSION_KEYS) -> DataFrame:

@@ -23,3 +23,17 @@ def thresholds(spark, indoor=10, leave=300, entity=1):
 def sightings(spark, times, leave=300, entity=1, mac="a"):
     return frame(spark, "entityid int, clientmac string, stime long, leave_seconds long",
                  *[(entity, mac, t, leave) for t in times])
+
+
+def physical(df):
+    """The physical plan without adaptive execution."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def shuffles(df):
+    return physical(df).count("Exchange hashpartitioning")

@@ -1,6 +1,6 @@
 import random
 
-from helpers import frame, probes, rows, thresholds
+from helpers import frame, physical, probes, rows, thresholds
 from passerby.operators.keyed import (
     delete_keys, merge_probes, of_days, stale_keys, touched_days, upsert,
 )
@@ -137,7 +137,7 @@ def test_history_of_other_days_is_not_read(spark, tmp_path):
         append_probes(probes(spark, ("a", d * 86400 + 9, 1), day=d * 86400), path, "r1")
     days = touched_days(probes(spark, ("a", 86400 + 9, 1), day=86400))
     kept = of_days(read_stored_probes(spark, path), days)
-    plan = kept._jdf.queryExecution().executedPlan().toString()
+    plan = physical(kept)
     pruning = plan[plan.index("PartitionFilters"):]
     assert "file_day" in pruning[:pruning.index("]")] and "ubquery" in pruning[:pruning.index("]")]
     assert rows(kept, "stime") == [(86409,)]

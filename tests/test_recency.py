@@ -1,6 +1,6 @@
 from datetime import date, datetime, timezone
 
-from helpers import frame, rows
+from helpers import frame, rows, shuffles
 from passerby.operators.recency import (
     client_profile, footfall_report, recency_as_of, recency_flow, recency_indoor, visitor_report,
 )
@@ -77,20 +77,11 @@ def test_as_of_can_name_flow_columns(spark):
     assert rows(flow.select("r_visits7", "r_visits30").distinct()) == [(3, 5)]
 
 
-def exchanges(df):
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.count("Exchange hashpartitioning")
-
-
 def test_one_shuffle_serves_all_windows(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        stored = daily(spark, DAYS)
-        assert exchanges(recency_flow(stored)) == 1
-        assert exchanges(recency_indoor(stored, 0)) == 1
-        assert exchanges(client_profile(visitor_report(stored, stored, 0))) == 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    stored = daily(spark, DAYS)
+    assert shuffles(recency_flow(stored)) == 1
+    assert shuffles(recency_indoor(stored, 0)) == 1
+    assert shuffles(client_profile(visitor_report(stored, stored, 0))) == 1
 
 
 def test_report_where_stays_skip_months(spark):

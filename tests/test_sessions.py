@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import frame, probes, rows, sightings, thresholds
+from helpers import frame, physical, probes, rows, shuffles, sightings, thresholds
 from passerby.functions import sizes
 from passerby.operators.sessions import (
     closed_visits, flow_daily, indoor_daily, live_visits_batch, sessionize,
@@ -152,3 +152,15 @@ def test_short_leave_times_need_a_smaller_slot(spark):
 def test_zero_leave_time_parts_every_moment(spark):
     zero = sightings(spark, [5, 5, 6], leave=0)
     assert rows(live_visits_batch(zero, slot_seconds=0), "etime", "done") == [(5, 1), (6, 0)]
+
+
+def test_sightings_are_folded_before_each_shuffle(spark):
+    p = probes(spark, ("a", 1, 1))
+    daily = indoor_daily(sessionize(p, thresholds(spark)))
+    assert shuffles(daily) == 2
+    # Read from the scan up, the first shuffle comes after a partial aggregation.
+    before_first = physical(daily).split("Exchange hashpartitioning")[-1]
+    assert "partial_min(stime" in before_first
+    assert "Window" not in before_first
+    assert shuffles(live_visits_batch(sightings(spark, [1]))) == 2
+    assert shuffles(flow_daily(p)) == 1
