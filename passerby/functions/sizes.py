@@ -2,19 +2,38 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMENSION_ROWS = 100_000
+DIMENSION_BYTES = 64 << 20
 SALTS = 16
 
 
+def measured_bytes(rows: DataFrame) -> tuple[int, int]:
+    """Number and bytes of ``rows``, summed within each task before one row of sums goes on."""
+    width = F.lit(16 + 8 * len(rows.columns)).cast("long")
+    for field in rows.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n, size
+
+
 def is_small(dimension: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a bounded count finds no more than ``max_rows``, by default `DIMENSION_ROWS`."""
-    limit = DIMENSION_ROWS if max_rows is None else max_rows
-    return not dimension.isStreaming and dimension.limit(limit + 1).count() <= limit
+    """Whether there are at most ``max_rows`` rows, by default `DIMENSION_ROWS`, and `DIMENSION_BYTES`.
+
+    No row is moved for it: every task counts its own.
+    """
+    if dimension.isStreaming:
+        return False
+    n, size = measured_bytes(dimension)
+    return n <= (DIMENSION_ROWS if max_rows is None else max_rows) and size <= DIMENSION_BYTES
 
 
 def broadcast_if_small(dimension: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``dimension`` with a broadcast hint when a bounded count proves it small.
+    """``dimension`` with a broadcast hint when its measured size proves it small.
 
     A larger one comes back as it was: Spark then shuffles both sides, and
     adaptive execution splits the partitions of a hot key.

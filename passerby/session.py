@@ -41,8 +41,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new name for a table or files in the shared folder."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder: computed once, and every use agrees."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = run_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
