@@ -2,10 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import packing
+from passerby.llm import language, mixing, packing
 from passerby.llm.rows import table
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op3_piece_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -15,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_source_mixing": mixing.ORACLE}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 #: Words of a text are the runs without ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 FOLDS = 5
 
 
