@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import language, mixing, packing
+from passerby.llm import language, mixing, packing, warc
 from passerby.llm.rows import table
 
 
@@ -18,9 +18,13 @@ def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": mixing.ORACLE}
+    return {"op2_source_mixing": mixing.ORACLE, "op7_splittable_warc": warc.ORACLE}
