@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import language, mixing, packing, quality_rules, quality_votes, warc
+from passerby.llm import language, mixing, packing, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
 
@@ -22,6 +22,10 @@ def op7_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
