@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import language, mixing, packing, quality_rules, quality_votes, url_rules, warc
+from passerby.llm import language, mixing, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
 
@@ -14,6 +14,10 @@ def op3_piece_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
 
 
+def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonyms(table(spark, sf_dir, "documents"))
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
