@@ -2,10 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import language, mixing, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
+from passerby.llm import language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
 
+def op1_prefix_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_of_every_twentieth(table(spark, sf_dir, "embeddings"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
