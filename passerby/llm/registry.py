@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from passerby.llm import language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
+from passerby.llm import jaccard_join, language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
 
@@ -26,6 +26,10 @@ def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_fragment_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, percent=90))
+
+
 def op7_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -47,4 +51,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": mixing.ORACLE, "op7_splittable_warc": warc.ORACLE}
+    return {"op2_source_mixing": mixing.ORACLE, "op6_fragment_jaccard_join": jaccard_join.ORACLE, "op7_splittable_warc": warc.ORACLE}
