@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from passerby.llm import jaccard_join, language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
@@ -46,8 +47,13 @@ def op10_nearest_label_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
+    own = {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
+    return own | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
