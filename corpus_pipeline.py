@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passerby.llm import jaccard_join, language, mixing, packing, pseudonyms
+from passerby.llm.rows import carry, put_down
 from passerby.session import run_folder
 
 #: A text whose best language has less than this share of the likelihoods has no language.
@@ -19,9 +20,10 @@ LEAST_SHARE = 0.5
 
 def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that have a language, with it as their ``lang``; null texts and texts without a letter go."""
-    found = language.identify(docs, language.learn(docs))
+    needed = ("doc_id", "text", "lang")
+    found = language.identify(carry(docs, *needed), language.learn(docs))
     kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return put_down(kept.withColumn("lang", F.col("lang_pred")), docs, *needed)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +33,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced; ``n_chars`` follows the text."""
-    hidden = pseudonyms.pseudonymise(docs)
+    needed = ("text", *(["n_chars"] if "n_chars" in docs.columns else []))
+    hidden = pseudonyms.pseudonymise(carry(docs, *needed))
     if "n_chars" in docs.columns:
         hidden = hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return hidden.select(*docs.columns)
+    return put_down(hidden, docs, *needed)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from passerby.functions.sizes import broadcast_if_small
 from passerby.llm.components import components
+from passerby.llm.rows import carry, put_down
 from passerby.session import cut_lineage
 
 #: The order knows how often n-grams occur by counts of so many hash ranges.
@@ -318,10 +319,11 @@ def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id, and all rows without an id."""
     groups = link(docs, rule)
     kept = cut_lineage(groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")))
-    marked = docs.join(broadcast_if_small(kept.withColumnRenamed("doc_id", "kept_id"), 1_000_000), F.col("doc_id") == F.col("kept_id"), "left")
-    single = marked.filter("doc_id IS NULL OR rows = 1").select(*docs.columns)
-    repeated = marked.filter("rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
-    return single.union(repeated)
+    kept = broadcast_if_small(kept.withColumnRenamed("doc_id", "kept_id"), 1_000_000)
+    marked = carry(docs, "doc_id", "text").join(kept, F.col("doc_id") == F.col("kept_id"), "left")
+    single = marked.filter("doc_id IS NULL OR rows = 1")
+    repeated = marked.filter("rows > 1").dropDuplicates(["doc_id"])
+    return put_down(single.union(repeated), docs, "doc_id", "text")
 
 
 #: The links of the whole table, and all that can be reached by them.

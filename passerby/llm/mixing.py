@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
-from passerby.llm.rows import WORD
+from passerby.llm.rows import WORD, carry, put_down
 from passerby.session import cut_lineage
 
 #: No source is repeated more often than this on average, so no document more often either.
@@ -87,9 +87,9 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, seed: st
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, seed: str = "mix") -> DataFrame:
     """The documents themselves, each as often as the plan takes it, with the columns of ``docs``."""
-    planned = plan(sized(docs), weights, most, seed)
-    return planned.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))).filter(
-        F.col("copies") > 0).select(*docs.columns)
+    needed = ("doc_id", "text", "source")
+    planned = plan(sized(carry(docs, *needed)), weights, most, seed).filter("copies > 0")
+    return put_down(planned.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs, *needed)
 
 
 def mixture(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ not grow with the text, so one threshold judges every document alike. All of it
 is column expressions.
 """
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from passerby.llm.rows import SPACE
 BUCKETS = 16_384
 #: Trusted are the documents labelled good; about so many of them are counted, at most twice as many.
 TRUSTED_DOCS = 20_000
-SMOOTHING = 1.0
+PRIOR = 16_384.0
 #: A document whose mean log-likelihood ratio is below this is not kept.
 THRESHOLD = -0.08
 WINDOW = 5
@@ -134,11 +136,14 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int =
 
 
 def _weights(raw: list[int], good: list[int]) -> list[float]:
-    """Rounded to four digits, so that the order of additions cannot move a document across the threshold."""
-    from math import log
+    """Trusted counts are joined by `PRIOR` n-grams in the shares of the whole corpus, so few documents say little.
 
-    r, g = sum(raw) + SMOOTHING * len(raw), sum(good) + SMOOTHING * len(good)
-    return [round(log((b + SMOOTHING) / g) - log((a + SMOOTHING) / r), 4) for a, b in zip(raw, good, strict=True)]
+    Rounded to four digits, so that the order of additions cannot move a
+    document across the threshold.
+    """
+    everywhere = sum(raw) + len(raw)
+    shares = [(n + 1) / everywhere for n in raw]
+    return [round(log((n + PRIOR * share) / (sum(good) + PRIOR) / share), 4) for n, share in zip(good, shares, strict=True)]
 
 
 def ratio(hashes: Column, weights: list[float]) -> Column:

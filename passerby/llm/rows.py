@@ -42,3 +42,14 @@ def sample_per_class(rows: DataFrame, label: str, key: str, bound: int, seed: in
         if row["count"] > bound:
             share = F.when(F.col(label).eqNullSafe(row[label]), bound / row["count"]).otherwise(share)
     return rows.filter(draw < share)
+
+
+def carry(docs: DataFrame, *needed: str) -> DataFrame:
+    """The ``needed`` columns, and all others in one column, so that no name of theirs meets an operator's own."""
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in needed]
+    return docs.select(*needed, *([F.struct(*others).alias("carried_columns")] if others else []))
+
+
+def put_down(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
+    """Carried rows with the columns of ``docs`` again."""
+    return rows.select(*[F.col(name) if name in needed else F.col(f"carried_columns.`{name}`").alias(name) for name in docs.columns])

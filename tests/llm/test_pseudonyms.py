@@ -1,0 +1,83 @@
+"""Pseudonyms: permutations, formats and checks kept, equal values linked, the way back, clean texts untouched."""
+
+import re
+
+import pytest
+
+from passerby.llm import pseudonyms as p
+
+KEY = b"a key"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000, 4099])
+def test_permutations(size):
+    found = [p.permute(v, size, KEY, "t") for v in range(size)]
+    assert sorted(found) == list(range(size))
+    assert [p.permute(v, size, KEY, "t", back=True) for v in found] == list(range(size))
+
+
+VALID = [
+    ("card", "4111 1111 1111 1111"), ("card", "5500-0000-0000-0004"), ("card", "340000000000009"), ("card", "4929963689861572"),
+    ("phone", "+1 (017) 555-7713"), ("phone", "(212) 555-0100"), ("phone", "+49 30 1234 5678"), ("phone", "212-555-0100"),
+    ("address", "10.0.0.255"), ("date", "1984-02-29"), ("date", "29.02.1984"), ("date", "31/12/1999"), ("security", "123-45-6789"),
+    ("account", "DE89 3704 0044 0532 0130 00"), ("account", "GB82WEST12345698765432"), ("mail", "bob.smith+x@example-site.co.uk"),
+    ("secret", "ffc3105535f423f352535e4ac53b5fefe076ac6d"), ("secret", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"),
+]
+INVALID = ["4111 1111 1111 1112", "1234567890123456", "999.1.1.1", "v1.2.3.4.5", "31/02/1990", "1990-13-01", "666-12-3456", "000-12-3456",
+           "DE88 3704 0044 0532 0130 00", "no@dots", "@", "12 apples", "3.14159", "2024", "deadbeef", "a-b-c", "1,000,000", "token: short"]
+
+
+@pytest.mark.parametrize("kind, value", VALID)
+def test_formats_and_checks_are_kept(kind, value):
+    text = f"See {value}, and {value}."
+    new, spans = p.replace(text, KEY)
+    assert [name for name, _, _ in spans] == [kind, kind]
+    first, second = (new[start:end] for _, start, end in spans)
+    assert first == second != value
+    shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "0", s)))
+    if kind == "address":
+        assert all(0 <= int(part) <= 255 for part in first.split("."))
+    elif kind == "secret":
+        assert len(first) == len(value) and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", first)
+    else:
+        assert shape(first) == shape(value)
+    # A pseudonym is valid for its kind: it can be taken back.
+    assert p.replace(new, KEY, back=True)[0] == text
+    assert p.replace(text, b"another key")[0] != new
+
+
+@pytest.mark.parametrize("value", INVALID)
+def test_what_is_not_valid_stays(value):
+    text = f"See {value}, or not."
+    assert p.replace(text, KEY) == (text, [])
+
+
+def test_values_never_share_a_pseudonym():
+    cards = [f"411111{body:09d}" for body in range(2000)]
+    cards = [c + next(d for d in "0123456789" if p.luhn(c + d)) for c in cards]
+    new = [p.replace(card, KEY)[0] for card in cards]
+    assert len(set(new)) == len(cards) and all(p.luhn(card) and card[:6] == "411111" for card in new)
+
+
+def test_kinds_side_by_side():
+    text = 'token = "ffc3105535f423f352535e4ac53b5fefe076ac6d"###, mail que.66@mail9.example.com### from 217.75.41.129 on 2020-01-31!!'
+    new, spans = p.replace(text, KEY)
+    assert [name for name, _, _ in spans] == ["secret", "mail", "address", "date"]
+    assert re.sub(r"\w", "", new) == re.sub(r"\w", "", text)
+
+
+def test_rows(spark):
+    rows = [(1, "call (212) 555-0100", "x"), (2, "clean text, 12 words and 3.5", "x"), (3, None, "x"), (4, "", "x"), (None, "(212) 555-0100", "x"),
+            (1, "call (212) 555-0100", "x"), (5, "1 " * 100_000 + "10.0.0.1", "x"), (6, "x" * 300_000, "x"), (7, "9" * 200_000, "x"), (8, "a@" * 50_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pii string")
+    found = {(row.doc_id, i): row for i, row in enumerate(p.pseudonymise(docs).orderBy("doc_id", "text").collect())}
+    by_id = {doc_id: row for (doc_id, _), row in found.items()}
+    assert len(found) == len(rows)
+    assert by_id[1].text[5:] == by_id[None].text != "(212) 555-0100"
+    assert by_id[2].text == rows[1][1] and by_id[2].pii == [] and by_id[3].text is None and by_id[3].pii == [] and by_id[4].text == ""
+    assert by_id[5].text[:-9].startswith("1 1 1") and by_id[5].pii[-1].kind == "address"
+    assert all(by_id[i].text == dict((r[0], r[1]) for r in rows)[i] for i in (6, 7, 8))
+    back = p.pseudonymise(p.pseudonymise(docs).drop("pii"), back=True)
+    assert sorted(str(r.text) for r in back.collect()) == sorted(str(r[1]) for r in rows)
+    assert p.pseudonyms(docs.limit(0)).count() == 0
+    assert p.pseudonyms(docs).columns == ["doc_id", "text", "n_pii", "pii"]
