@@ -243,6 +243,29 @@ def overlaps(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, rule: Rule, or
     return cut_lineage(summed.join(pairs, ["a", "b"]).filter(rule.links(F.col("shared"), F.col("n_a"), F.col("n_b"))).select("a", "b", "shared"))
 
 
+def shared_postings(nodes: DataFrame, rule: Rule) -> DataFrame:
+    """key, node, n and rank of the prefixes' n-grams that several nodes have.
+
+    Where they are two, the two have to fit each other in size and in rank.
+    Every n-gram of every prefix is moved once: counting and keeping share one
+    distribution by n-gram. A node's size and the rank are carried in one number.
+    """
+    every = nodes.select("node", "n", F.posexplode("prefix").alias("rank", "key"))
+    packed = F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("rank").cast("long")).alias("n_rank")
+    dealt = every.select("key", "node", packed).repartition("key")
+
+    def n(c: str) -> Column:
+        return F.shiftright(F.col(c), 32)
+
+    def rank(c: str) -> Column:
+        return F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    seen = dealt.groupBy("key").agg(F.count("node").alias("nodes"), F.min("n_rank").alias("low"), F.max("n_rank").alias("high"))
+    two_fit = (100 * n("low") >= rule.percent * n("high")) & rule.may_link(rank("low") + rank("high"), n("low"), n("high"))
+    several = seen.filter((F.col("nodes") > 2) | ((F.col("nodes") == 2) & two_fit)).select("key")
+    return dealt.join(several, "key").select("key", "node", n("n_rank").alias("n"), rank("n_rank").cast("int").alias("rank"))
+
+
 def first_pairs(postings: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Each node with the most alike of the nodes that stand first at one of its n-grams.
 
@@ -301,9 +324,7 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     nodes = cut_lineage(sets.filter("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
     ).withColumn("node", F.monotonically_increasing_id()))
-    postings = nodes.select("node", "n", F.posexplode("prefix").alias("rank", "key"))
-    several = postings.groupBy("key").count().filter("count > 1").select("key")
-    postings = cut_lineage(postings.join(several, "key"))
+    postings = cut_lineage(shared_postings(nodes, rule))
     links = overlaps(docs, first_pairs(postings, nodes, rule), nodes, rule, order)
     known = components(links)
     more = overlaps(docs, further_pairs(postings, nodes, known, rule), nodes, rule, order)
