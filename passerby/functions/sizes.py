@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 DIMENSION_ROWS = 100_000
 DIMENSION_BYTES = 64 << 20
 SALTS = 16
+BUSY_SHARE = 0.02
 
 
 def measured_bytes(rows: DataFrame) -> tuple[int, int]:
@@ -41,16 +42,38 @@ def broadcast_if_small(dimension: DataFrame, max_rows: int | None = None) -> Dat
     return F.broadcast(dimension) if is_small(dimension, max_rows) else dimension
 
 
+def busy_keys(rows: DataFrame, key: str, share: float = BUSY_SHARE) -> DataFrame:
+    """The values of ``key`` that hold more than ``share`` of all rows: at most 1 / ``share`` of them."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    total = rows.agg(F.count("*")).scalar()
+    return counts.filter(F.col("n") > share * total).select(key)
+
+
+def _salted_join(rows: DataFrame, dimension: DataFrame, key: str, how: str) -> DataFrame:
+    """Each row of ``dimension`` once per salt; ``rows`` by the salt of the input partition they come from.
+
+    That is the same when a lost task runs again.
+    """
+    salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
+    repeated = dimension.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(repeated, [key, "salt"], how).drop("salt")
+
+
 def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, how: str = "inner",
                    small: bool | None = None) -> DataFrame:
     """``rows`` with the columns of ``dimension``, however large and however skewed ``key`` is.
 
-    A small dimension is broadcast. A large one is repeated once per salt, and
-    the rows of a busy key are dealt out by the input partition they come from,
-    which is the same when a lost task runs again.
+    A small dimension is broadcast. Of a large one only the rows of the few busy
+    keys are repeated over salts; all other rows meet it in one plain join. The
+    rows of a stream cannot be counted first, so all of them are salted.
     """
     if is_small(dimension) if small is None else small:
         return rows.join(F.broadcast(dimension), key, how)
-    salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
-    repeated = dimension.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return salted.join(repeated, [key, "salt"], how).drop("salt")
+    if rows.isStreaming:
+        return _salted_join(rows, dimension, key, how)
+    named = [row[0] for row in busy_keys(rows, key).collect()]
+    if not named:
+        return rows.join(dimension, key, how)
+    busy = F.coalesce(F.col(key).isin(named), F.lit(False))
+    others = rows.filter(~busy).join(dimension.filter(~busy), key, how)
+    return others.unionByName(_salted_join(rows.filter(busy), dimension.filter(busy), key, how))

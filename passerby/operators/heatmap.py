@@ -56,9 +56,13 @@ def _sketch_size(rsd: float) -> int:
     """Log2 of the registers that keep the standard error of a HyperLogLog sketch under ``rsd``.
 
     A sketch of few devices stays a short list, which matters with millions of
-    quiet windows; ``approx_count_distinct`` takes all its registers for each.
+    quiet windows; ``approx_count_distinct`` takes all its registers for each. A
+    sketch has at most 2**21 registers, so a smaller ``rsd`` cannot be kept.
     """
-    return min(max(math.ceil(2 * math.log2(1.04 / rsd)), 4), 21)
+    size = max(math.ceil(2 * math.log2(1.04 / rsd)), 4)
+    if size > 21:
+        raise ValueError(f"rsd {rsd} is smaller than a sketch can keep, {1.04 / 2 ** 10.5:.5f}")
+    return size
 
 
 def _exact(seen: DataFrame, mode: str) -> DataFrame:

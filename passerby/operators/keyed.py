@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from passerby.functions.sizes import broadcast_if_small
 from passerby.schemas import DAY_KEYS, SESSION_KEYS
 
 
@@ -42,8 +43,11 @@ def touched_days(increment: DataFrame) -> DataFrame:
 def of_days(df: DataFrame, days: DataFrame, keys: list[str] = DAY_KEYS) -> DataFrame:
     """Rows of ``df`` filed under one of ``days``.
 
-    The range of the days is known when the scan starts, so of a table stored by
-    day only the partitions in it are read.
+    The days themselves are few, however many venues they have, and are
+    broadcast, so of a table stored by day only their partitions are read; their
+    range, known when the scan starts, lets the pruning begin.
     """
     first, last = (days.agg(bound("file_day")).scalar() for bound in (F.min, F.max))
-    return df.filter(F.col("file_day").between(first, last)).join(days.select(*keys), keys, "left_semi")
+    filed = broadcast_if_small(days.select("file_day").distinct())
+    rows = df.filter(F.col("file_day").between(first, last)).join(filed, "file_day", "left_semi")
+    return rows if keys == ["file_day"] else rows.join(days.select(*keys), keys, "left_semi")

@@ -137,16 +137,15 @@ def visitor_report(flow: DataFrame, indoor: DataFrame, as_of_day: int | Column)
 
 
 def client_profile(report: DataFrame) -> DataFrame:
-    """The latest report row of each visitor, first and last days as dates."""
-    def latest(c: str) -> Column:
-        return F.max_by(c, "utoday").alias(c)
+    """The latest report row of each visitor, first and last days as dates.
 
+    Every row of the report states the visitor's last day, so the latest is
+    found by a filter.
+    """
     def date_or_none(c: str) -> Column:
         return local_date(F.when(F.col(c) != 0, F.col(c))).alias(c)
 
-    return report.groupBy(*VISITOR).agg(*[latest(c) for c in (
-        *INDOOR_MEASURES[:7], *FLOW_MEASURES,
-    )]).select(
+    return report.filter(F.col("utoday") == F.col("LastVisit")).select(
         *VISITOR,
         date_or_none("FirstVisit"), date_or_none("LastVisit"),
         "visits", "visitsPrevMonth", "visits30", "visits7",

@@ -16,7 +16,7 @@ from passerby.functions.sizes import is_small, join_dimension
 from passerby.functions.time import day_start, month_start, within_day
 from passerby.operators.dimensions import DEFAULT_INDOOR_SECONDS, DEFAULT_LEAVE_SECONDS
 
-# A leave time is a whole number of minutes, so this slot fits under all of them.
+# Visits fold sightings to slots of at most this length.
 SLOT_SECONDS = 60
 
 
@@ -115,40 +115,43 @@ def flow_daily(probes: DataFrame) -> DataFrame:
     )
 
 
-def _visits(sightings: DataFrame, strict_gap: bool, slot_seconds: int) -> DataFrame:
+def known_sightings(sightings: DataFrame) -> DataFrame:
+    """Sightings with venue, device and time; where the leave time is null it is the default one."""
+    return sightings.dropna(subset=["entityid", "clientmac", "stime"]).withColumn(
+        "leave_seconds", F.coalesce(F.col("leave_seconds").cast("bigint"), F.lit(DEFAULT_LEAVE_SECONDS).cast("bigint")))
+
+
+def _visits(sightings: DataFrame, strict_gap: bool) -> DataFrame:
     """Stays over all time, with ``done`` 0 for the last, still open, one of each key."""
     keys = ["entityid", "clientmac"]
-    leave = F.col("leave_seconds")
-    fits = F.when(leave >= slot_seconds, leave).otherwise(
-        F.raise_error(F.concat(F.lit(f"slot_seconds {slot_seconds} exceeds a leave time of "), leave))
-    )
-    timed = sightings.select(*keys, "stime", fits.cast("bigint").alias("leave_seconds"))
-    slot = F.lit(max(slot_seconds, 1)).cast("bigint")
+    timed = known_sightings(sightings).select(*keys, "stime", "leave_seconds")
+    # No longer than the shortest leave time there is, known when the query runs.
+    shortest = timed.agg(F.min("leave_seconds")).scalar()
+    slot = F.greatest(F.least(F.lit(SLOT_SECONDS).cast("bigint"), shortest), F.lit(1).cast("bigint"))
     stays = _stays(timed, keys, slot, strict_gap)
     still_open = F.col("stay") == F.max("stay").over(Window.partitionBy(*keys))
     return stays.withColumn("done", F.when(still_open, 0).otherwise(1))
 
 
-def live_visits_batch(sightings: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def live_visits_batch(sightings: DataFrame) -> DataFrame:
     """The visits that the live feed leaves behind, from time-ordered sightings.
 
-    ``sightings``: entityid, clientmac, stime, leave_seconds. Leave times below
-    ``slot_seconds`` need a smaller one (0 takes any) and raise an error.
+    ``sightings``: entityid, clientmac, stime, leave_seconds, of any length; a
+    null one is the default.
     """
-    return _visits(sightings, False, slot_seconds).select(
+    return _visits(sightings, False).select(
         "clientmac", "entityid", "etime", "ltime", "seconds", "done"
     )
 
 
-def closed_visits(sightings: DataFrame, floor_seconds: int = 5,
-                  slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def closed_visits(sightings: DataFrame, floor_seconds: int = 5) -> DataFrame:
     """Finished visits only, ended by more than the leave time.
 
     A visit of a single moment counts as ``floor_seconds``.
     """
     length = F.when(F.col("etime") == F.col("ltime"), F.lit(floor_seconds)).otherwise(F.col("seconds"))
     return (
-        _visits(sightings, True, slot_seconds)
+        _visits(sightings, True)
         .filter(F.col("done") == 1)
         .select("clientmac", "entityid", "etime", "ltime", length.cast("bigint").alias("seconds"))
     )

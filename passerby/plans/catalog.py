@@ -1,6 +1,5 @@
 """The registered queries: every operator on the given tables."""
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,16 +7,19 @@ from pyspark.sql import functions as F
 
 from passerby.functions.time import month_start
 from passerby.operators import dimensions, heatmap, ingest, keyed, matching, recency, sessions
-from passerby.plans.refresh import refresh_days
+from passerby.plans.refresh import apply_run, daily_report, publish_refresh, refresh_days
 from passerby.plans.tables import Tables
 from passerby.schemas import SESSION_KEYS
-from passerby.session import cut_lineage, shared_folder
-from passerby.sources.feeds import explode_payload, parse_fields
+from passerby.session import cut_lineage, run_folder
+from passerby.sources.feeds import explode_payload, parse_feed, parse_fields
+from passerby.sources.probes import read_probes, write_probe_files
+from passerby.sources.tables import read_sessions
 from passerby.streaming.live import live_visits as live_visits_of
-from passerby.streaming.sinks import change_writer, read_heatmap, read_live_visits, start_live
+from passerby.streaming.sinks import live_writer, read_heatmap, read_live_visits, start_live
 
 SESSION = ["clientmac", "entityid", "etime", "ltime", "seconds"]
 LONG_STAY = 2 * 60 * 60
+STAYED = ("F", "O")
 AS_OF_DAY = 996624000  # 2001-08-01, the last day of the orders
 NOW = "2024-01-15 12:00:00"
 PROCESSED_AT = "2024-02-01 03:00:00"
@@ -103,7 +105,7 @@ def day_refresh(t: Tables) -> DataFrame:
 
 
 def _long_stays(t: Tables) -> tuple[DataFrame, DataFrame]:
-    every = sessions.sessionize(t.probes(), t.thresholds()).select(SESSION)
+    every = cut_lineage(sessions.sessionize(t.probes(), t.thresholds()).select(SESSION))
     return every, every.filter(F.col("seconds") >= LONG_STAY)
 
 
@@ -141,12 +143,13 @@ def recency_indoor(t: Tables) -> DataFrame:
 
 @_query
 def footfall_report(t: Tables) -> DataFrame:
-    return recency.visitor_report(t.flow_days(), t.indoor_days(), AS_OF_DAY)
+    """Some days have no stay: those of the orders still in process."""
+    return recency.visitor_report(t.flow_days(), t.indoor_days(STAYED), AS_OF_DAY)
 
 
 @_query
 def footfall_report_joined(t: Tables) -> DataFrame:
-    return recency.footfall_report(recency_flow(t), recency_indoor(t))
+    return recency.footfall_report(recency_flow(t), recency.recency_indoor(t.indoor_days(STAYED), AS_OF_DAY))
 
 
 @_query
@@ -234,28 +237,125 @@ def processing_log(t: Tables) -> DataFrame:
     return ingest.processing_log(t.probes(), PROCESSED_AT)
 
 
-def _streamed(t: Tables, rows, write_to: str) -> str:
-    """Runs a stream over all that is there and returns where its changes are."""
-    place = f"{shared_folder(t.spark)}/{write_to}-{uuid.uuid4().hex}"
-    start_live(rows, change_writer(f"{place}/changes"), f"{place}/state", every=None).start().awaitTermination()
+def _streamed(t: Tables, rows_of: Callable[[Tables], DataFrame], slices: list[DataFrame], place: str, name: str = "state") -> str:
+    """Feeds a stream slice by slice, each in a run of its own from the same checkpoint; returns where its changes are.
+
+    So every slice but the first is met by state that is read back.
+    """
+    for part in slices:
+        part.write.mode("append").parquet(f"{place}/{name}-feed")
+        rows = rows_of(t.as_stream(f"{place}/{name}-feed"))
+        checkpoint = f"{place}/{name}"
+        start_live(rows, live_writer(t.spark, f"{place}/changes", checkpoint), checkpoint, every=None).start().awaitTermination()
     return f"{place}/changes"
 
 
+def _visits_of(rule: str = "current") -> Callable[[Tables], DataFrame]:
+    return lambda stream: live_visits_of(stream.indoor_sightings(), rule)
+
+
+def _heat_map_of(t: Tables) -> Callable[[Tables], DataFrame]:
+    return lambda stream: heatmap.zone_heatmap(stream.sightings(), t.access_points(), exact=False, watermark="5 minutes")
+
+
+def _heat_map_at(t: Tables, changes: str) -> DataFrame:
+    return read_heatmap(t.spark, changes).withColumn("starttime", F.unix_timestamp("starttime"))
+
+
 @_query
 def live_visits_stream(t: Tables) -> DataFrame:
-    """The state machine itself, fed with the probes as a stream."""
-    return read_live_visits(t.spark, _streamed(t, live_visits_of(t.as_stream().indoor_sightings()), "visits"))
+    """The state machine itself, fed with the probes as a stream in three runs."""
+    return read_live_visits(t.spark, _streamed(t, _visits_of(), t.event_slices(), run_folder(t.spark)))
+
+
+@_query
+def live_visits_late(t: Tables) -> DataFrame:
+    """The first span of time comes last: sightings older than an open visit's end are ignored."""
+    first, second, third = t.event_slices()
+    return read_live_visits(t.spark, _streamed(t, _visits_of(), [second, third, first], run_folder(t.spark)))
+
+
+@_query
+def live_visits_restarted(t: Tables) -> DataFrame:
+    """All events, then those of the later spans under a new checkpoint: the second run alone counts."""
+    place, slices = run_folder(t.spark), t.event_slices()
+    _streamed(t, _visits_of(), slices, place, "first")
+    return read_live_visits(t.spark, _streamed(t, _visits_of(), slices[1:], place, "second"))
 
 
 @_query
 def closed_visits_stream(t: Tables) -> DataFrame:
-    rows = live_visits_of(t.as_stream().indoor_sightings(), "trigger")
-    return read_live_visits(t.spark, _streamed(t, rows, "closed")).drop("done")
+    rows = _streamed(t, _visits_of("trigger"), t.event_slices(), run_folder(t.spark))
+    return read_live_visits(t.spark, rows).drop("done")
 
 
 @_query
 def zone_heatmap_stream(t: Tables) -> DataFrame:
-    rows = heatmap.zone_heatmap(t.as_stream().sightings(), t.access_points(), exact=False,
-                                watermark="5 minutes")
-    counted = read_heatmap(t.spark, _streamed(t, rows, "heatmap"))
-    return counted.withColumn("starttime", F.unix_timestamp("starttime"))
+    return _heat_map_at(t, _streamed(t, _heat_map_of(t), t.event_slices(), run_folder(t.spark)))
+
+
+@_query
+def zone_heatmap_late(t: Tables) -> DataFrame:
+    """The first span of time comes last: its windows end before the watermark and are refused."""
+    first, second, third = t.event_slices()
+    return _heat_map_at(t, _streamed(t, _heat_map_of(t), [second, third, first], run_folder(t.spark)))
+
+
+@_query
+def zone_heatmap_restarted(t: Tables) -> DataFrame:
+    """Two spans of time under two checkpoints: the heat map keeps both runs."""
+    place, slices = run_folder(t.spark), t.event_slices(2)
+    _streamed(t, _heat_map_of(t), slices[:1], place, "first")
+    return _heat_map_at(t, _streamed(t, _heat_map_of(t), slices[1:], place, "second"))
+
+
+@_query
+def feed_rejects(t: Tables) -> DataFrame:
+    """Good and refused lines of the raw feed; together they are all lines."""
+    good, rejects = parse_feed(t.feed_lines(), "raw")
+    time = F.unix_timestamp("updatingtime").alias("stime")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("apmac", "string"), ("mac", "string"), ("rssi", "int"), ("stime", "long"))]
+    return good.select(F.lit("good").alias("kind"), F.lit(None).cast("string").alias("value"), "apmac", "mac", "rssi", time).unionByName(
+        rejects.select(F.lit("reject").alias("kind"), "value", *nothing))
+
+
+@_query
+def live_visits_short_leave(t: Tables) -> DataFrame:
+    return sessions.live_visits_batch(t.short_leave_sightings())
+
+
+def _published(t: Tables) -> tuple[str, DataFrame]:
+    """The probes published in two runs, and the sessions as the first left them."""
+    root, rows = run_folder(t.spark), t.probe_rows()
+    publish_refresh(t.spark, rows.filter(F.col("event_id") % 2 == 0).drop("event_id"), t.thresholds(), root, "r1")
+    first = cut_lineage(read_sessions(t.spark, f"{root}/rec_indoor"))
+    publish_refresh(t.spark, rows.filter(F.col("event_id") % 2 == 1).drop("event_id"), t.thresholds(), root, "r2")
+    return root, first
+
+
+@_query
+def probe_files(t: Tables) -> DataFrame:
+    """The probes written as the files that venues send, and read from them."""
+    folder = run_folder(t.spark)
+    write_probe_files(t.probes().distinct(), folder)
+    return read_probes(t.spark, folder)[0].select("entityid", "file_day", "ufirstday", "clientmac", "stime", "flag")
+
+
+@_query
+def day_publish(t: Tables) -> DataFrame:
+    root, _ = _published(t)
+    return read_sessions(t.spark, f"{root}/rec_indoor").select(SESSION)
+
+
+@_query
+def published_report(t: Tables) -> DataFrame:
+    """The report from the days as they are stored."""
+    root, _ = _published(t)
+    return daily_report(t.spark, root, AS_OF_DAY)
+
+
+@_query
+def applied_run(t: Tables) -> DataFrame:
+    """A keyed store left by the first run, brought up to date with the second."""
+    root, first = _published(t)
+    return apply_run(t.spark, first.select(SESSION), root, "r2")

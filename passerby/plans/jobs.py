@@ -1,12 +1,25 @@
 """The jobs as a command line for spark-submit.
 
     jobs.py refresh --probes PATH --entities PATH --root PATH --run ID
-    jobs.py report --root PATH --as-of yyyy-MM-dd --table NAME [--profile NAME]
-    jobs.py visits --access-points PATH --out PATH --checkpoint PATH [--rule RULE] SOURCE...
-    jobs.py heatmap --access-points PATH --out PATH --checkpoint PATH [--mode MODE] SOURCE...
+    jobs.py report --root PATH --as-of yyyy-MM-dd --table NAME [--flow NAME] [--indoor NAME] [--profile NAME]
+    jobs.py visits --out PATH --checkpoint PATH [--feed raw|matched] [--access-points PATH] [--rule RULE]
+                   [--max-age SPAN] [--rejects PATH] SOURCE...
+    jobs.py heatmap --access-points PATH --out PATH --checkpoint PATH [--mode MODE] [--max-age SPAN]
+                    [--rejects PATH] SOURCE...
+    jobs.py compact --out PATH --kind visits|heatmap
 
 SOURCE is the format of the feed and its options, as in ``kafka
 kafka.bootstrap.servers=... subscribe=...``; a schema is given as ``schema=DDL``.
+``--entities-format`` and ``--access-points-format`` name the format of a
+dimension, ``--dim-option key=value`` its options; parquet without.
+
+Live visits are those of the last run: a new checkpoint begins a new one. A rule
+decides which sightings count:
+
+- ``current`` and ``latest``: stronger than the venue's bound and not positive, at ``updatingtime``;
+- ``trigger``: at least the bound, at ``ttime``, arrived less than five minutes after it.
+
+Nothing is dropped for its age by the clock unless ``--max-age`` asks for it.
 """
 
 import argparse
@@ -17,85 +30,133 @@ from pyspark.sql import functions as F
 
 from passerby.operators.dimensions import entity_thresholds
 from passerby.operators.ingest import processing_log
-from passerby.operators.matching import fresh_as_of, match_access_points
-from passerby.operators.recency import client_profile
+from passerby.operators.matching import fresh_as_of, fresh_sightings, match_access_points
+from passerby.operators.recency import client_profile, recency_flow, recency_indoor
 from passerby.plans.refresh import daily_report, publish_refresh
-from passerby.sources.feeds import explode_payload, parse_raw_feed, read_stream
+from passerby.sources.feeds import TIME_FORMAT, explode_payload, parse_feed, parse_matched_feed, parse_raw_feed, read_stream
 from passerby.sources.probes import read_probes
-from passerby.sources.tables import read_dim, write_processing_log, write_table
+from passerby.sources.tables import read_dim, read_flow_daily, read_indoor_daily, write_processing_log, write_table
 from passerby.streaming.heatmap import live_heatmap
 from passerby.streaming.live import live_visits
-from passerby.streaming.sinks import change_writer, heatmap_writer, start_live
+from passerby.streaming.sinks import compact, live_writer, start_live
+
+# Fixed value: how long after its time a sighting may arrive under the trigger rule.
+TRIGGER_DELAY = "5 minutes"
 
 
-def refresh(spark: SparkSession, probes: str, entities: str, root: str, run: str) -> None:
+def refresh(spark: SparkSession, probes: str, entities: DataFrame, root: str, run: str) -> None:
     """Takes in the probe files under ``probes``; bad lines go to rejects/<run>."""
     good, rejects = read_probes(spark, probes)
-    thresholds = entity_thresholds(read_dim(spark, "parquet", path=entities))
-    publish_refresh(spark, good, thresholds, root, run)
+    publish_refresh(spark, good, entity_thresholds(entities), root, run)
     rejects.write.mode("overwrite").json(f"{root}/rejects/{run}")
     days = spark.read.parquet(f"{root}/days/{run}")
     now = datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     write_processing_log(processing_log(days, now), f"{root}/log/{run}")
 
 
-def report(spark: SparkSession, root: str, as_of: str, table: str, profile: str | None = None) -> None:
-    """Rebuilds the visitor report and, where named, the client profiles from it."""
+def report(spark: SparkSession, root: str, as_of: str, table: str, flow: str | None = None,
+           indoor: str | None = None, profile: str | None = None) -> None:
+    """Rebuilds the visitor report and, where named, the statistics of flow and stays and the client profiles."""
     as_of_day = spark.range(1).select(F.unix_timestamp(F.lit(as_of), "yyyy-MM-dd")).first()[0]
+    if flow:
+        write_table(recency_flow(read_flow_daily(spark, f"{root}/flow")), flow)
+    if indoor:
+        write_table(recency_indoor(read_indoor_daily(spark, f"{root}/indoor"), as_of_day), indoor)
     write_table(daily_report(spark, root, as_of_day), table)
     if profile:
         write_table(client_profile(spark.table(table)), profile)
 
 
-def feed(spark: SparkSession, source: list[str]) -> DataFrame:
+def open_feed(spark: SparkSession, source: list[str]) -> DataFrame:
     options = dict(option.split("=", 1) for option in source[1:])
     schema = options.pop("schema", None)
     return read_stream(spark, source[0], schema, **options)
 
 
-def visits(spark: SparkSession, source: list[str], access_points: str, out: str, checkpoint: str,
-           rule: str = "current", max_age: str | None = "5 minutes", every: str | None = "30 seconds"):
-    """Live visits from the raw feed, matched to venues on the way."""
-    raw = parse_raw_feed(explode_payload(feed(spark, source))).filter(F.col("updatingtime").isNotNull())
+def raw_sightings(messages: DataFrame, access_points: DataFrame, rule: str) -> DataFrame:
+    """The raw feed's sightings that count under ``rule``, matched to venues."""
+    raw = parse_raw_feed(explode_payload(messages))
+    time, trigger = ("ttime", True) if rule == "trigger" else ("updatingtime", False)
+    if trigger:
+        raw = raw.withColumn("ttime", F.try_to_timestamp("ttime", F.lit(TIME_FORMAT)))
+        raw = fresh_sightings(raw, "ttime", "updatingtime", TRIGGER_DELAY)
+    matched = match_access_points(raw, access_points, inclusive=trigger, refuse_positive=not trigger)
+    return matched.select("entityid", F.col("mac").alias("clientmac"), F.col(time).alias("at"), "leave_seconds")
+
+
+def keep_rejects(messages: DataFrame, kind: str, path: str, checkpoint: str, every: str | None):
+    """Starts a stream of the lines that a feed's parser refuses to ``path``."""
+    lines = parse_feed(explode_payload(messages), kind)[1]
+    writer = lines.writeStream.format("json").option("path", path).option("checkpointLocation", f"{checkpoint}-rejects")
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def visits(spark: SparkSession, source: list[str], out: str, checkpoint: str, access_points: DataFrame | None = None,
+           feed: str = "raw", rule: str = "current", max_age: str | None = None, rejects: str | None = None,
+           every: str | None = "30 seconds"):
+    """Live visits from the raw feed, matched to venues on the way, or from the matched feed."""
+    messages = open_feed(spark, source)
+    if feed == "matched":
+        seen = parse_matched_feed(explode_payload(messages)).withColumn("at", F.timestamp_seconds("stime"))
+    else:
+        if access_points is None:
+            raise ValueError("the raw feed needs access points")
+        seen = raw_sightings(messages, access_points, rule)
     if max_age:
-        raw = fresh_as_of(raw, "updatingtime", max_age=max_age)
-    matched = match_access_points(raw, read_dim(spark, "parquet", path=access_points)).select(
-        "entityid", F.col("mac").alias("clientmac"),
-        F.unix_timestamp("updatingtime").alias("stime"), "leave_seconds",
-    )
-    return start_live(live_visits(matched, rule), change_writer(out), checkpoint, every).start()
+        seen = fresh_as_of(seen, "at", max_age=max_age)
+    matched = seen.select("entityid", "clientmac", F.unix_timestamp("at").alias("stime"), "leave_seconds")
+    if rejects:
+        keep_rejects(messages, feed, rejects, checkpoint, every)
+    return start_live(live_visits(matched, rule), live_writer(spark, out, checkpoint), checkpoint, every).start()
 
 
-def heatmap(spark: SparkSession, source: list[str], access_points: str, out: str, checkpoint: str,
-            mode: str = "matching", max_age: str = "5 minutes", every: str | None = "5 minutes"):
+def heatmap(spark: SparkSession, source: list[str], out: str, checkpoint: str, access_points: DataFrame,
+            mode: str = "matching", max_age: str | None = "5 minutes", rejects: str | None = None,
+            every: str | None = "5 minutes"):
     """The live heat map from its feed."""
-    rows = live_heatmap(feed(spark, source), read_dim(spark, "parquet", path=access_points), mode,
-                        max_age=max_age)
-    return start_live(rows, heatmap_writer(out), checkpoint, every).start()
+    messages = open_feed(spark, source)
+    rows = live_heatmap(messages, access_points, mode, max_age=max_age)
+    if rejects:
+        keep_rejects(messages, "heatmap", rejects, checkpoint, every)
+    return start_live(rows, live_writer(spark, out, checkpoint), checkpoint, every).start()
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__,
                                      formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
-    nightly = jobs.add_parser("refresh")
-    for name in ("probes", "entities", "root", "run"):
-        nightly.add_argument(f"--{name}", required=True)
-    reporting = jobs.add_parser("report")
-    for name in ("root", "as-of", "table"):
-        reporting.add_argument(f"--{name}", required=True)
-    reporting.add_argument("--profile")
-    for name, choice in (("visits", "rule"), ("heatmap", "mode")):
-        live = jobs.add_parser(name)
-        for option in ("access-points", "out", "checkpoint"):
-            live.add_argument(f"--{option}", required=True)
-        live.add_argument(f"--{choice}", default=argparse.SUPPRESS)
-        live.add_argument("source", nargs="+")
+    missing = argparse.SUPPRESS
+
+    def add(job: str, required: tuple[str, ...], optional: tuple[str, ...] = (), dims: tuple[str, ...] = ()):
+        one = jobs.add_parser(job)
+        for name in required:
+            one.add_argument(f"--{name}", required=True)
+        for name in optional:
+            one.add_argument(f"--{name}", default=missing)
+        for name in dims:
+            one.add_argument(f"--{name}-format", default="parquet")
+            one.add_argument("--dim-option", action="append", default=[])
+        return one
+
+    add("refresh", ("probes", "entities", "root", "run"), dims=("entities",))
+    add("report", ("root", "as-of", "table"), ("flow", "indoor", "profile"))
+    add("visits", ("out", "checkpoint"), ("access-points", "feed", "rule", "max-age", "rejects"),
+        ("access-points",)).add_argument("source", nargs="+")
+    add("heatmap", ("access-points", "out", "checkpoint"), ("mode", "max-age", "rejects"),
+        ("access-points",)).add_argument("source", nargs="+")
+    add("compact", ("out", "kind"))
     options = vars(parser.parse_args(argv))
     job = options.pop("job")
     spark = SparkSession.builder.appName(f"passerby {job}").getOrCreate()
-    run = {"refresh": refresh, "report": report, "visits": visits, "heatmap": heatmap}[job]
-    query = run(spark, **options)
+    more = dict(option.split("=", 1) for option in options.pop("dim_option", []))
+    for name in ("entities", "access_points"):
+        fmt = options.pop(f"{name}_format", None)
+        if name in options:
+            options[name] = read_dim(spark, fmt, **{"path": options[name], **more})
+    if job == "compact":
+        compact(spark, options["out"], options["kind"])
+        return
+    query = {"refresh": refresh, "report": report, "visits": visits, "heatmap": heatmap}[job](spark, **options)
     if query is not None:
         query.awaitTermination()
 

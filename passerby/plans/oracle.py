@@ -86,7 +86,38 @@ _CTE = {
                CAST(sum(l_quantity * 60) AS BIGINT) AS seconds
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey
         WHERE o_orderstatus <> 'P' GROUP BY 1, 2, 3, 4""",
+    # The spans of time in which events come to the streams.
+    "span": """
+        SELECT CAST(min(floor(epoch(ts))) AS BIGINT) AS low, CAST(max(floor(epoch(ts))) AS BIGINT) AS high FROM events""",
+    "cut": "SELECT (low + (high - low) // 3) // 300 * 300 AS cut FROM span",
+    "late_probes": """
+        SELECT * FROM indoor_probes p, cut
+        WHERE stime >= cut OR NOT EXISTS (
+            SELECT 1 FROM indoor_probes q WHERE (q.entityid, q.clientmac) = (p.entityid, p.clientmac) AND q.stime >= cut)""",
+    "later_probes": "SELECT * FROM indoor_probes, cut WHERE stime >= cut",
+    "short_leave": """
+        SELECT DISTINCT entityid, clientmac, stime,
+               CASE CAST(clientmac AS BIGINT) % 4 WHEN 0 THEN 0 WHEN 2 THEN 30 ELSE 300 END AS leave_seconds
+        FROM indoor_probes""",
+    "published_flow": """
+        SELECT DISTINCT entityid, clientmac, file_day AS utoday,
+               CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT) AS ufirstday
+        FROM probes WHERE stime > file_day AND stime < file_day + 86400""",
+    "published_indoor": """
+        SELECT entityid, clientmac, file_day AS utoday, CAST(sum(seconds) AS BIGINT) AS seconds,
+               CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT) AS ufirstday
+        FROM sessions GROUP BY entityid, clientmac, file_day""",
 }
+_CTE["all_indoor_days"] = _CTE["indoor_days"].replace("WHERE o_orderstatus <> 'P' ", "")
+for _name, _from in (("late", "late_probes"), ("later", "later_probes")):
+    _CTE[f"{_name}_timeline"] = _CTE["timeline"].replace("FROM indoor_probes)", f"FROM {_from})")
+    _CTE[f"{_name}_visits"] = _CTE["visit_numbers"].replace("FROM timeline", f"FROM {_name}_timeline")
+_CTE["short_timeline"] = """
+        SELECT *, stime - lag(stime) OVER (PARTITION BY entityid, clientmac ORDER BY stime) AS gap FROM short_leave"""
+_CTE["short_visits"] = _CTE["visit_numbers"].replace("FROM timeline", "FROM short_timeline")
+_CTE["late_zones"] = """
+        SELECT * FROM zones, cut WHERE starttime >= cut"""
+# Rows less than 30 and 7 days before count, which is 29 and 6 days in seconds.
 for _stem, _days in (("visit", "flow_days"), ("indoor", "indoor_days")):
     _CTE[f"{_stem}_months"] = f"""
         SELECT entityid, clientmac, ufirstday,
@@ -121,8 +152,9 @@ _CTE["report"] = f"""
           ON f.entityid = i.entityid AND f.clientmac = i.clientmac AND f.utoday = i.utoday"""
 
 
-def _with(names: str, select: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({_CTE[name]})" for name in names.split()) + "\n" + select
+def _with(names: str, select: str, **instead: str) -> str:
+    """A query over the named inputs; ``instead`` names another input to take under a name."""
+    return "WITH " + ",\n".join(f"{name} AS ({_CTE[instead.get(name, name)]})" for name in names.split()) + "\n" + select
 
 
 _BASE = "entities thresholds"
@@ -147,12 +179,11 @@ def oracle_sql() -> dict[str, str]:
     sessions = _with(_SESSIONS, f"SELECT {_SESSION} FROM sessions")
     stale = ("SELECT entityid, clientmac, etime FROM sessions "
              "EXCEPT SELECT entityid, clientmac, etime FROM long")
-    live = _with(
-        f"{_TIMELINE} visit_numbers",
-        f"""SELECT {_VISIT}, max(stime) - min(stime) AS seconds,
+    visits = f"""SELECT {_VISIT}, max(stime) - min(stime) AS seconds,
                CAST(CASE WHEN visit = max(visit) OVER (PARTITION BY entityid, clientmac)
                     THEN 0 ELSE 1 END AS INTEGER) AS done
-        FROM visit_numbers GROUP BY entityid, clientmac, visit""")
+        FROM visit_numbers GROUP BY entityid, clientmac, visit"""
+    live = _with(f"{_TIMELINE} visit_numbers", visits)
     closed = _with(
         f"{_TIMELINE} strict_numbers",
         f"""SELECT clientmac, entityid, etime, ltime,
@@ -213,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
         "recency_indoor": _with(
             "indoor_days indoor_months indoor_recency indoor_as_of",
             f"""SELECT entityid, clientmac, utoday, ufirstday, secondsbyday, {_INDOOR},
-                   r_indoors7, r_indoors30 FROM indoor_as_of"""),
+                   r_indoors7, r_indoors30 FROM indoor_as_of""", indoor_days="all_indoor_days"),
         "footfall_report": _with(_REPORT, "SELECT * FROM report"),
         "footfall_report_joined": _with(_REPORT, "SELECT * FROM report"),
         "client_profile": _with(_REPORT, """
@@ -248,8 +279,35 @@ def oracle_sql() -> dict[str, str]:
             "(mac || CASE WHEN indoor THEN '|1' ELSE '|0' END)",
             "(mac || CASE WHEN away THEN '|1' ELSE '|0' END)",
             "(mac || CASE WHEN visit THEN '|1' ELSE '|0' END)")),
+        "zone_heatmap_restarted": matching,
+        "zone_heatmap_late": _with(f"{_SIGHTED} zones span cut late_zones", _counted(
+            "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END").replace(
+            "FROM zones", "FROM late_zones")),
         "live_visits": live,
         "live_visits_stream": live,
+        "live_visits_late": _with(f"{_BASE} {_PROBES} indoor_probes span cut late_probes late_timeline late_visits",
+                                  visits.replace("FROM visit_numbers", "FROM late_visits")),
+        "live_visits_restarted": _with(f"{_BASE} {_PROBES} indoor_probes span cut later_probes later_timeline later_visits",
+                                       visits.replace("FROM visit_numbers", "FROM later_visits")),
+        "live_visits_short_leave": _with(f"{_PROBES} indoor_probes short_leave short_timeline short_visits",
+                                         visits.replace("FROM visit_numbers", "FROM short_visits")),
+        "feed_rejects": _with("sightings", """
+            SELECT 'good' AS kind, NULL AS value, apmac, mac, rssi, stime FROM sightings
+            WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0
+            UNION ALL
+            SELECT 'reject', CASE WHEN event_id % 13 = 0 THEN 'cut,' || apmac ELSE
+                     concat_ws(',', 'r', apmac, mac, CASE WHEN event_id % 7 = 0 THEN 'x' ELSE CAST(rssi AS VARCHAR) END,
+                               CASE WHEN event_id % 11 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END,
+                               CASE WHEN event_id % 11 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END) END,
+                   NULL, NULL, NULL, NULL
+            FROM sightings WHERE event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0"""),
+        "probe_files": _with(_PROBES, """
+            SELECT *, CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT)
+              AS ufirstday FROM probes"""),
+        "day_publish": sessions,
+        "applied_run": sessions,
+        "published_report": _with(f"{_SESSIONS} {_REPORT}", "SELECT * FROM report",
+                                  flow_days="published_flow", indoor_days="published_indoor"),
         "closed_visits": closed,
         "closed_visits_stream": closed,
         "ingest_backlog": """

@@ -13,8 +13,8 @@ class Tables:
     The tables hold times without a zone, read here as UTC.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, streaming: bool = False):
-        self.spark, self.folder, self.streaming = spark, folder, streaming
+    def __init__(self, spark: SparkSession, folder: str, feed: str | None = None):
+        self.spark, self.folder, self.feed = spark, folder, feed
         self._frames: dict[str, DataFrame] = {}
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -24,15 +24,23 @@ class Tables:
             self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._frames[name]
 
-    def as_stream(self) -> "Tables":
-        """The same inputs with the events as a stream."""
-        return Tables(self.spark, self.folder, streaming=True)
+    def as_stream(self, feed: str) -> "Tables":
+        """The same inputs with the events as a stream of what comes to ``feed``."""
+        return Tables(self.spark, self.folder, feed)
 
     def events(self) -> DataFrame:
-        if not self.streaming:
+        if self.feed is None:
             return self.read("events")
-        return read_stream(self.spark, "parquet", self.read("events").schema, path=self.folder,
-                           pathGlobFilter="events.parquet")
+        return read_stream(self.spark, "parquet", self.read("events").schema, path=self.feed)
+
+    def event_slices(self, parts: int = 3) -> list[DataFrame]:
+        """The events in ``parts`` equal spans of time, in order; spans begin on whole five minutes."""
+        seconds = _epoch("ts")
+        low, high = self.read("events").agg(F.min(seconds), F.max(seconds)).first()
+        cuts = [(low + (high - low) * i // parts) // 300 * 300 for i in range(1, parts)]
+        ends = [None, *cuts, None]
+        return [self.read("events").filter((F.lit(True) if a is None else seconds >= a) & (F.lit(True) if b is None else seconds < b))
+                for a, b in zip(ends, ends[1:], strict=False)]
 
     def entities(self) -> DataFrame:
         unset = F.col("n_nationkey") % 5 == 0
@@ -130,17 +138,32 @@ class Tables:
     def flow_days(self) -> DataFrame:
         return self.read("orders").select(*_order_day()).distinct()
 
-    def indoor_days(self) -> DataFrame:
+    def indoor_days(self, statuses: tuple[str, ...] = ("F", "O", "P")) -> DataFrame:
+        """Days with a stay: those of the orders in one of ``statuses``."""
         spent = self.read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
             F.sum(F.col("l_quantity") * 60).alias("spent")
         )
         return (
-            self.read("orders").filter(F.col("o_orderstatus") != "P")
+            self.read("orders").filter(F.col("o_orderstatus").isin(*statuses))
             .join(spent, "o_orderkey")
             .groupBy(*_order_day())
             .agg(F.sum("spent").cast("bigint").alias("seconds"))
         )
 
+    def feed_lines(self) -> DataFrame:
+        """The sightings as lines of the raw feed; some have a bad signal, no time or too few fields."""
+        number = F.col("event_id")
+        signal = F.when(number % 7 == 0, "x").otherwise(F.col("rssi").cast("string"))
+        time = F.when(number % 11 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        whole = F.concat_ws(",", F.lit("r"), "apmac", "mac", signal, time, time)
+        return self.sightings().select(F.when(number % 13 == 0, F.concat(F.lit("cut,"), F.col("apmac"))).otherwise(whole).alias("value"))
+
+    def short_leave_sightings(self) -> DataFrame:
+        """Indoor sightings with a leave time by device: 0, none, 30 or 300 seconds."""
+        kind = F.col("clientmac").cast("long") % 4
+        leave = F.when(kind == 0, 0).when(kind == 2, 30).when(kind == 3, 300).cast("bigint")
+        return self.probes().filter(F.col("flag") == 1).select("entityid", "clientmac", "stime", leave.alias("leave_seconds"))
+
     def files(self) -> DataFrame:
         return self.read("documents").select(
             F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("path"),

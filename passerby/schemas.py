@@ -35,6 +35,11 @@ FLOW_DAILY = _layout(
     utoday="long", ufirstday="long",
 )
 
+LIVE_VISITS = _layout(
+    clientmac="string", entityid="integer", etime="long", ltime="long", seconds="long", done="integer",
+)
+HEAT_MAP = _layout(entityid="integer", starttime="timestamp", indoors="long", aways="long", visits="long")
+
 SESSION_KEYS = ["entityid", "clientmac", "etime"]
 DAY_KEYS = ["entityid", "file_day"]
 VISIT_KEYS = ["clientmac", "entityid", "etime"]

@@ -1,5 +1,6 @@
 """Session settings and the durable cut of a lineage."""
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        if not folder and not context.master.startswith("local"):
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="passerby-"))
     return folder or context.getCheckpointDir()
@@ -51,3 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = run_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of whatever store; none if it is not there."""
+    system, place = _files(spark, path)
+    return sorted(item.getPath().getName() for item in system.listStatus(place)) if system.exists(place) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, place = _files(spark, path)
+    system.delete(place, True)

@@ -29,11 +29,11 @@ def explode_payload(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str] | None = None,
-                 upper: tuple[str, ...] = (), value: str = "value") -> DataFrame:
+                 upper: tuple[str, ...] = (), value: str = "value", keep: bool = False) -> DataFrame:
     """Named fields of each line, trimmed. Works on a stream.
 
     ``types`` names those that are whole numbers or timestamps; a field that is missing or does
-    not convert is null. ``upper`` names those to put in upper case.
+    not convert is null. ``upper`` names those to put in upper case. ``keep`` keeps the line itself.
     """
     def field(name: str):
         text = F.trim(F.get("parts", F.lit(positions[name])))
@@ -45,29 +45,48 @@ def parse_fields(df: DataFrame, positions: dict[str, int], types: dict[str, str]
                 else whole_number(text, kind)
         return text.alias(name)
 
-    return df.select(F.split(F.col(value), ",").alias("parts")).select(
-        *[field(name) for name in positions]
+    return df.select(F.split(F.col(value), ",").alias("parts"), F.col(value)).select(
+        *[field(name) for name in positions], *([value] if keep else [])
     )
 
 
+# For each feed its fields, their types, those in upper case, and those without which a line is a reject.
+_FEEDS = {
+    "raw": (RAW_FEED, {"rssi": "int", "updatingtime": "timestamp"}, ("apmac", "mac"),
+            ("apmac", "mac", "rssi", "updatingtime")),
+    "heatmap": (HEAT_MAP_FEED, {"rssi": "int", "stime": "timestamp"}, (), ("apmac", "mac", "rssi", "stime")),
+    "matched": (MATCHED_FEED, {"entityid": "int", "updatingtime": "bigint", "leave_seconds": "bigint"}, ("mac",),
+                ("entityid", "mac", "updatingtime")),
+}
+
+
+def parse_feed(lines: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a feed's good lines, and its other lines as they came, in ``value``. Works on a stream.
+
+    A line is good if it has the fields that no row can do without; together the
+    two hold every line once. A matched line without a leave time is good, since
+    a venue need not state one.
+    """
+    positions, types, upper, needed = _FEEDS[feed]
+    parsed = parse_fields(lines, positions, types, upper, keep=True)
+    good = F.lit(True)
+    for name in needed:
+        good = good & F.col(name).isNotNull() & (F.col(name).cast("string") != "")
+    return parsed.filter(good).drop("value"), parsed.filter(~good).select("value")
+
+
 def parse_raw_feed(lines: DataFrame) -> DataFrame:
-    return parse_fields(lines, RAW_FEED, {"rssi": "int", "updatingtime": "timestamp"},
-                        upper=("apmac", "mac"))
+    return parse_feed(lines, "raw")[0]
 
 
 def parse_heat_map_feed(lines: DataFrame) -> DataFrame:
-    """``apmac, mac, rssi, ts`` of the lines that have a time."""
-    parsed = parse_fields(lines, HEAT_MAP_FEED, {"rssi": "int", "stime": "timestamp"})
-    return parsed.withColumnRenamed("stime", "ts").filter(F.col("ts").isNotNull())
+    """``apmac, mac, rssi, ts`` of the good lines."""
+    return parse_feed(lines, "heatmap")[0].withColumnRenamed("stime", "ts")
 
 
 def parse_matched_feed(lines: DataFrame) -> DataFrame:
-    """``entityid, clientmac, stime, leave_seconds`` of the complete lines."""
-    parsed = parse_fields(
-        lines, MATCHED_FEED,
-        {"entityid": "int", "updatingtime": "bigint", "leave_seconds": "bigint"}, upper=("mac",),
-    )
-    return parsed.dropna().select(
+    """``entityid, clientmac, stime, leave_seconds`` of the good lines."""
+    return parse_feed(lines, "matched")[0].select(
         "entityid", F.col("mac").alias("clientmac"), F.col("updatingtime").alias("stime"),
         "leave_seconds",
     )

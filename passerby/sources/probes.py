@@ -53,3 +53,25 @@ def read_probes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     )
     rejects = typed.filter(~good).select("file_path", "clientmac", "raw_stime", "raw_flag")
     return rows, rejects
+
+
+def write_probe_files(probes: DataFrame, folder: str) -> None:
+    """Probes as the files that `read_probes` takes: <folder>/<entity>/t_cf_<yyyyMMdd>.txt.
+
+    Each venue and day is one file, as the venue sends it, written by the task
+    that has its rows; a task that runs again writes the same file again.
+    """
+    named = probes.withColumn("day", F.date_format(F.timestamp_seconds("file_day"), "yyyyMMdd"))
+
+    def save(key: tuple, rows):
+        import pandas as pd
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        system.create_dir(f"{at}/{key[0]}", recursive=True)
+        text = rows[["clientmac", "stime", "flag"]].to_csv(header=False, index=False)
+        with system.open_output_stream(f"{at}/{key[0]}/t_cf_{key[1]}.txt") as file:
+            file.write(text.encode())
+        return pd.DataFrame({"lines": [len(rows)]})
+
+    named.groupBy("entityid", "day").applyInPandas(save, "lines long").write.format("noop").mode("overwrite").save()

@@ -8,10 +8,13 @@ from passerby.sources.feeds import explode_payload, parse_heat_map_feed
 
 
 def live_heatmap(messages: DataFrame, access_points: DataFrame, mode: str = "matching",
-                 now: Column | None = None, max_age: str = "5 minutes") -> DataFrame:
+                 now: Column | None = None, max_age: str | None = "5 minutes") -> DataFrame:
     """Approximate zone counts per five minutes of the messages' fresh sightings.
 
-    For a sink in update mode. ``now`` stands in for the clock in tests.
+    For a sink in update mode. ``now`` stands in for the clock in tests; with
+    ``max_age`` None the clock plays no part.
     """
-    sightings = fresh_as_of(parse_heat_map_feed(explode_payload(messages)), "ts", now, max_age)
+    sightings = parse_heat_map_feed(explode_payload(messages))
+    if max_age:
+        sightings = fresh_as_of(sightings, "ts", now, max_age)
     return zone_heatmap(sightings, access_points, mode=mode, exact=False, watermark="5 minutes")

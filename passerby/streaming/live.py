@@ -9,6 +9,8 @@ in one micro-batch and never its sightings.
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from passerby.operators.sessions import known_sightings
+
 RULES = ("current", "latest", "trigger")
 _STATE = "etime bigint, ltime bigint"
 _OUTPUT = "clientmac string, entityid int, etime bigint, ltime bigint, seconds bigint, done int"
@@ -47,6 +49,9 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
       sightings are ignored, and only ended visits come out, those of a single
       moment ``floor_seconds`` long.
 
+    A sighting without a leave time has the default one. One without a venue,
+    device or time belongs to no visit: the feed's rejects hold it.
+
     State is kept for every device and venue seen since the start. A new
     checkpoint location starts with none; starting anew each night keeps the
     state to a day's devices.
@@ -114,7 +119,7 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
             yield visits
 
     return (
-        _fold_batches(sightings.dropna(), latest)
+        _fold_batches(known_sightings(sightings), latest)
         .groupBy("entityid", "clientmac")
         .applyInPandasWithState(advance, _OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout)
     )

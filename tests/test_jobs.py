@@ -1,8 +1,10 @@
 from datetime import datetime, timezone
 
+import pytest
+
 from helpers import frame, rows
 from passerby.plans import jobs
-from passerby.streaming.sinks import read_heatmap, read_live_visits
+from passerby.streaming.sinks import read_heatmap, read_live_visits, start_live
 
 
 def test_refresh_and_report(spark, tmp_path):
@@ -18,7 +20,9 @@ def test_refresh_and_report(spark, tmp_path):
                "--root", root, "--run", "r1"])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS jobs LOCATION '{tmp_path}/jobs'")
     jobs.main(["report", "--root", root, "--as-of", "2024-01-16", "--table", "jobs.report",
-               "--profile", "jobs.profile"])
+               "--flow", "jobs.flow", "--indoor", "jobs.indoor", "--profile", "jobs.profile"])
+    assert rows(spark.table("jobs.flow"), "clientmac", "visits") == [("aa", 1), ("bb", 1)]
+    assert rows(spark.table("jobs.indoor"), "clientmac", "secondsbyday") == [("aa", 60)]
     assert rows(spark.table("jobs.report"), "entityid", "clientmac", "secondsbyday", "r_indoors7", "visits") == \
         [(7, "aa", 60, 1, 1), (7, "bb", 0, 0, 1)]
     assert rows(spark.table("jobs.profile"), "clientmac", "indoors") == [("aa", 1), ("bb", 0)]
@@ -27,20 +31,67 @@ def test_refresh_and_report(spark, tmp_path):
     spark.sql("DROP DATABASE jobs CASCADE")
 
 
-def test_live_jobs(spark, tmp_path):
-    frame(spark, "apmac string, entityid int, rssi int, nearbyrssi int, indoor_seconds long, leave_seconds long",
-          ("P", 7, -20, -60, 10, 300)).write.parquet(str(tmp_path / "ap"))
-    now = datetime.now(timezone.utc).replace(microsecond=0).timestamp() - 100
-    at = [datetime.fromtimestamp(now + s, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for s in (0, 50)]
-    (tmp_path / "raw").mkdir()
-    (tmp_path / "raw" / "1.txt").write_text("".join(f"r,p,aa,-5,t,{t}\n" for t in (*at, "2020-01-01 00:00:00")))
-    (tmp_path / "heat").mkdir()
-    (tmp_path / "heat" / "1.txt").write_text(f"h,x,P,aa,-5,{at[0]}\nh,x,P,bb,-70,2020-01-01 00:00:00\n")
-    common = {"access_points": str(tmp_path / "ap"), "every": None}
-    jobs.visits(spark, ["text", f"path={tmp_path}/raw"], out=str(tmp_path / "v"),
-                checkpoint=str(tmp_path / "vc"), **common).awaitTermination()
-    assert rows(read_live_visits(spark, str(tmp_path / "v")), "clientmac", "entityid", "seconds", "done") == \
-        [("AA", 7, 50, 0)]
-    jobs.heatmap(spark, ["text", f"path={tmp_path}/heat"], out=str(tmp_path / "h"),
-                 checkpoint=str(tmp_path / "hc"), **common).awaitTermination()
-    assert rows(read_heatmap(spark, str(tmp_path / "h")), "entityid", "indoors", "aways", "visits") == [(7, 1, 0, 0)]
+ACCESS_POINT = "apmac string, entityid int, rssi int, nearbyrssi int, indoor_seconds long, leave_seconds long"
+
+
+def write_feed(tmp_path, name, lines):
+    (tmp_path / name).mkdir()
+    (tmp_path / name / "1.txt").write_text("".join(line + "\n" for line in lines))
+    return ["text", f"path={tmp_path}/{name}"]
+
+
+def live(spark, tmp_path, job, source, monkeypatch, *options):
+    """A job by its command line, over what is there."""
+    monkeypatch.setattr(jobs, "start_live", lambda rows, write, checkpoint, every: start_live(rows, write, checkpoint, None))
+    keep = jobs.keep_rejects
+    monkeypatch.setattr(jobs, "keep_rejects", lambda *given: keep(*given[:-1], None).awaitTermination())
+    out = tmp_path / f"out-{len(list(tmp_path.iterdir()))}"
+    jobs.main([job, "--out", str(out), "--checkpoint", f"{out}-state", *options, *source])
+    return str(out)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+@pytest.mark.parametrize("rule, expected", [
+    # Bound -20. Equal and positive signals count only under the trigger rule; it takes ttime and refuses late arrivals.
+    ("current", [("STRONG", 0, 50, 0)]),
+    ("latest", [("STRONG", 50, 50, 0)]),
+    ("trigger", [("EQUAL", 0, 0, 1), ("POSITIVE", 0, 0, 1), ("STRONG", 0, 0, 1)]),
+])
+def test_rules_of_live_visits(spark, tmp_path, monkeypatch, rule, expected, fmt):
+    points = frame(spark, ACCESS_POINT, ("P", 7, -20, -60, 10, 300))
+    points.write.format(fmt).option("header", True).save(str(tmp_path / "ap"))
+    day = datetime(2020, 1, 1, tzinfo=timezone.utc).timestamp()
+
+    def line(mac, rssi, happened, arrived):
+        times = (datetime.fromtimestamp(day + s, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for s in (happened, arrived))
+        return ",".join(["r", "p", mac, str(rssi), *times])
+
+    lines = [line("strong", -5, 0, 0), line("strong", -5, 0, 50), line("equal", -20, 0, 0), line("positive", 5, 0, 0), line("weak", -21, 0, 0), "broken"]
+    if rule == "trigger":  # closed visits only: each is followed by one that closes it, and one that arrives late does not count
+        lines += [line(mac, rssi, 900, 900) for mac, rssi in (("strong", -5), ("equal", -20), ("positive", 5), ("weak", -21))]
+        lines += [line("late", -5, 0, 300), line("late", -5, 900, 1200)]
+    more = ["--access-points-format", fmt] + (["--dim-option", "header=true", "--dim-option", "inferSchema=true"] if fmt == "csv" else [])
+    out = live(spark, tmp_path, "visits", write_feed(tmp_path, "raw", lines), monkeypatch, "--access-points", str(tmp_path / "ap"),
+               "--rule", rule, "--rejects", str(tmp_path / "rejects"), *more)
+    found = [(mac, etime - day, ltime - day, done) for mac, etime, ltime, done in rows(read_live_visits(spark, out), "clientmac", "etime", "ltime", "done")]
+    assert found == expected
+    assert [r.value for r in spark.read.schema("value string").json(str(tmp_path / "rejects")).collect()] == ["broken"]
+
+
+def test_matched_feed_and_age(spark, tmp_path, monkeypatch):
+    now = int(datetime.now(timezone.utc).timestamp()) - 100
+    source = write_feed(tmp_path, "matched", [f"m,7,aa,{now},x,300", f"m,7,aa,{now + 50},x,", "m,7,bb,1000,x,300", "m,,cc,1000,x,300"])
+    out = live(spark, tmp_path, "visits", source, monkeypatch, "--feed", "matched")
+    assert rows(read_live_visits(spark, out), "clientmac", "seconds") == [("AA", 50), ("BB", 0)]
+    out = live(spark, tmp_path, "visits", source, monkeypatch, "--feed", "matched", "--max-age", "5 minutes")
+    assert rows(read_live_visits(spark, out), "clientmac", "seconds") == [("AA", 50)]
+    jobs.main(["compact", "--out", out, "--kind", "visits"])
+    assert rows(read_live_visits(spark, out), "clientmac") == [("AA",)]
+
+
+def test_heat_map_job(spark, tmp_path, monkeypatch):
+    frame(spark, ACCESS_POINT, ("P", 7, -20, -60, 10, 300)).write.parquet(str(tmp_path / "ap"))
+    now = datetime.fromtimestamp(datetime.now(timezone.utc).timestamp() - 60, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    source = write_feed(tmp_path, "heat", [f"h,x,P,aa,-5,{now}", "h,x,P,bb,-70,2020-01-01 00:00:00"])
+    out = live(spark, tmp_path, "heatmap", source, monkeypatch, "--access-points", str(tmp_path / "ap"))
+    assert rows(read_heatmap(spark, out), "entityid", "indoors", "aways", "visits") == [(7, 1, 0, 0)]

@@ -142,16 +142,21 @@ def test_leave_time_of_each_sighting(spark):
     assert rows(live_visits_batch(mixed), "etime", "ltime") == [(1000, 1100), (1170, 1180)]
 
 
-def test_short_leave_times_need_a_smaller_slot(spark):
-    quick = sightings(spark, [0, 5, 20], leave=10)
-    with pytest.raises(Exception, match="slot_seconds"):
-        live_visits_batch(quick).collect()
-    assert rows(live_visits_batch(quick, slot_seconds=0), "etime", "ltime") == [(0, 5), (20, 20)]
+def test_short_leave_times(spark):
+    assert rows(live_visits_batch(sightings(spark, [0, 5, 20], leave=10)), "etime", "ltime") == [(0, 5), (20, 20)]
+    mixed = frame(spark, "entityid int, clientmac string, stime long, leave_seconds long",
+                  (1, "a", 0, 30), (1, "a", 29, 30), (1, "a", 60, 300), (2, "b", 0, 300), (2, "b", 299, 300))
+    assert rows(live_visits_batch(mixed), "entityid", "etime", "ltime") == [(1, 0, 60), (2, 0, 299)]
 
 
 def test_zero_leave_time_parts_every_moment(spark):
-    zero = sightings(spark, [5, 5, 6], leave=0)
-    assert rows(live_visits_batch(zero, slot_seconds=0), "etime", "done") == [(5, 1), (6, 0)]
+    assert rows(live_visits_batch(sightings(spark, [5, 5, 6], leave=0)), "etime", "done") == [(5, 1), (6, 0)]
+
+
+def test_no_leave_time_is_the_default_and_no_key_is_no_visit(spark):
+    odd = frame(spark, "entityid int, clientmac string, stime long, leave_seconds long",
+                (1, "a", 0, None), (1, "a", 299, None), (1, "a", 599, None), (None, "a", 5, 10), (1, None, 5, 10), (1, "a", None, 10))
+    assert rows(live_visits_batch(odd), "etime", "ltime") == [(0, 299), (599, 599)]
 
 
 def test_sightings_are_folded_before_each_shuffle(spark):

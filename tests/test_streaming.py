@@ -11,15 +11,15 @@ from passerby.sources.feeds import explode_payload, parse_matched_feed, read_str
 from passerby.streaming.heatmap import live_heatmap
 from passerby.streaming.live import live_visits
 from passerby.streaming.sinks import (
-    change_writer, fold_changes, read_changes, read_heatmap, read_live_visits, start_live,
+    change_writer, compact, fold_changes, live_writer, newest, read_heatmap, read_live_visits, run_of, start_live,
 )
 
 SPAN = ("etime", "ltime", "seconds", "done")
 
 
-def feed(tmp_path, batches):
+def feed(tmp_path, batches, name="feed"):
     """One text file per micro-batch, each holding one message per line."""
-    folder = tmp_path / "feed"
+    folder = tmp_path / f"in-{name}"
     folder.mkdir(exist_ok=True)
     for i, lines in enumerate(batches):
         (folder / f"{i:03}.txt").write_text("".join(line + "\n" for line in lines))
@@ -29,12 +29,13 @@ def feed(tmp_path, batches):
     return str(folder)
 
 
-def run_visits(spark, tmp_path, batches, rule="current", name="out"):
-    source = feed(tmp_path, [[f"m,{e},{mac},{t},10,{leave}" for e, mac, t, leave in b] for b in batches])
+def run_visits(spark, tmp_path, batches, rule="current", name="out", state=None):
+    lines = [[f"m,{e},{mac},{t},10,{'' if leave is None else leave}" for e, mac, t, leave in b] for b in batches]
+    source = feed(tmp_path, lines, state or "feed")
     messages = read_stream(spark, "text", path=source, maxFilesPerTrigger=1)
     visits = live_visits(parse_matched_feed(explode_payload(messages)), rule)
-    path = str(tmp_path / name)
-    query = start_live(visits, change_writer(path), str(tmp_path / f"{name}-state"), every=None).start()
+    path, checkpoint = str(tmp_path / name), str(tmp_path / (state or f"{name}-state"))
+    query = start_live(visits, live_writer(spark, path, checkpoint), checkpoint, every=None).start()
     query.awaitTermination()
     return read_live_visits(spark, path)
 
@@ -87,10 +88,48 @@ def test_unknown_rule(spark):
         live_visits(sightings(spark, [1]), "other")
 
 
-def test_a_new_checkpoint_starts_empty(spark, tmp_path):
+def test_a_new_checkpoint_starts_a_new_run_beside_the_earlier(spark, tmp_path):
+    first = [[(1, mac, 1000, 300)] for mac in "ABC"]
+    assert rows(run_visits(spark, tmp_path, first, state="one"), "clientmac") == [("A",), ("B",), ("C",)]
+    second = [[(1, "Z", 5000, 300)], [(1, "Z", 5100, 300)]]
+    assert rows(run_visits(spark, tmp_path, second, state="two"), "clientmac", *SPAN) == [("Z", 5000, 5100, 100, 0)]
+    every = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(every.select("run", "clientmac").distinct()) == [(1, "A"), (1, "B"), (1, "C"), (2, "Z")]
+
+
+def test_a_checkpoint_goes_on_with_its_run(spark, tmp_path):
     batches = [[(1, "a", 1000, 300)]]
-    run_visits(spark, tmp_path, batches, name="first")
-    assert rows(run_visits(spark, tmp_path, batches, name="second"), *SPAN) == [(1000, 1000, 0, 0)]
+    run_visits(spark, tmp_path, batches, state="one")
+    assert rows(run_visits(spark, tmp_path, [*batches, [(1, "a", 1100, 300)]], state="one"), *SPAN) == [(1000, 1100, 100, 0)]
+    assert spark.read.parquet(str(tmp_path / "out")).select("run").distinct().count() == 1
+
+
+def test_a_checkpoint_of_another_writer_is_refused(spark, tmp_path):
+    (tmp_path / "old" / "offsets").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        run_of(spark, str(tmp_path / "out"), str(tmp_path / "old"))
+
+
+def test_no_leave_time_is_the_default(spark, tmp_path):
+    assert rows(run_visits(spark, tmp_path, [[(1, "a", 1000, None), (1, "a", 1299, None)], [(1, "a", 1599, None)]]), *SPAN) == [
+        (1000, 1299, 299, 1), (1599, 1599, 0, 0)]
+
+
+@pytest.mark.parametrize("steps", [1, 2, 4])
+def test_compaction_changes_no_row(spark, tmp_path, steps):
+    out = str(tmp_path / "out")
+    seen = []
+    for step in range(steps):
+        batches = [[(1, mac, 1000 + 150 * i, 300)] for i, mac in enumerate("ABABCA"[:step + 3])]
+        state = f"run{step // 2}"
+        expected = rows(run_visits(spark, tmp_path, batches, state=state), "clientmac", *SPAN)
+        assert compact(spark, out, "visits") >= 0
+        assert rows(read_live_visits(spark, out), "clientmac", *SPAN) == expected
+        seen.append(expected)
+        assert compact(spark, out, "visits") == 0
+    import os
+    left = [name for run in os.listdir(out) if run.startswith("run=") for name in os.listdir(f"{out}/{run}") if name.startswith("batch_id=")]
+    assert len(left) <= 7 and seen[-1]
 
 
 @pytest.mark.parametrize("dimension_rows", [100_000, 0])
@@ -125,8 +164,8 @@ def test_repeating_a_micro_batch_changes_nothing(spark, tmp_path):
     write(visits, 0)
     write(closed, 1)
     write(closed, 1)
-    changes = read_changes(spark, str(tmp_path / "log"), VISIT_KEYS)
-    assert rows(changes, "etime", "done") == [(5, 1)]
+    assert rows(read_live_visits(spark, str(tmp_path / "log")), "etime", "done") == [(5, 1)]
+    assert rows(newest(spark.read.parquet(str(tmp_path / "log")), VISIT_KEYS), "etime", "done") == [(5, 1)]
     raw = spark.read.parquet(str(tmp_path / "log"))
     assert raw.count() == 2
     other = visits.withColumn("etime", F.lit(1).cast("long"))
