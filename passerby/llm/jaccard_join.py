@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from passerby.functions.sizes import broadcast_if_small
 from passerby.llm.components import components
-from passerby.llm.rows import carry, put_down
+from passerby.llm.rows import carry, make_room, put_down, remembers
 from passerby.session import cut_lineage
 
 #: The order knows how often n-grams occur by counts of so many hash ranges.
@@ -33,7 +33,7 @@ RANGE_BITS = 19
 FRAGMENTS = 8
 #: Bits in which two sets' difference shows, and those of the first look.
 BITS, FEW_BITS = 1024, 256
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -69,6 +69,7 @@ class Hashes(dict):
 
 
 _hashes = Hashes()
+remembers("jaccard_join", _hashes.clear)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -102,6 +103,7 @@ def range_counts(docs: DataFrame, words: int) -> np.ndarray:
     number of documents: 4 MB. They are added up within each task first.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("jaccard_join")
         total = np.zeros(1 << RANGE_BITS, np.int64)
         for batch in batches:
             for first in range(0, batch.num_rows, 200):
@@ -168,8 +170,8 @@ def sets_of(docs: DataFrame, rule: Rule, order: Order) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
+            for first in range(0, batch.num_rows, 200):
+                part = batch.slice(first, 200)
                 sets = [shingles(text, rule.words) for text in part.column(1).to_pylist()]
                 prefixes = [shared.value.arrange(s)[:rule.prefix(len(s)) if len(s) else 0].view(np.int64) for s in sets]
                 yield pa.RecordBatch.from_arrays([

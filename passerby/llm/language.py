@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passerby.llm.rows import held_out, sample_per_class
+from passerby.llm.rows import held_out, make_room, remembers, sample_per_class
 from passerby.session import cut_lineage
 
 UNKNOWN = "und"
@@ -32,7 +32,7 @@ ROUNDS = 3
 SMOOTHING = 0.1
 STRANGE = 1e-9
 #: Word forms that a worker remembers; the memory is emptied when it is full, which changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 #: The mark of a word's start in the vocabulary.
 START = "▁"
@@ -279,6 +279,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     at = kept.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("language")
         scorer = _scorer(shared.value)
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
@@ -292,6 +293,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 _scorers: dict[bytes, Scorer] = {}
+remembers("language", _scorers.clear)
 
 
 def _scorer(model: Model) -> Scorer:

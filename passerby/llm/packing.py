@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passerby.functions.sizes import broadcast_if_small
+from passerby.llm.rows import make_room, remembers
 from passerby.session import cut_lineage, run_folder
 
 SEQUENCE = 2048
 END_OF_TEXT = 1
 #: Word forms that a worker remembers; the memory is emptied when it is full, which changes no result.
-REMEMBERED = 1_200_000
+REMEMBERED = 500_000
 
 
 SPECIAL = {"<|endoftext|>": 50256}
@@ -92,6 +93,7 @@ class Tokens(dict):
 
 
 _tokens: dict[str, Tokens] = {}
+remembers("packing", _tokens.clear)
 
 
 def tokens_of(vocabulary: str) -> Tokens:
@@ -118,6 +120,7 @@ def pieces_of(docs: DataFrame, longest: int = SEQUENCE, vocabulary: str | None =
     end = array("I", [END_OF_TEXT]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("packing")
         tokens = tokens_of(vocabulary)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):

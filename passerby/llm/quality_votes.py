@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from passerby.llm.rows import held_out, sample_per_class
+from passerby.llm.rows import held_out, remembers, sample_per_class
 
 #: Labelled documents of each class that are learnt from, about so many and at most twice as many.
 LEARN_DOCS = 2000
@@ -26,7 +26,7 @@ WIDTH = WORDS + FORMS
 #: Documents that are turned into vectors and compared at once.
 BLOCK = 256
 #: Words that a worker remembers; the memory is emptied when it is full, which changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 SEED = 10
 
 
@@ -50,6 +50,7 @@ class Places(dict):
 
 
 _places = Places()
+remembers("quality_votes", _places.clear)
 
 
 def counts_of(text: str | None) -> np.ndarray:

@@ -1,5 +1,7 @@
 """What several operators of this subpackage share: columns that cannot clash, learning rows, word forms."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +55,18 @@ def carry(docs: DataFrame, *needed: str) -> DataFrame:
 def put_down(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
     """Carried rows with the columns of ``docs`` again."""
     return rows.select(*[F.col(name) if name in needed else F.col(f"carried_columns.`{name}`").alias(name) for name in docs.columns])
+
+
+_memories: dict[str, Callable[[], None]] = {}
+
+
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """Tells how to empty what an operator remembers in a worker process."""
+    _memories[operator] = forget
+
+
+def make_room(operator: str) -> None:
+    """Empties what other operators remember: a worker process serves one stage of a pipeline after another."""
+    for other, forget in _memories.items():
+        if other != operator:
+            forget()
