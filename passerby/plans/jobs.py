@@ -33,6 +33,7 @@ from passerby.operators.ingest import processing_log
 from passerby.operators.matching import fresh_as_of, fresh_sightings, match_access_points
 from passerby.operators.recency import client_profile, recency_flow, recency_indoor
 from passerby.plans.refresh import daily_report, publish_refresh
+from passerby.session import temporary_tables
 from passerby.sources.feeds import TIME_FORMAT, explode_payload, parse_feed, parse_matched_feed, parse_raw_feed, read_stream
 from passerby.sources.probes import read_probes
 from passerby.sources.tables import read_dim, read_flow_daily, read_indoor_daily, write_processing_log, write_table
@@ -46,9 +47,10 @@ TRIGGER_DELAY = "5 minutes"
 
 def refresh(spark: SparkSession, probes: str, entities: DataFrame, root: str, run: str) -> None:
     """Takes in the probe files under ``probes``; bad lines go to rejects/<run>."""
-    good, rejects = read_probes(spark, probes)
-    publish_refresh(spark, good, entity_thresholds(entities), root, run)
-    rejects.write.mode("overwrite").json(f"{root}/rejects/{run}")
+    with temporary_tables(spark):
+        good, rejects = read_probes(spark, probes, once=True)
+        publish_refresh(spark, good, entity_thresholds(entities), root, run)
+        rejects.write.mode("overwrite").json(f"{root}/rejects/{run}")
     days = spark.read.parquet(f"{root}/days/{run}")
     now = datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     write_processing_log(processing_log(days, now), f"{root}/log/{run}")

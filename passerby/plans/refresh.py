@@ -3,13 +3,14 @@
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
 from passerby.operators.keyed import delete_keys, of_days, stale_keys, touched_days, upsert
 from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
 from passerby.schemas import SESSION_KEYS, SESSIONS, by_day
-from passerby.session import cut_lineage
+from passerby.session import cut_lineage, temporary_tables
 from passerby.sources.tables import (
     append_probes, is_stored, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes,
     write_days,
@@ -56,7 +57,9 @@ def publish_refresh(spark: SparkSession, increment: DataFrame, thresholds: DataF
     tombstones/<run>. After a failure, run the same increment as the same run again.
     """
     append_probes(increment, f"{root}/t_cf", run)
-    touched_days(increment).write.mode("overwrite").parquet(f"{root}/days/{run}")
+    # From what is stored now, so that the increment is computed once.
+    stored = read_stored_probes(spark, f"{root}/t_cf").filter(F.col("run") == run)
+    touched_days(stored).write.mode("overwrite").parquet(f"{root}/days/{run}")
     republish_days(spark, spark.read.parquet(f"{root}/days/{run}"), thresholds, root, run)
 
 
@@ -67,15 +70,16 @@ def republish_days(spark: SparkSession, days: DataFrame, thresholds: DataFrame,
     Also what repairs a whole day, should the driver be lost while its directory
     is being swapped.
     """
-    days = broadcast_if_small(days)
-    probes = of_days(read_stored_probes(spark, f"{root}/t_cf"), days)
-    published = read_sessions(spark, f"{root}/rec_indoor") if is_stored(spark, f"{root}/rec_indoor") \
-        else spark.createDataFrame([], by_day(SESSIONS))
-    fresh = _recompute(probes, days, published, thresholds)
-    fresh.tombstones.write.mode("append").parquet(f"{root}/tombstones/{run}")
-    write_days(fresh.sessions, f"{root}/rec_indoor", days)
-    write_days(fresh.indoor_daily, f"{root}/indoor", days)
-    write_days(fresh.flow_daily, f"{root}/flow", days)
+    with temporary_tables(spark):
+        days = broadcast_if_small(days)
+        probes = of_days(read_stored_probes(spark, f"{root}/t_cf"), days).drop("run")
+        published = read_sessions(spark, f"{root}/rec_indoor") if is_stored(spark, f"{root}/rec_indoor") \
+            else spark.createDataFrame([], by_day(SESSIONS))
+        fresh = _recompute(probes, days, published, thresholds)
+        fresh.tombstones.write.mode("append").parquet(f"{root}/tombstones/{run}")
+        write_days(fresh.sessions, f"{root}/rec_indoor", days)
+        write_days(fresh.indoor_daily, f"{root}/indoor", days)
+        write_days(fresh.flow_daily, f"{root}/flow", days)
 
 
 def apply_run(spark: SparkSession, target: DataFrame, root: str, run: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +43,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or context.getCheckpointDir()
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that `cut_lineage` writes within are deleted when all has succeeded.
+
+    They lie in one folder of their own; after a failure it stays for a look.
+    """
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+    delete_folder(spark, folder)
+
+
 def run_folder(spark: SparkSession) -> str:
     """A new name for a table or files in the shared folder."""
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    return f"{_scopes[-1] if _scopes else shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

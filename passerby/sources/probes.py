@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from passerby.functions.text import whole_number
 from passerby.functions.time import month_start
+from passerby.session import cut_lineage
 
 # Fixed values: <root>/<entity>/t_cf_<yyyyMMdd>.txt
 _FILE = r"/(\d+)/t_cf_(\d{8})\.[^/]*$"
@@ -23,11 +24,13 @@ def file_day(path: Column) -> Column:
     return F.unix_timestamp(F.try_to_timestamp(_path_part(path, 2), F.lit("yyyyMMdd")))
 
 
-def read_probes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_probes(spark: SparkSession, path: str, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Probes under ``path`` with the venue, day and month of their file, and the rejects.
 
     A line gives clientmac, stime and flag; further fields are ignored. A line
     short of one, with a bad number, or in a file of another name, is a reject.
+    ``once`` keeps the parsed lines as a table, so that the text is parsed once
+    for both.
     """
     lines = (
         spark.read.schema("clientmac string, stime string, flag string")
@@ -44,6 +47,8 @@ def read_probes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         "stime": whole_number(F.col("raw_stime"), "bigint"),
         "flag": whole_number(F.col("raw_flag"), "int"),
     })
+    if once:
+        typed = cut_lineage(typed)
     good = F.lit(True)
     for required in ("clientmac", "stime", "flag", "entityid", "file_day"):
         good = good & F.col(required).isNotNull()

@@ -1,10 +1,10 @@
 """Readers and writers of stored tables.
 
-Tables are partitioned by file_day alone and sorted by venue inside: one
-directory per venue and day would be millions of small files. A venue's day is
-still replaced by itself, see `write_days`. Each day holds a row without a
-device, so that a day that came out empty is replaced too; the readers leave it
-out.
+Tables are partitioned by file_day and one of `VENUE_BUCKETS` buckets of venues,
+and sorted by venue inside: one directory per venue and day would be millions of
+small files. A venue's day is still replaced by itself, see `write_days`. Each
+bucket of a day holds a row without a device, so that one that came out empty is
+replaced too; the readers leave it out.
 """
 
 from pyspark.errors import AnalysisException
@@ -14,16 +14,19 @@ from pyspark.sql import types as T
 
 from passerby import schemas
 from passerby.functions.sizes import broadcast_if_small
-from passerby.operators.keyed import delete_keys, of_days, touched_days
+from passerby.operators.keyed import delete_keys, touched_days
 from passerby.session import cut_lineage
 
+# Venues of a day are stored in so many parts; a table keeps the number it was begun with.
+VENUE_BUCKETS = 16
+
 
 def _read(spark: SparkSession, path: str, fmt: str, layout: T.StructType) -> DataFrame:
     if fmt == "csv":
         rows = spark.read.schema(layout).option("recursiveFileLookup", True).csv(path)
     else:
         rows = spark.read.schema(schemas.by_day(layout)).format(fmt).load(path)
-    return rows.filter(F.col("clientmac").isNotNull())
+    return rows.filter(F.col("clientmac").isNotNull()).drop("bucket")
 
 
 def read_indoor_daily(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -83,19 +86,22 @@ def write_days(df: DataFrame, path: str, processed: DataFrame | None = None,
                fmt: str = "parquet") -> None:
     """Replaces the venue days that ``processed`` names, by default those ``df`` has rows for.
 
-    The stored rows of other venues on the same days are set aside and written
-    with the new ones. ``df`` has no rows outside ``processed``.
+    Only the buckets that these venues fall into are read and written again: the
+    stored rows of other venues in them are set aside and written with the new
+    ones. ``df`` has no rows outside ``processed``.
     """
     spark = df.sparkSession
+    bucket = F.pmod(F.hash("entityid"), F.lit(VENUE_BUCKETS))
     processed = broadcast_if_small(touched_days(df) if processed is None else touched_days(processed))
-    days = processed.select("file_day").distinct()
-    rows = df
+    parts = broadcast_if_small(cut_lineage(processed.select("file_day", bucket.alias("bucket")).distinct()))
+    rows = df.withColumn("bucket", bucket)
     if is_stored(spark, path, fmt):
-        stored = spark.read.schema(df.schema).format(fmt).load(path)
-        others = of_days(stored.filter(F.col("clientmac").isNotNull()), days, ["file_day"])
+        first, last = (parts.agg(bound("file_day")).scalar() for bound in (F.min, F.max))
+        stored = spark.read.schema(rows.schema).format(fmt).load(path).filter(F.col("clientmac").isNotNull())
+        others = stored.filter(F.col("file_day").between(first, last)).join(parts, ["file_day", "bucket"], "left_semi")
         rows = rows.unionByName(cut_lineage(delete_keys(others, processed, schemas.DAY_KEYS)))
-    rows = rows.unionByName(days, allowMissingColumns=True)
-    _replace_partitions(rows, path, ["file_day"], fmt)
+    rows = rows.unionByName(parts, allowMissingColumns=True)
+    _replace_partitions(rows, path, ["file_day", "bucket"], fmt)
 
 
 def write_new(df: DataFrame, path: str, fmt: str = "parquet") -> None:

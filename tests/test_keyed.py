@@ -1,11 +1,15 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import frame, physical, probes, rows, thresholds
 from passerby.operators.keyed import (
     delete_keys, merge_probes, of_days, stale_keys, touched_days, upsert,
 )
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
 from passerby.plans.refresh import apply_run, daily_report, publish_refresh, refresh_days
+from passerby.session import cut_lineage, list_folder, temporary_tables
 from passerby.sources.tables import (
     append_probes, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes, write_days,
     write_new, write_table,
@@ -157,3 +161,48 @@ def test_new_place_and_managed_table(spark, tmp_path):
     write_table(stays(spark, 3), "made.report")
     assert rows(spark.table("made.report"), "etime") == [(3,)]
     spark.sql("DROP DATABASE made CASCADE")
+
+
+def files_of(path):
+    return {str(file.relative_to(path)) for file in path.rglob("*.parquet")}
+
+
+def test_other_venues_files_of_a_day_stay_as_they_are(spark, tmp_path):
+    path, limits = tmp_path / "rec", thresholds(spark, indoor=0)
+    venues = [sessionize(probes(spark, ("a", 5, 1), ("a", 25, 1), entity=e), limits) for e in range(1, 9)]
+    whole = venues[0]
+    for more in venues[1:]:
+        whole = whole.unionByName(more)
+    write_days(whole, str(path))
+    before = files_of(path)
+    write_days(sessionize(probes(spark, ("b", 9, 1), ("b", 29, 1), entity=3), limits), str(path))
+    gone, new = before - files_of(path), files_of(path) - before
+    assert {name.rsplit("/", 1)[0] for name in gone} == {name.rsplit("/", 1)[0] for name in new} and len(new) == 1
+    found = {(r.entityid, r.clientmac) for r in read_sessions(spark, str(path)).collect()}
+    assert found == {(e, "b" if e == 3 else "a") for e in range(1, 9)}
+
+
+def test_only_the_named_days_are_read(spark, tmp_path):
+    path = str(tmp_path / "many")
+    days = spark.range(400).select(F.col("id").cast("int").alias("entityid"), (F.col("id") * 86400).alias("file_day"), F.lit("a").alias("clientmac"))
+    days.write.partitionBy("file_day").parquet(path)
+    wanted = frame(spark, "entityid int, file_day long", (3, 3 * 86400), (390, 390 * 86400))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        found = of_days(spark.read.schema("entityid int, clientmac string, file_day long").parquet(path), wanted)
+        assert found.count() == 2
+        assert "dynamicpruning" in physical(of_days(spark.read.schema("entityid int, clientmac string, file_day long").parquet(path), wanted))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_temporary_tables_go_after_success_and_stay_after_failure(spark):
+    with temporary_tables(spark) as folder:
+        assert cut_lineage(spark.range(3)).count() == 3 and list_folder(spark, folder)
+    assert not list_folder(spark, folder)
+    with pytest.raises(RuntimeError), temporary_tables(spark) as folder:
+        cut_lineage(spark.range(3))
+        raise RuntimeError
+    assert list_folder(spark, folder)
