@@ -32,7 +32,7 @@ ROUNDS = 3
 SMOOTHING = 0.1
 STRANGE = 1e-9
 #: Word forms that a worker remembers; the memory is emptied when it is full, which changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
 #: The mark of a word's start in the vocabulary.
 START = "▁"
@@ -282,8 +282,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         make_room("language")
         scorer = _scorer(shared.value)
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
                 answers = scorer.predict(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([lang for lang, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())],
@@ -293,7 +293,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 _scorers: dict[bytes, Scorer] = {}
-remembers("language", _scorers.clear)
+
+
+def _forget() -> None:
+    _scorers.clear()
+    trie_of.cache_clear()
+    pieces.cache_clear()
+
+
+remembers("language", _forget)
 
 
 def _scorer(model: Model) -> Scorer:

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from passerby.llm.rows import make_room
+
 ROUNDS = 10
 #: For tests and examples; a deployment passes a key of its own.
 KEY = "passerby"
@@ -272,9 +274,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     at, secret = kept.columns.index("text"), key.encode()
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("pseudonyms")
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
                 texts, spans = [], []
                 for text in part.column(at).to_pylist():
                     new, found = (text, []) if text is None else replace(text, secret, back)

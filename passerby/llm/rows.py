@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +67,11 @@ def remembers(operator: str, forget: Callable[[], None]) -> None:
 
 
 def make_room(operator: str) -> None:
-    """Empties what other operators remember: a worker process serves one stage of a pipeline after another."""
+    """Empties what other operators remember: a worker process serves one stage of a pipeline after another.
+
+    What earlier tasks have freed goes back to the machine, as far as Arrow has kept it.
+    """
     for other, forget in _memories.items():
         if other != operator:
             forget()
+    pa.default_memory_pool().release_unused()
