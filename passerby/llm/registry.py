@@ -36,7 +36,7 @@ def op7_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge(table(spark, sf_dir, "pages"))
+    return url_rules.judge(table(spark, sf_dir, "pages"), from_labelled=True)
 
 
 def op9_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
