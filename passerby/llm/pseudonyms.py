@@ -222,8 +222,8 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
               r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w-])", _phone),
     ("card", r"(?<![\w.-])([0-9](?:[ -]?[0-9]){12,18})(?![\w-])", _card),
 )
-#: A text without any of these has nothing to be found, so most texts are searched once.
-HINT = re.compile(r"@|[0-9][0-9 .\-/()]{6,}[0-9]|(?i:token|secret|passw|key)[\"']?[ \t]*[:=]|[0-9A-Fa-f]{32}|[A-Z]{2}[0-9]{2}")
+#: A text without any of these has nothing to be found, so most texts are searched once. Every kind has to hold one: the shortest address has 7 characters.
+HINT = re.compile(r"@|[0-9][0-9 .\-/()]{5,}[0-9]|(?i:token|secret|passw(?:or)?d|key)[\"']?[ \t]*[:=]|[0-9A-Fa-f]{32}|[A-Z]{2}[0-9]{2}")
 
 
 @functools.cache

@@ -46,6 +46,20 @@ def test_formats_and_checks_are_kept(kind, value):
     assert p.replace(text, b"another key")[0] != new
 
 
+ALONE = [value for _, value in VALID] + ["8.8.8.8", "1.1.1.1"] + [
+    f"{before}{word}{sign}Correct-horse-battery7" for word in ("token", "secret", "password", "PASSWD", "passwd", "api_key", "api-key", "apikey", "Access_Key", "key")
+    for before, sign in (("", "="), ("", ": "), ('"', '": "'), ("", " = '"))]
+
+
+@pytest.mark.parametrize("text", ALONE)
+def test_each_is_found_where_it_stands_alone(text):
+    new, spans = p.replace(text, KEY)
+    assert len(spans) == 1 and new != text
+    # Nothing else in a text makes a difference.
+    assert p.replace(f"a@ {text}", KEY)[0] == f"a@ {new}"
+    assert p.replace(new, KEY, back=True)[0] == text
+
+
 @pytest.mark.parametrize("value", INVALID)
 def test_what_is_not_valid_stays(value):
     text = f"See {value}, or not."
