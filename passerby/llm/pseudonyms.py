@@ -218,7 +218,8 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("date", r"(?<![\w.-/])([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4})(?![\w/-])", _date),
     ("security", r"(?<![\w-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])", _security),
     ("address", r"(?<![\w.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])", _address),
-    ("phone", r"(?<![\w+])(\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+    ("phone", r"(?<![\w+])(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+              r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
               r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w-])", _phone),
     ("card", r"(?<![\w.-])([0-9](?:[ -]?[0-9]){12,18})(?![\w-])", _card),
 )
@@ -231,24 +232,36 @@ def _patterns() -> tuple[tuple[str, re.Pattern, Callable], ...]:
     return tuple((name, re.compile(pattern), replace) for name, pattern, replace in KINDS)
 
 
+def _shorter(pattern: re.Pattern, text: str, start: int, end: int) -> re.Match | None:
+    """The next shorter match from ``start`` on that ends before a space or dot: a number that follows was read into it."""
+    ends = (at for at in range(end - 1, start, -1) if text[at] in " .")
+    return next(filter(None, (pattern.fullmatch(text, start, at) for at in ends)), None)
+
+
 def replace(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, end) of each in the new text, in order.
 
-    Kinds are tried in their order, and what one has taken no later one touches.
+    Kinds are tried in their order, each in the gaps between what earlier ones
+    have taken.
     """
     if not HINT.search(text):
         return text, []
     taken: list[tuple[int, int, str, str]] = []
     for name, pattern, new in _patterns():
-        for match in pattern.finditer(text):
-            start, end = match.span(1)
-            if any(start < e and s < end for s, e, _, _ in taken):
-                continue
-            value = new(match[1], key, back)
-            if value is not None:
-                taken.append((start, end, name, value))
+        found = []
+        # What was taken begins behind a sign, so a gap's end parts no word; what lies before a gap is still looked back at.
+        for low, high in zip([0, *(end for _, end, _, _ in taken)], [*(start for start, _, _, _ in taken), len(text)], strict=True):
+            for match in pattern.finditer(text, low, high):
+                start, end = match.span(1)
+                value = new(match[1], key, back)
+                while value is None and name == "phone" and (shorter := _shorter(pattern, text, start, end)):
+                    end = shorter.end(1)
+                    value = new(shorter[1], key, back)
+                if value is not None:
+                    found.append((start, end, name, value))
+        taken = sorted(taken + found)
     out, spans, at, size = [], [], 0, 0
-    for start, end, name, value in sorted(taken):
+    for start, end, name, value in taken:
         size += start - at
         out += [text[at:start], value]
         spans.append((name, size, size + len(value)))

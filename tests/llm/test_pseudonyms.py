@@ -80,6 +80,16 @@ def test_kinds_side_by_side():
     assert re.sub(r"\w", "", new) == re.sub(r"\w", "", text)
 
 
+@pytest.mark.parametrize("phone", ["+1 (826) 555-4081", "+1 843 555 7672", "+1.843.555.7672", "+49 30 1234 5678", "(212) 555-0100"])
+@pytest.mark.parametrize("after", ["190.137.223.204", "2024-02-29", "4111 1111 1111 1111", "2024", "bob@example.com"])
+def test_a_number_behind_a_phone_is_none_of_it(phone, after):
+    alone, _ = p.replace(phone, KEY)
+    behind, _ = p.replace(after, KEY)
+    new, spans = p.replace(f"{phone} {after}", KEY)
+    assert new == f"{alone} {behind}" and alone != phone and spans[0] == ("phone", 0, len(phone))
+    assert p.replace(new, KEY, back=True)[0] == f"{phone} {after}"
+
+
 def test_rows(spark):
     rows = [(1, "call (212) 555-0100", "x"), (2, "clean text, 12 words and 3.5", "x"), (3, None, "x"), (4, "", "x"), (None, "(212) 555-0100", "x"),
             (1, "call (212) 555-0100", "x"), (5, "1 " * 100_000 + "10.0.0.1", "x"), (6, "x" * 300_000, "x"), (7, "9" * 200_000, "x"), (8, "a@" * 50_000, "x")]
