@@ -158,19 +158,36 @@ def _security(found: str, key: bytes, back: bool) -> str | None:
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
-def _date(found: str, key: bytes, back: bool) -> str | None:
-    """Year first, or day first, with the sign between them; of two readings of a/b/year the day first one counts."""
-    parts = re.split(r"([-/.])", found)
-    one, two, three = map(int, parts[::2])
+def _day(year: str, month: str, day: str) -> int | None:
+    """The number of a day that dates are permuted among; None if it is none."""
     try:
-        day = datetime.date(one, two, three) if len(parts[0]) == 4 else datetime.date(three, two, one)
+        number = datetime.date(int(year), int(month), int(day)).toordinal()
     except ValueError:
         return None
-    if parts[1] != parts[3] or not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+    return number if FIRST_DAY <= number <= LAST_DAY else None
+
+
+def _date(found: str, key: bytes, back: bool) -> str | None:
+    """Year first, day first, or month first where day first is no date, with the sign between them.
+
+    Dates with the month first are permuted among those that cannot be read day
+    first, days after the 12th, so that the pseudonym is read as they are.
+    """
+    one, sign, two, other, three = re.split(r"([-/.])", found)
+    if sign != other:
+        return None
+    number, month_first = _day(one, two, three) if len(one) == 4 else _day(three, two, one), False
+    if number is None and len(one) != 4:
+        number, month_first = _day(three, one, two), True
+    if number is None:
         return None
-    new = datetime.date.fromordinal(FIRST_DAY + permute(day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
-    order = (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")
-    return parts[1].join(order if len(parts[0]) == 4 else order[::-1])
+    while True:
+        number = FIRST_DAY + permute(number - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date:month" if month_first else "date", back)
+        new = datetime.date.fromordinal(number)
+        if not month_first or new.day > 12:
+            break
+    year, month, day = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+    return sign.join((year, month, day) if len(one) == 4 else (month, day, year) if month_first else (day, month, year))
 
 
 def _letters(text: str, key: bytes, kind: str, back: bool) -> str:
@@ -219,7 +236,7 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("security", r"(?<![\w-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])", _security),
     ("address", r"(?<![\w.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])", _address),
     ("phone", r"(?<![\w+])(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-              r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+              r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{1,4}){0,3}[ .-]?[0-9]{2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
               r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w-])", _phone),
     ("card", r"(?<![\w.-])([0-9](?:[ -]?[0-9]){12,18})(?![\w-])", _card),
 )

@@ -90,6 +90,22 @@ def test_a_number_behind_a_phone_is_none_of_it(phone, after):
     assert p.replace(new, KEY, back=True)[0] == f"{phone} {after}"
 
 
+@pytest.mark.parametrize("kind, value", [("date", "12/31/1999"), ("date", "02-29-1984"), ("phone", "+33 1 23 45 67 89"), ("phone", "+55 11 9 1234 5678"),
+                                         ("phone", "+61 (2) 5550 1234"), ("phone", "+44 20 79 46 09 58"), ("phone", "+46 8 123 456 78")])
+def test_month_first_and_short_groups(kind, value):
+    new, spans = p.replace(f"at {value}.", KEY)
+    assert [name for name, _, _ in spans] == [kind] and new != f"at {value}." and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"at {value}.")
+    assert p.replace(new, KEY, back=True)[0] == f"at {value}."
+
+
+def test_dates_by_month_first_never_share_a_pseudonym():
+    dates = [f"{month:02d}/{day:02d}/{year}" for year in range(1995, 2001) for month in range(1, 13) for day in range(13, 29)]
+    new = [p.replace(date, KEY)[0] for date in dates]
+    assert new != dates and len(set(new)) == len(dates) and all(int(date[:2]) <= 12 < int(date[3:5]) for date in new)
+    assert all(p.replace(found, KEY, back=True)[0] == date for found, date in zip(new, dates, strict=True))
+    assert all(p.replace(text, KEY) == (text, []) for text in ("13/13/1999", "02/30/1999", "31/02/1990", "12/31/1850", "+1 23", "+12345 6"))
+
+
 def test_rows(spark):
     rows = [(1, "call (212) 555-0100", "x"), (2, "clean text, 12 words and 3.5", "x"), (3, None, "x"), (4, "", "x"), (None, "(212) 555-0100", "x"),
             (1, "call (212) 555-0100", "x"), (5, "1 " * 100_000 + "10.0.0.1", "x"), (6, "x" * 300_000, "x"), (7, "9" * 200_000, "x"), (8, "a@" * 50_000, "x")]
