@@ -313,14 +313,11 @@ def further_pairs(postings: DataFrame, nodes: DataFrame, known: DataFrame, rule:
     return pairs.filter(rule.may_link(differing(F.col("bits_a"), F.col("bits_b")), F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b")
 
 
-def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document.
+def linked_sets(docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n_shingles, set_id, component and component_id of every document, see `link`.
 
-    component_id is the smallest doc_id that can be reached by links, the
-    document's own included. A text that is null, empty or without words has an
-    empty set and is linked with nothing. Rows that repeat an id are documents
-    of their own; a row without an id is linked with nothing and has no
-    component. Texts are read whole; extra columns play no part.
+    Components of different sets can have one component_id, where rows of
+    different texts repeat an id; ``component`` tells them apart.
     """
     order = Order.of(range_counts(docs, rule.words))
     sets = cut_lineage(sets_of(docs, rule, order))
@@ -335,19 +332,60 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     known = components(links.union(more))
     joined = nodes.select("node", "set_id", "smallest").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = joined.join(least, "component").select("set_id", "component_id")
+    named = joined.join(least, "component").select("set_id", "component", "component_id")
     found = sets.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(named, "set_id", "left")
-    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return found.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
+
+
+def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document.
+
+    component_id is the smallest doc_id that can be reached by links, the
+    document's own included. A text that is null, empty or without words has an
+    empty set and is linked with nothing. Rows that repeat an id are documents
+    of their own; a row without an id is linked with nothing and has no
+    component. Texts are read whole; extra columns play no part.
+    """
+    return linked_sets(docs, rule).select("doc_id", "n_shingles", "component_id")
+
+
+def with_set_ids(rows: DataFrame, rule: Rule) -> DataFrame:
+    """``rows`` with the fingerprint of each text's set as ``set_id``, null for an empty set."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("set_id", T.BinaryType())])
+    at = rows.columns.index("text")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room("jaccard_join")
+        for batch in batches:
+            for first in range(0, batch.num_rows, 200):
+                part = batch.slice(first, 200)
+                sets = (shingles(text, rule.words) for text in part.column(at).to_pylist())
+                ids = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [field.name for field in schema.fields])
+
+    return rows.mapInArrow(add, schema)
 
 
 def one_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id, and all rows without an id."""
-    groups = link(docs, rule)
-    kept = cut_lineage(groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")))
-    kept = broadcast_if_small(kept.withColumnRenamed("doc_id", "kept_id"), 1_000_000)
+    """``docs`` with one document of each component, that of the smallest id, and all rows without an id.
+
+    Where rows of different texts repeat an id, each is a document of its own:
+    of a component the smallest set_id under its smallest id stays. Of rows
+    that repeat both, one stays.
+    """
+    groups = linked_sets(docs, rule).filter("doc_id IS NOT NULL")
+    groups = cut_lineage(groups.groupBy("doc_id", "component").agg(
+        F.count("*").alias("rows"), F.min(F.when(F.col("doc_id") == F.col("component_id"), F.struct("set_id"))).alias("least")))
+    kept = groups.groupBy(F.col("doc_id").alias("kept_id")).agg(F.sum("rows").alias("rows"), F.count("least").alias("components")).filter("components > 0")
+    # A table of its own, so that how many ids there are is counted once.
+    kept = broadcast_if_small(cut_lineage(kept.select("kept_id", "rows")), 1_000_000)
     marked = carry(docs, "doc_id", "text").join(kept, F.col("doc_id") == F.col("kept_id"), "left")
     single = marked.filter("doc_id IS NULL OR rows = 1")
-    repeated = marked.filter("rows > 1").dropDuplicates(["doc_id"])
+    # Only rows that repeat an id are looked at again: which set is theirs tells whether they are the one.
+    least = groups.filter("least IS NOT NULL").select(F.col("doc_id").alias("least_id"), F.col("least.set_id").alias("least_set"))
+    several = with_set_ids(marked.filter("rows > 1"), rule)
+    several = several.join(least, (F.col("doc_id") == F.col("least_id")) & F.col("set_id").eqNullSafe(F.col("least_set")), "left_semi")
+    repeated = several.dropDuplicates(["doc_id", "set_id"]).drop("set_id")
     return put_down(single.union(repeated), docs, "doc_id", "text")
 
 

@@ -73,6 +73,22 @@ def test_one_of_each(spark):
     assert sorted(map(tuple, jj.one_of_each(docs).collect()), key=str) == [(3, "a b c d e f"), (7, "q r s t u v"), (9, None), (None, "a b c d e f")]
 
 
+def test_one_of_each_where_ids_repeat_with_other_texts(spark):
+    near = [f"w{i}" for i in range(40)]
+    rows = [
+        (3, " ".join(near)),
+        # A near copy of 3 and a clean text under one id, then two clean texts, one of them twice.
+        (7, " ".join(near + ["more"])), (7, "q r s t u v"), (8, "a b c d e f"), (8, "g h i j k l"), (8, "g h i j k l"),
+        # Two near copies of each other under one id; a text, and none, under one id; a null id.
+        (9, " ".join("z" + w for w in near)), (9, " ".join("z" + w for w in near[1:])), (10, "m n o p q r"), (10, None), (10, None), (None, "a b c d e f")]
+    docs = spark.createDataFrame([(*row, "x", b"y") for row in rows], "doc_id long, text string, component string, set_id binary")
+    found = [tuple(row)[:2] for row in jj.one_of_each(docs, jj.Rule(words=5, percent=80)).collect()]
+    nines = [row for row in found if row[0] == 9]
+    assert len(nines) == 1 and nines[0] in rows
+    expected = [rows[0], rows[2], rows[3], rows[4], rows[8], rows[9], rows[11]]
+    assert sorted((row for row in found if row[0] != 9), key=str) == sorted(expected, key=str)
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(5, 5)]
     found = {row.node: row.component for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
