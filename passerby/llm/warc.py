@@ -28,8 +28,6 @@ RANGE_BYTES = 8 << 20
 MOST_TASKS = 100_000
 #: A range is read in steps of this size.
 STEP = 1 << 20
-#: A header longer than this is no header.
-HEADER_BYTES = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -84,7 +82,7 @@ def records_of(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
 
 
 def write(records: DataFrame, folder: str) -> DataFrame:
-    """Writes ``records`` as archives under ``folder``, a file for each task: (path, bytes) of the files that count.
+    """Writes ``records`` as archives under ``folder``, a file for each task: (path, bytes, records) of the files that count.
 
     A file is written under a name of its own attempt, so a task that runs
     twice leaves a second file that no row names.
@@ -92,7 +90,7 @@ def write(records: DataFrame, folder: str) -> DataFrame:
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, at = place_of(folder)
-        out, path, size = None, None, 0
+        out, path, size, count = None, None, 0, 0
         for batch in batches:
             if batch.num_rows and out is None:
                 name = f"part-{uuid.uuid4().hex}.warc.gz"
@@ -101,11 +99,13 @@ def write(records: DataFrame, folder: str) -> DataFrame:
             for first in range(0, batch.num_rows, 100):
                 for row in batch.slice(first, 100).to_pylist():
                     size += out.write(record(row["page_id"], row["url"], row["payload"], row["payload_digest"], row["record_type"], row["refers_to"]))
+                    count += 1
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64())], ["path", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64()), pa.array([count], pa.int64())],
+                                                 ["path", "bytes", "records"])
 
-    return cut_lineage(records.mapInArrow(save, "path string, bytes long"))
+    return cut_lineage(records.mapInArrow(save, "path string, bytes long, records long"))
 
 
 @dataclass
@@ -135,8 +135,8 @@ class Reader:
 def member(reader: Reader, place: int) -> tuple[dict[str, str], bytes, int] | None:
     """The record in the gzip member at ``place`` and the place behind it, or None if there is no record.
 
-    The header is unpacked first: bytes that only look like a member's beginning
-    fail there, before much is read.
+    The version is unpacked first: bytes that only look like a member's
+    beginning fail there, before much is read. A header is as long as it is.
     """
     unpack = zlib.decompressobj(31)
     data, at = bytearray(), place
@@ -146,18 +146,17 @@ def member(reader: Reader, place: int) -> tuple[dict[str, str], bytes, int] | No
             chunk = reader.at(at, 1 << 16)
             if not chunk:
                 return None
+            seen = len(data)
             data += unpack.decompress(chunk)
             at += len(chunk) - len(unpack.unused_data)
             if not data.startswith(VERSION[:len(data)]):
                 return None
             if fields is None:
-                end = data.find(b"\r\n\r\n")
+                end = data.find(b"\r\n\r\n", max(0, seen - 3))
                 if end >= 0:
                     lines = data[:end].decode("utf-8", "replace").split("\r\n")[1:]
                     fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
                     start, length = end + 4, int(fields["content-length"])
-                elif len(data) > HEADER_BYTES:
-                    return None
     except (zlib.error, KeyError, ValueError):
         return None
     if fields is None or len(data) < start + length:
@@ -247,10 +246,15 @@ ARROW = pa.schema([("path", pa.string()), ("place", pa.int64()), ("record_type",
 
 
 def round_trip(pages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Every page written to archives in the shared folder and read back from them."""
+    """Every page written to archives in the shared folder and read back from them; an error if not all come back."""
     spark = pages.sparkSession
     files = write(records_of(pages), f"{run_folder(spark)}-warc")
-    return read(spark, files, range_bytes, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = read(spark, files, range_bytes, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = cut_lineage(found)
+    written, back = files.agg(F.sum("records")).first()[0] or 0, found.count()
+    if written != back:
+        raise ValueError(f"{back} of {written} records came back from the archives")
+    return found
 
 
 ORACLE = """

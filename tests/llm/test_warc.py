@@ -39,6 +39,26 @@ def test_round_trip(spark, range_bytes):
     assert sorted(map(tuple, found), key=str) == plain(ROWS)
 
 
+def long_url():
+    chance = random.Random(3)
+    return "http://x/" + "".join(chance.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=1_500_000))
+
+
+def test_a_url_of_any_length(spark):
+    rows = [(1, long_url(), "same page " * 20), (2, "http://y/", "same page " * 20), (3, "http://z/", "other")]
+    found = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(map(tuple, found), key=str) == plain(rows)
+    [(fields, _, _)] = warc.read_range(warc.Reader(io.BytesIO(data := warc.record(1, rows[0][1], b"x", "d", "response", None)), len(data)), 0, len(data))
+    assert fields["warc-target-uri"] == rows[0][1]
+
+
+def test_records_that_do_not_come_back_are_an_error(spark, monkeypatch):
+    whole = warc.read
+    monkeypatch.setattr(warc, "read", lambda *args, **named: whole(*args, **named).filter("page_id <> 2"))
+    with pytest.raises(ValueError, match="2 of 3 records"):
+        warc.round_trip(spark.createDataFrame([(i, "u", "x") for i in (1, 2, 3)], "page_id long, url string, html string"))
+
+
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
