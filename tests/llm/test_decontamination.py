@@ -1,0 +1,118 @@
+"""Benchmark passages: the search against plain comparison at every word, several passes, odd rows."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from passerby.llm import decontamination as d
+
+DOCS = "text string, spans string, doc_id long, item_id string"
+ITEMS = "item_id string, n_words string, text string"
+
+
+def plain_words(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def brute_force(docs, items, window):
+    """doc_id -> (n_words, hit words, items), by looking at every place for every string."""
+    strings = set()
+    for item, text in items:
+        words = plain_words(text)
+        strings |= {(item or "", tuple(words[i:i + window])) for i in range(max(len(words) - window, 0) + 1) if words}
+    out = []
+    for doc_id, text in docs:
+        words, hit, found = plain_words(text), set(), set()
+        for item, string in strings:
+            for i in range(len(words) - len(string) + 1):
+                if tuple(words[i:i + len(string)]) == string:
+                    hit |= set(range(i, i + len(string)))
+                    found.add(item)
+        out.append((doc_id, len(words), tuple(sorted(hit)), tuple(sorted(found))))
+    return sorted(out, key=repr)
+
+
+def found_by(rows):
+    return sorted(((row.doc_id, row.n_words, tuple(i for s in row.spans for i in range(s.first, s.last + 1)), tuple(row.items))
+                   for row in rows.collect()), key=repr)
+
+
+def tables(spark, docs, items):
+    return (spark.createDataFrame([(text, "x", doc_id, "y") for doc_id, text in docs], DOCS),
+            spark.createDataFrame([(item, "z", text) for item, text in items], ITEMS))
+
+
+def chance_case(seed):
+    """Few words, so that strings share pairs and ends, and overlap themselves."""
+    chance = random.Random(seed)
+    text = lambda n: " ".join(chance.choice(["a", "b", "Ab", "ü", "9", "c-d"]) for _ in range(n))
+    items = [(f"i{n % 7}", text(chance.randint(0, 9))) for n in range(12)]
+    return [(n, text(chance.randint(0, 40))) for n in range(30)], items
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 10])
+def test_every_occurrence(window):
+    for seed in range(20):
+        docs, items = chance_case(100 * window + seed)
+        finder = d.Finder([(item or "", d.words_in(text.encode())) for item, text in items], window)
+        got = []
+        for doc_id, text in docs:
+            words = d.words_in(text.encode())
+            spans, which = finder.find(words)
+            got.append((doc_id, len(words), tuple(i for s in spans for i in range(s["first"], s["last"] + 1)), tuple(which)))
+        assert sorted(got, key=repr) == brute_force(docs, items, window)
+
+
+def test_most_words_are_never_looked_at():
+    class Counted(list):
+        looked = 0
+
+        def __getitem__(self, at):
+            Counted.looked += 1
+            return super().__getitem__(at)
+
+    tables = d.Tables({tuple(b"w%d" % (i + j) for j in range(10)): i for i in range(50)})
+    words = Counted(b"x%d" % i for i in range(9_000))
+    assert list(tables.find(words)) == [] and Counted.looked <= 1_001
+
+
+def test_words_are_those_of_the_pattern():
+    text = "Ab\x00C-d\tÄÖ ß9[z]{y}~\x7fq ½\x80"
+    assert [word.decode() for word in d.words_in(text.encode())] == plain_words(text)
+
+
+def test_long_items_keep_all_strings():
+    words = [b"%d" % i for i in range(1_234)]
+    for window in (1, 4, 10):
+        parts = list(d.stretches(words, window, 100))
+        assert sorted(s for part in parts for s in d.strings_of(part, window)) == sorted(d.strings_of(words, window))
+
+
+@pytest.mark.parametrize("strings", [d.PASS_STRINGS, 6])
+def test_one_pass_and_several(spark, strings):
+    docs, items = chance_case(7)
+    docs += [(None, "a b Ab"), (3, docs[0][1]), (3, docs[0][1]), (500, None), (501, ""), (502, "?!"), (503, "a " * 3000)]
+    items += [(None, "b b a"), ("i1", None), ("i2", ""), ("i2", items[0][1]), ("i3", "..."), ("i9", "a " * 500)]
+    assert found_by(d.passages(*tables(spark, docs, items), window=3, strings=strings)) == brute_force(docs, items, 3)
+
+
+def test_empty_tables(spark):
+    docs, items = tables(spark, [(1, "a b c")], [("i", "a b c")])
+    assert d.passages(docs.limit(0), items).count() == 0
+    row = d.contamination(docs, items.limit(0)).first()
+    assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (3, 0, 0, False)
+    assert row.items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_figures_and_long_texts(spark):
+    passage = " ".join(f"word{i}" for i in range(12))
+    long = " ".join(f"x{i % 977}" for i in range(200_000)) + " " + passage.upper() + " end"
+    docs, items = tables(spark, [(1, long), (2, "a" * 300_000), (3, passage[:-7])], [("b", passage), ("a", passage), ("c", "word3 word4")])
+    got = {row.doc_id: row for row in d.contamination(docs, items).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items, got[1].contaminated) == (200_013, 12, 3, True)
+    assert got[1].items_sha256 == hashlib.sha256(b"a,b,c").hexdigest()
+    assert (got[2].n_words, got[2].n_hit, got[2].contaminated) == (1, 0, False)
+    assert (got[3].n_hit, got[3].n_items) == (11, 3)
