@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from passerby.llm import decontamination, jaccard_join, language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
+from passerby.llm import alignment, centroids, decontamination, jaccard_join, language, mixing, neighbours, packing, pseudonyms, quality_rules, quality_votes, url_rules, warc
 from passerby.llm.rows import table
 
 
@@ -47,6 +47,14 @@ def op10_nearest_label_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_rotated_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,4 +70,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_source_mixing": mixing.ORACLE, "op6_fragment_jaccard_join": jaccard_join.ORACLE, "op7_splittable_warc": warc.ORACLE,
-            "op13_wu_manber_decontamination": decontamination.ORACLE}
+            "op11_rotated_centroids": centroids.ORACLE, "op13_wu_manber_decontamination": decontamination.ORACLE}
