@@ -7,7 +7,6 @@ positions adds them up. A text's likelihood is the product over its words.
 """
 
 import functools
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,15 +25,14 @@ from passerby.session import cut_lineage
 UNKNOWN = "und"
 #: Learning takes about so many documents of each language, at most twice as many.
 LEARN_DOCS = 2000
-#: Of these, the word forms with the largest counts in each language.
-LEARN_WORDS = 200_000
 ROUNDS = 3
 #: What a piece counts beside what was seen; a character outside all pieces has this chance of its own.
 SMOOTHING = 0.1
 STRANGE = 1e-9
 #: Word forms that a worker remembers; the memory is emptied when it is full, which changes no result.
 REMEMBERED = 200_000
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters are what Unicode has under L, in learning as in scoring: no digits, fractions or circled numbers.
+LETTERS = regex.compile(r"\p{L}+")
 #: The mark of a word's start in the vocabulary.
 START = "▁"
 
@@ -79,6 +78,8 @@ class Trie:
             elif state:
                 self.next[states[state[:-1]], self.characters[ord(state[-1])]] = number
             self.piece[number] = known.get(state, -1)
+        #: Places that a piece reaches over, its first included.
+        self.reach = max(map(len, known)) + 1
 
     def spell(self, words: list[str]) -> np.ndarray:
         """A row of characters for each word, with the mark of its start in front and -1 behind its end."""
@@ -90,12 +91,13 @@ class Trie:
         rows[np.repeat(np.arange(len(words)), sizes), column] = self.characters[points]
         return rows
 
-    def walk(self, rows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """All pieces of all words, by their start: (start, length, words, piece numbers).
+    def walk(self, rows: np.ndarray, first: int = 0, end: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """All pieces of all words, by their start: (start, length, words, piece numbers); only those that start in a range, if asked.
 
         Where no single character is a piece, the character is one of number -1.
         """
-        for start in range(rows.shape[1] - 1):
+        last = rows.shape[1] - 1
+        for start in range(first, last if end is None else min(end, last)):
             words = np.flatnonzero(rows[:, start] >= 0)
             state = self.first[rows[words, start]]
             lone = self.piece[state] < 0
@@ -119,33 +121,53 @@ class Trie:
 trie_of = functools.cache(Trie)
 
 
-def forward(rows: np.ndarray, steps, chances: np.ndarray) -> np.ndarray:
-    """Chance of each beginning of each word, by language, all ways of cutting it added up.
+#: At every so many places of a word what has been added up is scaled anew, so that no product leaves the range of a double.
+BLOCK = 16
+#: Places of a word whose steps are kept together on the way back.
+PART = 256
 
-    ``chances`` has a row for each piece and a last one for lone characters.
-    The steps come by their start, so a place is complete before it is used.
+
+def forward(rows: np.ndarray, steps, chances: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Chance of each beginning of each word, by language, all ways of cutting it added up, and the logarithm it is scaled by.
+
+    ``chances`` has a row for each piece and a last one for lone characters; no
+    piece is longer than ``reach``. The steps come by their start, so a place is
+    complete before it is used. The chance itself is the value times e to the
+    power of the scale.
     """
     total = np.zeros((*rows.shape, chances.shape[1]))
+    scale = np.zeros_like(total)
     total[:, 0] = 1.0
+    done = 0
     for start, length, words, numbers in steps:
+        if start >= done + BLOCK:
+            done = start
+            alive = rows[:, start] >= 0
+            # What the places from here on have got so far came from before.
+            part = total[alive, start:start + reach]
+            most = part.max(axis=1)
+            total[alive, start:start + reach] = part / most[:, None]
+            scale[alive, start:] += np.log(most)[:, None]
         total[words, start + length] += total[words, start] * chances[numbers]
-    return total
+    return total, scale
 
 
 def ends_of(rows: np.ndarray) -> np.ndarray:
     return (rows >= 0).sum(axis=1)
 
 
-def expected(rows: np.ndarray, steps: list, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def expected(rows: np.ndarray, trie: Trie, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """How often each piece is used in one language, over all ways of cutting all words."""
-    ahead = forward(rows, steps, chances[:, None])[:, :, 0]
+    ahead, scale = (values[:, :, 0] for values in forward(rows, trie.walk(rows), chances[:, None], trie.reach))
     back, every, ends = np.zeros(rows.shape), np.arange(len(rows)), ends_of(rows)
     back[every, ends] = counts / ahead[every, ends]
     used = np.zeros(len(chances))
-    for start, length, words, numbers in reversed(steps):
-        rest = back[words, start + length] * chances[numbers]
-        back[words, start] += rest
-        used += np.bincount(numbers % len(chances), ahead[words, start] * rest, len(chances))
+    # The steps again from the last to the first, a part at a time: those of a very long word are never all there.
+    for first in range((rows.shape[1] - 1) // PART * PART, -1, -PART):
+        for start, length, words, numbers in reversed(list(trie.walk(rows, first, first + PART))):
+            rest = back[words, start + length] * chances[numbers] * np.exp(scale[words, start] - scale[words, start + length])
+            back[words, start] += rest
+            used += np.bincount(numbers % len(chances), ahead[words, start] * rest, len(chances))
     return used[:-1]
 
 
@@ -154,21 +176,30 @@ def _chances(counts: np.ndarray) -> np.ndarray:
     return np.append(smoothed / smoothed.sum() * (1 - STRANGE), STRANGE)
 
 
-#: A word is scored by its first so many characters at a time, so that no product leaves the range of a double.
-STRETCH = 32
+#: Words are taken together up to so many characters and languages.
+TOGETHER = 1 << 18
 
 
-BATCH = 10_000
+def batches_of(words: list[str], wide: int = 1) -> Iterator[list[int]]:
+    """Places of words of like length that are taken together; a longer word is taken by itself."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    first = 0
+    while first < len(order):
+        # Lengths ascend, so the last word taken is the widest.
+        last = first + 1
+        while last < len(order) and (last + 1 - first) * (len(words[order[last]]) + 2) * wide <= TOGETHER:
+            last += 1
+        yield order[first:last]
+        first = last
 
 
 def fit_language(words: list[str], counts: np.ndarray, vocabulary: str, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language, by expectation and maximisation over all segmentations."""
     trie = trie_of(vocabulary)
-    parts = [slice(first, first + BATCH) for first in range(0, len(words), BATCH)]
-    spelt = [(rows, list(trie.walk(rows)), counts[part]) for part in parts for rows in [trie.spell(words[part])]]
+    parts = list(batches_of(words))
     chances = _chances(np.zeros(len(pieces(vocabulary))))
     for _ in range(rounds):
-        chances = _chances(sum(expected(rows, steps, chances, n) for rows, steps, n in spelt))
+        chances = _chances(sum(expected(trie.spell([words[i] for i in part]), trie, chances, counts[part]) for part in parts))
     return chances
 
 
@@ -183,13 +214,11 @@ class Model:
     def score(self, words: list[str]) -> np.ndarray:
         """The logarithm of each word's likelihood, by language."""
         trie, out = trie_of(self.vocabulary), np.zeros((len(words), len(self.languages)))
-        cut = [(i, word[at:at + STRETCH]) for i, word in enumerate(words) for at in range(0, len(word), STRETCH)]
-        cut.sort(key=lambda pair: len(pair[1]))
-        for first in range(0, len(cut), BATCH):
-            owner, parts = zip(*cut[first:first + BATCH], strict=True)
-            rows = trie.spell(list(parts))
-            total = forward(rows, trie.walk(rows), self.chances)
-            np.add.at(out, np.array(owner), np.log(total[np.arange(len(rows)), ends_of(rows)]))
+        for part in batches_of(words, len(self.languages)):
+            rows = trie.spell([words[i] for i in part])
+            total, scale = forward(rows, trie.walk(rows), self.chances, trie.reach)
+            at = np.arange(len(rows)), ends_of(rows)
+            out[part] = np.log(total[at]) + scale[at]
         return out
 
 
@@ -207,14 +236,10 @@ def learn(docs: DataFrame, vocabulary: str | None = None, bound: int = LEARN_DOC
     vocabulary = vocabulary or piece_vocabulary()
     sample = sample_per_class(learning_rows(docs), "lang", "doc_id", bound)
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word"))
-    words = words.select("lang", F.explode(F.transform(
-        F.sequence(F.lit(0), F.floor((F.length("word") - 1) / STRETCH).cast("int")),
-        lambda i: F.substring(F.col("word"), i * STRETCH + 1, F.lit(STRETCH)))).alias("word"))
     counted = cut_lineage(words.groupBy("lang", "word").count())
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        top = rows.sort_values(["count", "word"], ascending=[False, True]).head(LEARN_WORDS)
-        chances = fit_language(top["word"].tolist(), top["count"].to_numpy(float), vocabulary)
+        chances = fit_language(rows["word"].tolist(), rows["count"].to_numpy(float), vocabulary)
         return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "chances": [chances.tolist()]})
 
     fitted = counted.groupBy("lang").applyInPandas(fit, "lang string, chances array<double>").orderBy("lang").collect()
@@ -223,7 +248,6 @@ def learn(docs: DataFrame, vocabulary: str | None = None, bound: int = LEARN_DOC
     return Model([row.lang for row in fitted], np.array([row.chances for row in fitted]).T.copy(), vocabulary)
 
 
-
 class Scorer:
     """Adds up the words' likelihoods of texts, remembering those of word forms seen before."""
 
