@@ -14,18 +14,19 @@ import functools
 import hashlib
 import hmac
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passerby.llm.rows import make_room
 
 ROUNDS = 10
-#: For tests and examples; a deployment passes a key of its own.
-KEY = "passerby"
+#: Where a session may name the key; without one every run has a random key of its own.
+KEY_SETTING = "spark.passerby.pseudonyms.key"
 
 
 def _mix(key: bytes, kind: str, turn: int, value: int, size: int) -> int:
@@ -102,14 +103,24 @@ def _card(found: str, key: bytes, back: bool) -> str | None:
     return _fill(found, next(head + new + d for d in "0123456789" if luhn(head + new + d)), _is_digit)
 
 
+#: The country codes of two digits. 1 and 7 stand alone, all others have three.
+CODES = {20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57, 58, 60, 61, 62, 63, 64, 65, 66,
+         81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98}
+
+
+def _code_digits(digits: str) -> int:
+    return 1 if digits[0] in "17" else 2 if int(digits[:2]) in CODES else 3
+
+
 def _phone(found: str, key: bytes, back: bool) -> str | None:
-    """The country code and the grouping stay."""
+    """The country code and the grouping stay. Ten digits without a code are those of +1, and linked with them."""
     digits = _digits(found)
-    keep = found.startswith("+1") or (len(digits) == 11 and digits[0] == "1")
-    head, body = (digits[:1], digits[1:]) if keep else (digits[:2], digits[2:]) if found.startswith("+") else ("", digits)
     if not 8 <= len(digits) <= 15:
         return None
-    new = str(permute(int(body), 10 ** len(body), key, f"phone:{head}", back)).zfill(len(body))
+    coded = found.startswith("+") or (len(digits) == 11 and digits[0] == "1")
+    keep = _code_digits(digits) if coded else 0
+    head, body = digits[:keep], digits[keep:]
+    new = str(permute(int(body), 10 ** len(body), key, f"phone:{head or '1'}", back)).zfill(len(body))
     return _fill(found, head + new, _is_digit)
 
 
@@ -231,8 +242,9 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("mail", r"(?<![\w.+%-])(\w[\w.+%-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})(?![A-Za-z0-9-])", _mail),
     ("secret", r"(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|key)\b[\"']?[ \t]*[:=][ \t]*[\"']?)([A-Za-z0-9+/_-]{16,})(?![A-Za-z0-9+/_-])", _secret),
     ("secret", r"(?<![A-Za-z0-9])((?:[0-9]+[a-f]|[a-f]+[0-9])[0-9a-f]{30,}|(?:[0-9]+[A-F]|[A-F]+[0-9])[0-9A-F]{30,})(?![A-Za-z0-9])", _secret),
+    ("secret", r"(?<![A-Za-z0-9])(?:ghp_|gho_|ghs_|github_pat_|sk-|xox[abp]-|AKIA|glpat-)([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])", _secret),
     ("account", r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])", _account),
-    ("date", r"(?<![\w.-/])([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4})(?![\w/-])", _date),
+    ("date", r"(?<![\w.-/])([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4})(?![\w/-](?<!T)|T(?![0-9]{2}:))", _date),
     ("security", r"(?<![\w-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])", _security),
     ("address", r"(?<![\w.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![\w]|\.[0-9])", _address),
     ("phone", r"(?<![\w+])(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
@@ -241,7 +253,7 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
     ("card", r"(?<![\w.-])([0-9](?:[ -]?[0-9]){12,18})(?![\w-])", _card),
 )
 #: A text without any of these has nothing to be found, so most texts are searched once. Every kind has to hold one: the shortest address has 7 characters.
-HINT = re.compile(r"@|[0-9][0-9 .\-/()]{5,}[0-9]|(?i:token|secret|passw(?:or)?d|key)[\"']?[ \t]*[:=]|[0-9A-Fa-f]{32}|[A-Z]{2}[0-9]{2}")
+HINT = re.compile(r"@|[0-9][0-9 .\-/()]{5,}[0-9]|(?i:token|secret|passw(?:or)?d|key)[\"']?[ \t]*[:=]|[0-9A-Fa-f]{32}|[A-Z]{2}[0-9]{2}|gh[pos]_|github_pat_|sk-|xox[abp]-|AKIA|glpat-")
 
 
 @functools.cache
@@ -290,18 +302,24 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
+def key_of(spark: SparkSession, key: str | None = None) -> str:
+    """The key given, else that of the session's `KEY_SETTING`, else a random one, which nobody can go back by."""
+    return key or spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, back: bool = False) -> DataFrame:
     """``docs`` with the text replaced and ``pii``, the places of the pseudonyms in it, replacing a column of this name.
 
     A null text stays null and has no places. A text without personal data stays
     as it is, character for character. Equal values get equal pseudonyms in all
-    documents, under one key. ``back`` undoes the replacement of an equal key.
+    documents, under one key, see `key_of`. ``back`` undoes the replacement of an
+    equal key.
     Texts are read whole; repeated rows come out alike; other columns pass
     through.
     """
     kept = docs.drop("pii")
     schema = T.StructType([*kept.schema.fields, T.StructField("pii", SPANS)])
-    at, secret = kept.columns.index("text"), key.encode()
+    at, secret = kept.columns.index("text"), key_of(docs.sparkSession, key).encode()
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make_room("pseudonyms")
@@ -320,6 +338,6 @@ def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     return kept.mapInArrow(change, schema)
 
 
-def pseudonyms(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonyms(docs: DataFrame, key: str | None = None) -> DataFrame:
     """doc_id, text with pseudonyms, their number and places."""
     return pseudonymise(docs.select("doc_id", "text"), key).select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), "pii")
