@@ -12,15 +12,18 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passerby.functions.sizes import broadcast_if_small
+from passerby.functions.sizes import broadcast_if_small, join_dimension
 from passerby.session import cut_lineage
 
 #: (host, path, verdict): a rule holds for its host and all subdomains, where the path starts with its own.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.8
-#: A combination is mined among the so many most telling tokens of a URL; a URL of that many frequent tokens has 2**12 combinations.
-MOST_TOKENS = 12
+#: A rule asks for so many tokens at most.
+LONGEST = 3
+#: FP-growth sees so many tokens of a URL at once, which have 2**12 combinations. A URL of more frequent
+#: tokens is several sets of that size, which together hold every combination of `LONGEST` of them.
+AT_ONCE = 12
 #: What a page without any rule gets.
 DEFAULT = "allow"
 SIGN = "verdict="
@@ -64,54 +67,77 @@ def read_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
                              "tokens": tokens_of(F.col("url"), F.col("host"), F.col("path"))})
 
 
-def telling_tokens(rows: DataFrame, total: int, min_support: float = MIN_SUPPORT) -> list[str]:
-    """Tokens that enough pages have, those first whose labelled pages differ most from all labelled pages.
+def frequent_tokens(rows: DataFrame, least: float) -> list[str]:
+    """Tokens that at least so many pages have, the rarest first.
 
-    There are at most (mean tokens of a page / ``min_support``) of them, however
+    There are at most (mean tokens of a page / share of pages) of them, however
     many pages there are.
     """
-    block, allow = (F.sum((F.col("verdict") == v).cast("int")) for v in ("block", "allow"))
-    counts = (rows.select(F.col("listed.verdict").alias("verdict"), F.explode("tokens").alias("token")).groupBy("token")
-              .agg(F.count("*").alias("n"), F.coalesce(block, F.lit(0)).alias("block"), F.coalesce(allow, F.lit(0)).alias("allow"))
-              .filter(F.col("n") >= min_support * total).collect())
-    every = sum(row.block for row in counts) / max(1, sum(row.block + row.allow for row in counts))
-    return [row.token for row in sorted(counts, key=lambda row: (-abs(row.block - every * (row.block + row.allow)), row.token))]
+    counts = rows.select(F.explode("tokens").alias("token")).groupBy("token").count().filter(F.col("count") >= least).collect()
+    return [row.token for row in sorted(counts, key=lambda row: (row["count"], row.token))]
 
 
-def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Mined rules: tokens, verdict, confidence, support, key (the rule's rarest token).
+def sets_of(tokens: Column, longest: int = LONGEST, at_once: int = AT_ONCE) -> Column:
+    """Sets of at most ``at_once`` tokens that hold every combination of ``longest`` of them.
 
-    A rule's confidence is the share of a verdict in all of ``rows`` that have
-    its tokens; rows without a label, if there are any, count against it. A rule
-    is dropped if fewer of its tokens say the same as surely, or none of them:
-    it must be surer than the verdict's share of ``rows``.
+    The tokens are cut into groups; every ``longest`` groups together are a set.
+    """
+    size = at_once // longest
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / size).cast("int")), lambda i: F.slice(tokens, i * size + 1, size))
+    n = F.size(groups)
+
+    def united(chosen: list[Column]) -> Column:
+        if len(chosen) == longest:
+            return F.array(F.flatten(F.array(*[F.get(groups, i) for i in chosen])))
+        first = chosen[-1] + 1 if chosen else F.lit(0)
+        return F.flatten(F.transform(F.sequence(first, n - (longest - len(chosen))), lambda i: united([*chosen, i])))
+
+    return F.when(F.size(tokens) <= at_once, F.array(tokens)).otherwise(united([]))
+
+
+def mine(rows: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, longest: int = LONGEST) -> DataFrame:
+    """Mined rules of at most ``longest`` tokens: tokens, verdict, confidence, support, key (the rule's rarest token).
+
+    FP-growth finds the combinations that enough pages may have with a verdict;
+    these are then counted over the whole token sets of all ``rows``. A rule's
+    confidence is the share of a verdict in all rows that have its tokens; rows
+    without a label, if there are any, count against it. A rule is dropped if
+    fewer of its tokens say the same as surely, or none of them: it must be surer
+    than the verdict's share of ``rows``.
     """
     spark = rows.sparkSession
-    total = rows.count()
-    frequent = telling_tokens(rows, total, min_support) if total else []
     empty = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double, key string")
+    total = rows.count()
+    frequent = frequent_tokens(rows, min_support * total) if total else []
     if not frequent:
         return empty
     order = F.array(*[F.lit(token) for token in frequent])
-    items = F.concat(F.slice(F.array_intersect(order, F.col("tokens")), 1, MOST_TOKENS),
-                     F.when(F.col("listed").isNotNull(), F.array(F.concat(F.lit(SIGN), F.col("listed.verdict")))).otherwise(F.array().cast("array<string>")))
-    found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows.select(items.alias("items"))).associationRules
-    found = found.filter(F.col("consequent")[0].startswith(SIGN) & ~F.exists("antecedent", lambda token: token.startswith(SIGN)))
-    # As many rules as frequent combinations at most; the parameters bound them, not the number of pages.
-    base = {row.verdict: row["count"] / total for row in rows.groupBy("listed.verdict").count().collect() if row.verdict}
+    own = rows.select(F.array_intersect(order, F.col("tokens")).alias("own"), F.col("listed.verdict").alias("verdict"))
+    sign = F.when(F.col("verdict").isNotNull(), F.array(F.concat(F.lit(SIGN), F.col("verdict")))).otherwise(F.array().cast("array<string>"))
+    sets = cut_lineage(own.select(F.explode(sets_of(F.col("own"), longest)).alias("some"), sign.alias("sign")).select(F.concat("some", "sign").alias("items")))
+    # A page is one set or more, so what enough pages have is in at least as many sets.
+    least = min_support * total / sets.count()
+    found = FPGrowth(itemsCol="items", minSupport=least).fit(sets).freqItemsets
+    signs = F.filter("items", lambda item: item.startswith(SIGN))
+    plain = F.array_sort(F.filter("items", lambda item: ~item.startswith(SIGN)))
+    # As many as frequent combinations at most; the parameters bound them, not the number of pages.
+    needed = cut_lineage(found.filter(F.size(signs) == 1).select(plain.alias("needed")).filter(F.size("needed").between(1, longest)).distinct())
+    rarest = F.array_min(F.transform("needed", lambda token: F.array_position(order, token)))
+    index = broadcast_if_small(needed.withColumn("key", F.element_at(order, rarest.cast("int"))))
+    hits = (own.select("own", "verdict", F.explode("own").alias("key")).join(index, "key")
+            .filter(F.size(F.array_except("needed", "own")) == 0))
+    both = {verdict: F.count(F.when(F.col("verdict") == verdict, 1)).alias(verdict) for verdict in ("allow", "block")}
+    counts = hits.groupBy("needed", "key").agg(F.count(F.lit(1)).alias("n"), *both.values())
+    rules = counts.select("needed", "key", "n", F.explode(F.array(*[F.struct(F.lit(v).alias("verdict"), F.col(v).alias("hits")) for v in both])).alias("one"))
+    sure = rules.select("needed", "key", "one.verdict", (F.col("one.hits") / F.col("n")).alias("confidence"), (F.col("one.hits") / total).alias("support")).filter(
+        (F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
+    base = {row.verdict: row["count"] / total for row in own.groupBy("verdict").count().collect() if row.verdict}
     kept: list[tuple] = []
-    for row in sorted(found.collect(), key=lambda row: (len(row.antecedent), sorted(row.antecedent), row.consequent)):
-        tokens, verdict = frozenset(row.antecedent), row.consequent[0].removeprefix(SIGN)
-        if row.confidence > base[verdict] and not any(v == verdict and c >= row.confidence and t <= tokens for t, v, c, _ in kept):
-            kept.append((tokens, verdict, row.confidence, row.support))
-    if not kept:
-        return empty
-    place = {token: i for i, token in enumerate(frequent)}
-    counts = {row.token: row["count"] for row in rows.select(F.explode("tokens").alias("token")).groupBy("token").count()
-              .filter(F.col("token").isin(sorted({token for rule in kept for token in rule[0]}))).collect()}
-    return spark.createDataFrame(
-        [(sorted(tokens), verdict, confidence, support, min(tokens, key=lambda t: (counts[t], place[t])))
-         for tokens, verdict, confidence, support in kept], empty.schema)
+    for row in sorted(sure.collect(), key=lambda row: (len(row.needed), row.needed, row.verdict)):
+        tokens = frozenset(row.needed)
+        if row.confidence > base[row.verdict] and not any(v == row.verdict and c >= row.confidence and frozenset(t) <= tokens for t, v, c, _, _ in kept):
+            kept.append((row.needed, row.verdict, row.confidence, row.support, row.key))
+    return spark.createDataFrame(kept, empty.schema) if kept else empty
 
 
 def match(rows: DataFrame, rules: DataFrame) -> DataFrame:
@@ -128,21 +154,21 @@ def match(rows: DataFrame, rules: DataFrame) -> DataFrame:
     return hits.groupBy("url").agg(F.max(rank).alias("best")).select("url", F.col("best.verdict").alias("mined"))
 
 
-def judge(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-          from_labelled: bool = False) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
-    ``from_labelled`` mines the labelled pages alone: support and confidence are
-    shares of them. Otherwise every page without a label counts against the
-    rules that fit it, which leaves those that decide hardly any such page.
-
-    ``rule`` is the listed rule, null if none fits; the verdict is its, else that
-    of the mined rules, else `DEFAULT`. A null URL has no tokens and gets the
-    default. Repeated rows are judged alike; other columns play no part. A URL
-    that many pages have is matched once.
+    Rules are mined from the pages that a listed rule decides; support and
+    confidence are shares of these. ``rule`` is the listed rule, null if none
+    fits; the verdict is its, else that of the mined rules, else `DEFAULT`. A
+    null URL has no tokens and gets the default. Repeated rows are judged alike;
+    other columns play no part; no pages give no rows. A URL that many pages have
+    is matched once; a very long one may have any number of tokens.
     """
     rows = cut_lineage(read_urls(pages, rules))
-    mined = match(rows, mine(rows.filter("listed IS NOT NULL") if from_labelled else rows, min_support, min_confidence))
-    return rows.join(mined, "url", "left").select(
+    mined = match(rows, mine(rows.filter("listed IS NOT NULL"), min_support, min_confidence))
+    open_to_rules = F.col("listed").isNull() & F.col("url").isNotNull()
+    # Only what a mined rule can decide is joined, whatever share of the rows one URL has.
+    met = join_dimension(rows.filter(open_to_rules), mined, "url", "left")
+    return met.unionByName(rows.filter(~open_to_rules), allowMissingColumns=True).select(
         "page_id", "host", "path", F.col("listed.rule").alias("rule"),
         F.coalesce("listed.verdict", "mined", F.lit(DEFAULT)).alias("verdict"))

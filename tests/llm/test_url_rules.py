@@ -1,5 +1,6 @@
 """URL filters: parsing, listed rules and mined rules against plain loops."""
 
+import random
 import re
 from collections import Counter
 from itertools import combinations
@@ -62,10 +63,73 @@ def test_mined_rules_as_by_all_combinations(spark):
     assert all(found[k] == pytest.approx(expected[k]) for k in found)
 
 
+def by_all_combinations(rows, min_support, min_confidence, longest=u.LONGEST):
+    """Rules of labelled (tokens, verdict) rows by counting every combination."""
+    seen, hits = Counter(), Counter()
+    for tokens, verdict in rows:
+        for n in range(1, longest + 1):
+            for combination in combinations(sorted(tokens), n):
+                seen[combination] += 1
+                hits[combination, verdict] += 1
+    base = Counter(verdict for _, verdict in rows)
+    rules = {}
+    for (tokens, verdict), n in sorted(hits.items(), key=lambda kv: (len(kv[0][0]), kv[0])):
+        confidence = n / seen[tokens]
+        if n >= min_support * len(rows) and confidence >= min_confidence and confidence > base[verdict] / len(rows) and not any(
+                v == verdict and set(t) <= set(tokens) and c >= confidence for (t, v), (c, _) in rules.items()):
+            rules[tokens, verdict] = (confidence, n / len(rows))
+    return rules
+
+
+@pytest.mark.parametrize("tokens", [16, 25])
+def test_urls_of_many_frequent_tokens(spark, tokens):
+    """Half of the pages of either verdict have the same path words: these tell nothing, and the words of one verdict all."""
+    chance = random.Random(tokens)
+    urls = []
+    for i in range(60):
+        words = [f"t{n}" for n in range(tokens) if chance.random() < 0.9]
+        only = ["late", "last"] if i % 3 else ["last"]
+        urls.append(f"http://h{i}.example.net/" + "/".join(words + only))
+        urls.append("http://c.example.net/en/" + "/".join(f"t{n}" for n in range(tokens) if chance.random() < 0.9))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = u.read_urls(pages).cache()
+    plain_rows = [(r.tokens, r.listed.verdict) for r in rows.collect()]
+    assert min(len(t) for t, _ in plain_rows) > u.AT_ONCE and all(verdict for _, verdict in plain_rows)
+    expected = by_all_combinations(plain_rows, 0.2, 0.8)
+    found = {(tuple(r.tokens), r.verdict): (r.confidence, r.support) for r in u.mine(rows, 0.2, 0.8).collect()}
+    assert found.keys() == expected.keys() and all(found[k] == pytest.approx(expected[k]) for k in found)
+    assert (("path:late",), "block") in found and (("path:en",), "allow") in found
+
+
+def test_tokens_of_both_verdicts_give_no_rule(spark):
+    urls = [f"http://h{i}.example.net/" + "/".join(f"t{n}" for n in range(16)) for i in range(50)]
+    urls += ["http://c.example.net/en/" + "/".join(f"t{n}" for n in range(16))] * 50
+    found = u.mine(u.read_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))).collect()
+    assert {(tuple(r.tokens), r.verdict) for r in found} >= {(("host:c",), "allow"), (("path:en",), "allow")}
+    assert not any(token.startswith("path:t") for r in found for token in r.tokens if len(r.tokens) == 1)
+    assert all(r.verdict == "allow" or r.confidence < 1 or any(t.startswith("host:h") for t in r.tokens) for r in found)
+
+
+def test_sets_hold_every_combination(spark):
+    for n in (0, 1, 12, 13, 14, 23):
+        row = spark.createDataFrame([([f"t{i}" for i in range(n)],)], "tokens array<string>").select(u.sets_of(F.col("tokens")).alias("sets")).first()
+        assert all(len(s) <= u.AT_ONCE for s in row.sets)
+        assert {c for s in row.sets for c in combinations(sorted(s), 3)} == set(combinations(sorted(f"t{i}" for i in range(n)), 3))
+
+
+def test_one_url_that_most_pages_have_and_a_very_long_one(spark):
+    urls = ["http://edu/casino/1"] * 400 + [None] * 200 + [f"http://a.example.net/casino/{i}" for i in range(20)]
+    urls += [f"http://c.example.net/en/{i}" for i in range(20)] + ["http://edu/" + "/".join(f"w{i}" for i in range(30_000)), "http://edu/casino/" + "x" * 300_000]
+    pages = spark.createDataFrame([(i, url, "x", 1) for i, url in enumerate(urls)], "page_id long, url string, tokens string, mined int")
+    found = {r.page_id: r.verdict for r in u.judge(pages).collect()}
+    assert len(found) == len(urls) and {found[i] for i in range(400)} == {"block"} and {found[i] for i in range(400, 600)} == {"allow"}
+    assert found[len(urls) - 2] == "allow" and found[len(urls) - 1] == "block"
+
+
 def test_verdicts_as_by_trying_all_rules(spark):
     pages = pages_of(spark)
     rows = u.read_urls(pages).cache()
-    rules = [r.asDict() for r in u.mine(rows).collect()]
+    rules = [r.asDict() for r in u.mine(rows.filter("listed IS NOT NULL")).collect()]
     tokens = {r.page_id: (set(r.tokens), r.listed) for r in rows.collect()}
     for row in u.judge(pages).collect():
         own, listed = tokens[row.page_id]
@@ -77,7 +141,7 @@ def test_rules_from_labelled_pages_decide_others(spark):
     labelled = [f"http://{h}.example.net/{word}/{i}" for i in range(20) for h, word in (("a", "casino"), ("b", "casino"), ("c", "en"), ("d", "en"), ("e", "news"))]
     others = [f"http://x{i}.example.edu/casino/{i}" for i in range(60)] + [f"http://y{i}.example.edu/en/{i}" for i in range(60)]
     pages = spark.createDataFrame(list(enumerate(labelled + others)), "page_id long, url string")
-    verdicts = {r.page_id: r.verdict for r in u.judge(pages, from_labelled=True).collect()}
+    verdicts = {r.page_id: r.verdict for r in u.judge(pages).collect()}
     assert all(verdicts[len(labelled) + i] == "block" for i in range(60))
     assert all(verdicts[len(labelled) + 60 + i] == "allow" for i in range(60))
     # Three fifths of the labelled pages are blocked: what is no surer than that is no rule.
