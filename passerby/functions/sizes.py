@@ -16,6 +16,8 @@ def measured_bytes(rows: DataFrame) -> tuple[int, int]:
     for field in rows.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            width = width + 8 * F.greatest(F.size(field.name), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()

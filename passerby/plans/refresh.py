@@ -9,11 +9,11 @@ from passerby.functions.sizes import broadcast_if_small
 from passerby.operators.keyed import delete_keys, of_days, stale_keys, touched_days, upsert
 from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
-from passerby.schemas import SESSION_KEYS, SESSIONS, by_day
+from passerby.schemas import DAY_KEYS, SESSION_KEYS, SESSIONS, by_day
 from passerby.session import cut_lineage, temporary_tables
 from passerby.sources.tables import (
-    append_probes, is_stored, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes,
-    write_days,
+    append_probes, is_stored, on_days, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes,
+    touched, write_days,
 )
 
 
@@ -34,17 +34,16 @@ def refresh_days(history: DataFrame, increment: DataFrame, published: DataFrame,
     """
     days = broadcast_if_small(cut_lineage(touched_days(increment)))
     probes = of_days(history, days).unionByName(increment)
-    return _recompute(probes, days, published, thresholds)
+    return _recompute(probes, of_days(published, days), thresholds)
 
 
-def _recompute(probes: DataFrame, days: DataFrame, published: DataFrame,
-               thresholds: DataFrame) -> Refresh:
+def _recompute(probes: DataFrame, published: DataFrame, thresholds: DataFrame) -> Refresh:
     sessions = cut_lineage(sessionize(probes, thresholds))
     return Refresh(
         sessions=sessions,
         indoor_daily=indoor_daily(sessions),
         flow_daily=flow_daily(probes),
-        tombstones=stale_keys(of_days(published, days), sessions, SESSION_KEYS),
+        tombstones=stale_keys(published, sessions, SESSION_KEYS),
     )
 
 
@@ -71,15 +70,19 @@ def republish_days(spark: SparkSession, days: DataFrame, thresholds: DataFrame,
     is being swapped.
     """
     with temporary_tables(spark):
-        days = broadcast_if_small(days)
-        probes = of_days(read_stored_probes(spark, f"{root}/t_cf"), days).drop("run")
-        published = read_sessions(spark, f"{root}/rec_indoor") if is_stored(spark, f"{root}/rec_indoor") \
+        history = read_stored_probes(spark, f"{root}/t_cf")
+        replaced = touched(days, history)
+
+        def of_these(rows: DataFrame) -> DataFrame:
+            return rows.filter(on_days(replaced.rows)).join(replaced.days, DAY_KEYS, "left_semi")
+
+        published = of_these(read_sessions(spark, f"{root}/rec_indoor")) if is_stored(spark, f"{root}/rec_indoor") \
             else spark.createDataFrame([], by_day(SESSIONS))
-        fresh = _recompute(probes, days, published, thresholds)
+        fresh = _recompute(of_these(history).drop("run"), published, thresholds)
         fresh.tombstones.write.mode("append").parquet(f"{root}/tombstones/{run}")
-        write_days(fresh.sessions, f"{root}/rec_indoor", days)
-        write_days(fresh.indoor_daily, f"{root}/indoor", days)
-        write_days(fresh.flow_daily, f"{root}/flow", days)
+        write_days(fresh.sessions, f"{root}/rec_indoor", replaced)
+        write_days(fresh.indoor_daily, f"{root}/indoor", replaced)
+        write_days(fresh.flow_daily, f"{root}/flow", replaced)
 
 
 def apply_run(spark: SparkSession, target: DataFrame, root: str, run: str) -> DataFrame:

@@ -84,6 +84,12 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(item.getPath().getName() for item in system.listStatus(place)) if system.exists(place) else []
 
 
+def find_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern with ``*``, by one listing; none if there are none."""
+    system, place = _files(spark, pattern)
+    return sorted(item.getPath().toUri().getPath() for item in system.globStatus(place) or [])
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     system, place = _files(spark, path)
     system.delete(place, True)

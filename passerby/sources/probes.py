@@ -7,8 +7,9 @@ from passerby.functions.text import whole_number
 from passerby.functions.time import month_start
 from passerby.session import cut_lineage
 
-# Fixed values: <root>/<entity>/t_cf_<yyyyMMdd>.txt
-_FILE = r"/(\d+)/t_cf_(\d{8})\.[^/]*$"
+# Fixed values: <root>/<entity>/t_cf_<yyyyMMdd>.txt; as partitions that Spark wrote, <root>/entityid=<entity>/t_cf=<yyyyMMdd>/<file>
+_FILE = r"/(?:entityid=)?(\d+)/t_cf(?:_(?=\d{8}\.)|=(?=\d{8}/))(\d{8})[./][^/]*$"
+_TEXT = "clientmac string, stime string, flag string"
 
 
 def _path_part(path: Column, group: int) -> Column:
@@ -32,51 +33,43 @@ def read_probes(spark: SparkSession, path: str, once: bool = False) -> tuple[Dat
     ``once`` keeps the parsed lines as a table, so that the text is parsed once
     for both.
     """
-    lines = (
-        spark.read.schema("clientmac string, stime string, flag string")
-        .option("quote", "").option("recursiveFileLookup", True)
-        .csv(path)
-        .select(
-            "clientmac", F.col("stime").alias("raw_stime"), F.col("flag").alias("raw_flag"),
-            F.col("_metadata.file_path").alias("file_path"),
-        )
-    )
-    typed = lines.withColumns({
+    typed = _typed(spark.read.schema(_TEXT).option("quote", "").option("recursiveFileLookup", True).csv(path))
+    typed = cut_lineage(typed) if once else typed
+    return good_probes(typed), bad_probes(typed)
+
+
+def stream_probe_files(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
+    """The lines of the probe files under ``path`` as a stream that takes each file once, typed, for `good_probes` and `bad_probes`."""
+    lines = spark.readStream.schema(_TEXT).options(quote="", recursiveFileLookup=True, maxFilesPerTrigger=files_per_batch).csv(path)
+    return _typed(lines)
+
+
+def _typed(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        "clientmac", F.col("stime").alias("raw_stime"), F.col("flag").alias("raw_flag"),
+        F.col("_metadata.file_path").alias("file_path"),
+    ).withColumns({
         "entityid": file_entity(F.col("file_path")),
         "file_day": file_day(F.col("file_path")),
         "stime": whole_number(F.col("raw_stime"), "bigint"),
         "flag": whole_number(F.col("raw_flag"), "int"),
     })
-    if once:
-        typed = cut_lineage(typed)
+
+
+def _is_good() -> Column:
     good = F.lit(True)
     for required in ("clientmac", "stime", "flag", "entityid", "file_day"):
         good = good & F.col(required).isNotNull()
-    rows = typed.filter(good).select(
+    return good
+
+
+def good_probes(typed: DataFrame) -> DataFrame:
+    return typed.filter(_is_good()).select(
         "entityid", "file_day", month_start(F.col("file_day")).alias("ufirstday"),
         "clientmac", "stime", "flag", "file_path",
     )
-    rejects = typed.filter(~good).select("file_path", "clientmac", "raw_stime", "raw_flag")
-    return rows, rejects
-
-
-def write_probe_files(probes: DataFrame, folder: str) -> None:
-    """Probes as the files that `read_probes` takes: <folder>/<entity>/t_cf_<yyyyMMdd>.txt.
-
-    Each venue and day is one file, as the venue sends it, written by the task
-    that has its rows; a task that runs again writes the same file again.
-    """
-    named = probes.withColumn("day", F.date_format(F.timestamp_seconds("file_day"), "yyyyMMdd"))
 
-    def save(key: tuple, rows):
-        import pandas as pd
-        from pyarrow import fs
 
-        system, at = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
-        system.create_dir(f"{at}/{key[0]}", recursive=True)
-        text = rows[["clientmac", "stime", "flag"]].to_csv(header=False, index=False)
-        with system.open_output_stream(f"{at}/{key[0]}/t_cf_{key[1]}.txt") as file:
-            file.write(text.encode())
-        return pd.DataFrame({"lines": [len(rows)]})
+def bad_probes(typed: DataFrame) -> DataFrame:
+    return typed.filter(~_is_good()).select("file_path", "clientmac", "raw_stime", "raw_flag")
 
-    named.groupBy("entityid", "day").applyInPandas(save, "lines long").write.format("noop").mode("overwrite").save()
