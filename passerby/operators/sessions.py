@@ -133,25 +133,68 @@ def _visits(sightings: DataFrame, strict_gap: bool) -> DataFrame:
     return stays.withColumn("done", F.when(still_open, 0).otherwise(1))
 
 
-def live_visits_batch(sightings: DataFrame) -> DataFrame:
+def _ended(visits: DataFrame, sightings: DataFrame, as_of: Column | int) -> DataFrame:
+    """Visits as a clock at ``as_of`` has them: the last of a key is done too once its leave time is over.
+
+    That leave time is the one of the visit's last sighting.
+    """
+    keys = ["entityid", "clientmac", "stime"]
+    last = known_sightings(sightings).select(*keys, "leave_seconds").join(
+        visits.filter(F.col("done") == 0).select("entityid", "clientmac", F.col("ltime").alias("stime")).distinct(), keys, "left_semi")
+    leave = last.groupBy(*keys).agg(F.min("leave_seconds").alias("leave_seconds")).withColumnRenamed("stime", "ltime")
+    over = F.col("ltime") + F.col("leave_seconds") <= as_of
+    return visits.join(leave, ["entityid", "clientmac", "ltime"], "left").withColumn(
+        "done", F.when((F.col("done") == 1) | over, 1).otherwise(0)).drop("leave_seconds")
+
+
+def live_visits_batch(sightings: DataFrame, as_of: Column | int | None = None) -> DataFrame:
     """The visits that the live feed leaves behind, from time-ordered sightings.
 
     ``sightings``: entityid, clientmac, stime, leave_seconds, of any length; a
-    null one is the default.
+    null one is the default. With ``as_of``, epoch seconds, visits whose leave
+    time is over by then are done though the device has not come back.
     """
-    return _visits(sightings, False).select(
+    visits = _visits(sightings, False)
+    return (visits if as_of is None else _ended(visits, sightings, as_of)).select(
         "clientmac", "entityid", "etime", "ltime", "seconds", "done"
     )
 
 
-def closed_visits(sightings: DataFrame, floor_seconds: int = 5) -> DataFrame:
+def closed_visits(sightings: DataFrame, floor_seconds: int = 5, as_of: Column | int | None = None) -> DataFrame:
     """Finished visits only, ended by more than the leave time.
 
-    A visit of a single moment counts as ``floor_seconds``.
+    A visit of a single moment counts as ``floor_seconds``. With ``as_of``,
+    epoch seconds, those whose leave time is over by then are finished too.
     """
     length = F.when(F.col("etime") == F.col("ltime"), F.lit(floor_seconds)).otherwise(F.col("seconds"))
+    visits = _visits(sightings, True)
     return (
-        _visits(sightings, True)
+        (visits if as_of is None else _ended(visits, sightings, as_of))
         .filter(F.col("done") == 1)
         .select("clientmac", "entityid", "etime", "ltime", length.cast("bigint").alias("seconds"))
     )
+
+
+def closed_visits_windowed(sightings: DataFrame, delay: str = "10 minutes", strict_gap: bool = True, floor_seconds: int = 5) -> DataFrame:
+    """Finished visits by session windows, for a stream in append mode.
+
+    A window is as long as the leave time of each of its sightings reaches, and
+    comes out once, when the watermark, ``delay`` behind the newest sighting, has
+    passed its end; then its state is gone. Nothing of it leaves the JVM. With
+    ``strict_gap`` a visit ends by more than the leave time, else by the leave
+    time itself, a microsecond less of a window. Of sightings with different
+    leave times it is the earlier one's that counts.
+
+    Let ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
+    be true, so that a busy device is folded before the shuffle.
+    """
+    least = 1e-6
+    gap = F.greatest(F.col("leave_seconds").cast("double") - (0 if strict_gap else least), F.lit(least))
+    seen = known_sightings(sightings).withColumn("seen", F.timestamp_seconds("stime")).withWatermark("seen", delay)
+    span = F.session_window("seen", F.make_interval(secs=gap.cast("decimal(18,6)")))
+    length = F.col("ltime") - F.col("etime")
+    return (
+        seen.groupBy("entityid", "clientmac", span.alias("span"))
+        .agg(F.min("stime").alias("etime"), F.max("stime").alias("ltime"))
+        .select("clientmac", "entityid", "etime", "ltime", F.when(length == 0, F.lit(floor_seconds).cast("bigint")).otherwise(length).alias("seconds"))
+    )

@@ -16,7 +16,8 @@ _STATE = "etime bigint, ltime bigint"
 _OUTPUT = "clientmac string, entityid int, etime bigint, ltime bigint, seconds bigint, done int"
 
 
-def _fold_batches(sightings: DataFrame, latest: bool) -> DataFrame:
+def fold_batches(sightings: DataFrame, latest: bool) -> DataFrame:
+    """Each Arrow batch's devices, venues and seconds once; with ``latest`` the newest second of each device and venue."""
     keys = ["entityid", "clientmac"] if latest else ["entityid", "clientmac", "stime"]
     measures = [("stime", "max"), ("leave_seconds", "min")] if latest else [("leave_seconds", "min")]
     names = keys + [f"{column}_{how}" for column, how in measures]
@@ -119,7 +120,7 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
             yield visits
 
     return (
-        _fold_batches(known_sightings(sightings), latest)
+        fold_batches(known_sightings(sightings), latest)
         .groupBy("entityid", "clientmac")
         .applyInPandasWithState(advance, _OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout)
     )
