@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passerby.functions.sizes import join_dimension
@@ -20,6 +20,15 @@ def zone_sightings(sightings: DataFrame, access_points: DataFrame) -> DataFrame:
     )
 
 
+def _devices(mode: str) -> dict[str, Column]:
+    """What is counted in each zone; null where a sighting does not count."""
+    if mode not in ("matching", "tagged"):
+        raise ValueError(f"mode must be 'matching' or 'tagged', not {mode!r}")
+    if mode == "tagged":
+        return {zone: tagged_device(F.col("mac"), F.col(zone)) for zone in ZONES}
+    return {zone: F.when(F.col(zone), F.col("mac")) for zone in ZONES}
+
+
 def zone_heatmap(sightings: DataFrame, access_points: DataFrame, window: str = "5 minutes",
                  mode: str = "matching", exact: bool = True, watermark: str | None = None,
                  rsd: float = 0.01) -> DataFrame:
@@ -30,28 +39,43 @@ def zone_heatmap(sightings: DataFrame, access_points: DataFrame, window: str = "
     and out of a zone counts twice. ``exact=False`` estimates the count with
     relative deviation ``rsd`` and is the form that a stream can run.
     """
-    if mode not in ("matching", "tagged"):
-        raise ValueError(f"mode must be 'matching' or 'tagged', not {mode!r}")
+    if not exact:
+        sketches = zone_sketches(sightings, access_points, window, mode, watermark, rsd)
+        return sketches.select("entityid", "starttime", *[F.hll_sketch_estimate(zone).alias(zone) for zone in ZONES])
+    _devices(mode)
     if watermark is not None:
         sightings = sightings.withWatermark("ts", watermark)
     seen = zone_sightings(sightings, access_points)
-    span = F.window("ts", window)
-    if exact:
-        counted = _exact(seen.withColumn("span", span), mode)
-    else:
-        def device(zone: str):
-            matches = F.col(zone)
-            return tagged_device(F.col("mac"), matches) if mode == "tagged" \
-                else F.when(matches, F.col("mac"))
-
-        size = _sketch_size(rsd)
-        counted = seen.groupBy("entityid", span.alias("span")).agg(*[
-            F.hll_sketch_estimate(F.hll_sketch_agg(device(zone), size)).alias(zone)
-            for zone in ZONES
-        ])
+    counted = _exact(seen.withColumn("span", F.window("ts", window)), mode)
     return counted.select("entityid", F.col("span.start").alias("starttime"), *ZONES)
 
 
+def zone_sketches(sightings: DataFrame, access_points: DataFrame, window: str = "5 minutes", mode: str = "matching",
+                  watermark: str | None = None, rsd: float = 0.01) -> DataFrame:
+    """The heat map as sketches of devices, which can be added up: over hours and days, and over runs.
+
+    Works on a stream. `add_up` reads them.
+    """
+    devices, size = _devices(mode), _sketch_size(rsd)
+    if watermark is not None:
+        sightings = sightings.withWatermark("ts", watermark)
+    seen = zone_sightings(sightings, access_points)
+    return seen.groupBy("entityid", F.window("ts", window).alias("span")).agg(
+        *[F.hll_sketch_agg(device, size).alias(zone) for zone, device in devices.items()]
+    ).select("entityid", F.col("span.start").alias("starttime"), *ZONES)
+
+
+def add_up(sketches: DataFrame, unit: str | None = None) -> DataFrame:
+    """Devices per venue and ``unit`` of local time, such as ``hour``, ``day`` or ``month``; without it per window.
+
+    A device that was seen in several of the windows, or by several runs of
+    one, counts once: the sketches are united and estimated then.
+    """
+    start = F.col("starttime") if unit is None else F.date_trunc(unit, "starttime")
+    return sketches.groupBy("entityid", start.alias("starttime")).agg(
+        *[F.hll_sketch_estimate(F.hll_union_agg(zone)).alias(zone) for zone in ZONES])
+
+
 def _sketch_size(rsd: float) -> int:
     """Log2 of the registers that keep the standard error of a HyperLogLog sketch under ``rsd``.
 

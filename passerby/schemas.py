@@ -39,6 +39,7 @@ LIVE_VISITS = _layout(
     clientmac="string", entityid="integer", etime="long", ltime="long", seconds="long", done="integer",
 )
 HEAT_MAP = _layout(entityid="integer", starttime="timestamp", indoors="long", aways="long", visits="long")
+HEAT_SKETCHES = _layout(entityid="integer", starttime="timestamp", indoors="binary", aways="binary", visits="binary")
 
 SESSION_KEYS = ["entityid", "clientmac", "etime"]
 DAY_KEYS = ["entityid", "file_day"]

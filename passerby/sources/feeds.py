@@ -1,6 +1,6 @@
 """Message feeds: one message holds many lines, a line holds comma-separated fields."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passerby.functions.text import whole_number
@@ -60,6 +60,20 @@ _FEEDS = {
 }
 
 
+def parsed_lines(lines: DataFrame, feed: str) -> DataFrame:
+    """The fields of a feed's lines beside the lines themselves, in ``value``. Works on a stream."""
+    positions, types, upper, _ = _FEEDS[feed]
+    return parse_fields(lines, positions, types, upper, keep=True)
+
+
+def good_lines(feed: str) -> Column:
+    """Whether a parsed line has the fields that no row of its feed can do without."""
+    good = F.lit(True)
+    for name in _FEEDS[feed][3]:
+        good = good & F.col(name).isNotNull() & (F.col(name).cast("string") != "")
+    return good
+
+
 def parse_feed(lines: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     """The rows of a feed's good lines, and its other lines as they came, in ``value``. Works on a stream.
 
@@ -67,11 +81,7 @@ def parse_feed(lines: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
     two hold every line once. A matched line without a leave time is good, since
     a venue need not state one.
     """
-    positions, types, upper, needed = _FEEDS[feed]
-    parsed = parse_fields(lines, positions, types, upper, keep=True)
-    good = F.lit(True)
-    for name in needed:
-        good = good & F.col(name).isNotNull() & (F.col(name).cast("string") != "")
+    parsed, good = parsed_lines(lines, feed), good_lines(feed)
     return parsed.filter(good).drop("value"), parsed.filter(~good).select("value")
 
 

@@ -18,12 +18,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from passerby.operators.keyed import upsert
-from passerby.schemas import HEAT_MAP, HEAT_MAP_KEYS, LIVE_VISITS, VISIT_KEYS
-from passerby.session import delete_folder, list_folder
+from passerby.operators.heatmap import add_up
+from passerby.schemas import HEAT_MAP, HEAT_MAP_KEYS, HEAT_SKETCHES, LIVE_VISITS, SESSIONS, VISIT_KEYS
+from passerby.session import delete_folder, find_paths, list_folder
 
 BatchWriter = Callable[[DataFrame, int], None]
 ORDER = ["run", "batch_id"]
 _TABLE = "_table"
+# What a stream leaves: its layout, and the columns of which the newest row counts.
+KINDS = {"visits": (LIVE_VISITS, VISIT_KEYS), "heatmap": (HEAT_MAP, HEAT_MAP_KEYS), "sketches": (HEAT_SKETCHES, [*HEAT_MAP_KEYS, "run"])}
 
 
 def change_writer(path: str, run: int = 1) -> BatchWriter:
@@ -62,6 +65,23 @@ def live_writer(spark: SparkSession, path: str, checkpoint: str) -> BatchWriter:
     return change_writer(path, run_of(spark, path, checkpoint))
 
 
+def matched_writer(spark: SparkSession, path: str, checkpoint: str, read_history: Callable[[], DataFrame],
+                   match: Callable[[DataFrame, DataFrame], DataFrame]) -> BatchWriter:
+    """The writer of sightings matched to the access points as ``read_history`` gives them for each micro-batch.
+
+    A dimension that is joined to a stream is read when the stream starts; this
+    one is read anew every time. The stream of what is written goes on from
+    ``path``, see `read_matched`.
+    """
+    write = live_writer(spark, path, checkpoint)
+    return lambda batch, batch_id: write(match(batch, read_history()), batch_id)
+
+
+def read_matched(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """The stream of what `matched_writer` leaves."""
+    return spark.readStream.schema(layout).option("recursiveFileLookup", True).parquet(path)
+
+
 def jdbc_change_writer(run: int, **options: str) -> BatchWriter:
     """For ``foreachBatch``: appends each micro-batch with its run and number to a database table.
 
@@ -74,10 +94,10 @@ def jdbc_change_writer(run: int, **options: str) -> BatchWriter:
     return write
 
 
-def newest(changes: DataFrame, keys: list[str]) -> DataFrame:
+def newest(changes: DataFrame, keys: list[str], order: list[str] = ORDER) -> DataFrame:
     """The row of each key from the latest run and micro-batch that has one, with both numbers."""
     values = [c for c in changes.columns if c not in keys]
-    latest = F.max_by(F.struct(*values), F.struct(*ORDER)).alias("latest")
+    latest = F.max_by(F.struct(*values), F.struct(*order)).alias("latest")
     return changes.groupBy(*keys).agg(latest).select(*keys, *[f"latest.{c}" for c in values])
 
 
@@ -112,24 +132,38 @@ def read_heatmap(spark: SparkSession, path: str) -> DataFrame:
     return newest(_changes(spark, path, HEAT_MAP), HEAT_MAP_KEYS).drop(*ORDER)
 
 
+def read_heatmap_sketches(spark: SparkSession, path: str, unit: str | None = None) -> DataFrame:
+    """The heat map added up from stored sketches, by window or by ``unit`` of time.
+
+    Of each run the newest state of a window is taken, and the runs are united:
+    a window that several runs counted has the devices of all of them.
+    """
+    return add_up(newest(_changes(spark, path, HEAT_SKETCHES), [*HEAT_MAP_KEYS, "run"], ["batch_id"]), unit)
+
+
+def read_closed_visits(spark: SparkSession, path: str) -> DataFrame:
+    """The visits that an append-mode stream has closed in its newest run; each comes out once."""
+    last = max(runs(spark, path), default=0)
+    return _changes(spark, path, SESSIONS).filter(F.col("run") == last).drop(*ORDER)
+
+
 def fold_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` with all changes applied, to be written to a new place."""
     return upsert(target, newest(changes, keys).select(target.columns), keys)
 
 
 def compact(spark: SparkSession, path: str, kind: str) -> int:
-    """Folds the closed batches under ``path`` into its table; ``kind`` is visits or heatmap. Returns their number.
+    """Folds the closed batches under ``path`` into its table; ``kind`` is one of `KINDS`. Returns their number.
 
     Every batch but the newest is closed. A new version of the table is written
     beside the old one, under the number of the last batch in it, which is what
     readers go by. The batches and versions that the version before had replaced
     are deleted, so a reader that began before this one still finds its files.
     """
-    layout, keys = {"visits": (LIVE_VISITS, VISIT_KEYS), "heatmap": (HEAT_MAP, HEAT_MAP_KEYS)}[kind]
+    layout, keys = KINDS[kind]
     mark = _mark(spark, path)
-    batches = sorted((run, int(name.removeprefix("batch_id=")))
-                     for run in runs(spark, path) for name in list_folder(spark, f"{path}/run={run}")
-                     if re.fullmatch(r"batch_id=\d+", name) and "_SUCCESS" in list_folder(spark, f"{path}/run={run}/{name}"))
+    finished = (re.search(r"/run=(\d+)/batch_id=(\d+)/_SUCCESS$", found) for found in find_paths(spark, f"{path}/run=*/batch_id=*/_SUCCESS"))
+    batches = sorted((int(found[1]), int(found[2])) for found in finished if found)
     closed = [batch for batch in batches[:-1] if mark is None or batch > mark]
     if not closed:
         return 0
@@ -138,7 +172,7 @@ def compact(spark: SparkSession, path: str, kind: str) -> int:
     upto = (F.col("run") < last[0]) | ((F.col("run") == last[0]) & (F.col("batch_id") <= last[1]))
     if kind == "visits":
         upto = upto & (F.col("run") == last[0])
-    folded = newest(rows.filter(upto), keys).repartition(*keys)
+    folded = newest(rows.filter(upto), keys, [name for name in ORDER if name not in keys]).repartition(*keys)
     folded.write.mode("overwrite").parquet(f"{path}/{_TABLE}/{last[0]}-{last[1]}")
     if mark is not None:
         for run, number in batches:
@@ -151,12 +185,10 @@ def compact(spark: SparkSession, path: str, kind: str) -> int:
 
 
 def start_live(rows: DataFrame, write: BatchWriter, checkpoint: str,
-               every: str | None = "30 seconds") -> DataStreamWriter:
-    """An update-mode writer; ``every`` None takes what is there and stops.
+               every: str | None = "30 seconds", mode: str = "update") -> DataStreamWriter:
+    """A writer in update mode, or append mode for rows that come out once; ``every`` None takes what is there and stops.
 
     A new ``checkpoint`` starts from an empty state, and with `live_writer` a new run.
     """
-    writer = rows.writeStream.outputMode("update").foreachBatch(write).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
