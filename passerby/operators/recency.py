@@ -14,10 +14,19 @@ DAY_SECONDS = 24 * 60 * 60
 VISITOR = ["entityid", "clientmac"]
 
 
+def rolling_counts(rows: DataFrame, counted: dict[str, Column]) -> DataFrame:
+    """Adds how many of a visitor's rows each stem's condition counts in the 30 and 7 days that end with the row's ``day``."""
+    by_day = Window.partitionBy(*VISITOR).orderBy("day")
+    return rows.withColumns({
+        f"{stem}s{days}": F.count(F.when(condition, 1)).over(by_day.rangeBetween(1 - days, Window.currentRow))
+        for stem, condition in counted.items() for days in (30, 7)
+    })
+
+
 def _statistics(daily: DataFrame, counted: dict[str, Column]) -> DataFrame:
     """Adds the statistics of each stem over the rows of a visitor that its condition counts."""
     visitor = Window.partitionBy(*VISITOR)
-    by_day, by_month = visitor.orderBy("day"), visitor.orderBy("ufirstday")
+    by_month = visitor.orderBy("ufirstday")
     this_month = by_month.rangeBetween(Window.currentRow, Window.currentRow)
     months_before = by_month.rangeBetween(Window.unboundedPreceding, -1)
 
@@ -35,12 +44,6 @@ def _statistics(daily: DataFrame, counted: dict[str, Column]) -> DataFrame:
         before = F.last(f"{stem}_month", ignorenulls=True).over(months_before)
         return {f"{stem}sPrevMonth": F.coalesce(before, F.lit(0).cast("bigint"))}
 
-    def rolling(stem: str) -> dict[str, Column]:
-        return {
-            f"{stem}s{days}": count(stem, by_day.rangeBetween(1 - days, Window.currentRow))
-            for days in (30, 7)
-        }
-
     def ever(stem: str) -> dict[str, Column]:
         day, title = F.when(counted[stem], F.col("utoday")), stem.capitalize()
         return {
@@ -50,9 +53,9 @@ def _statistics(daily: DataFrame, counted: dict[str, Column]) -> DataFrame:
         }
 
     rows = daily.withColumn("day", day_number(F.col("utoday")))
-    for step in (month, previous_month, rolling, ever):
+    for step in (month, previous_month):
         rows = rows.withColumns(each(step))
-    return rows
+    return rolling_counts(rows, counted).withColumns(each(ever))
 
 
 def recency(daily: DataFrame, stem: str) -> DataFrame:

@@ -1,0 +1,112 @@
+"""The report kept up to date by what runs change, against the report computed from all days."""
+
+import random
+
+import pytest
+
+from helpers import frame, rows
+from passerby.plans.refresh import daily_report, publish_refresh
+from passerby.plans.visitors import compact_visitors, read_visitor_report, update_visitors, versions
+
+DAY = 86400
+START = 1704067200  # 2024-01-01
+LIMITS = "entityid int, indoor_seconds long, leave_seconds long"
+PROBES = "entityid int, file_day long, clientmac string, stime long, flag int"
+
+
+def visit(entity, mac, day, at=1000, stay=60):
+    first = START + day * DAY + at
+    return [(entity, START + day * DAY, mac, first, 1), (entity, START + day * DAY, mac, first + stay, 1)]
+
+
+def passing(entity, mac, day):
+    return [(entity, START + day * DAY, mac, START + day * DAY + 5, 0)]
+
+
+def publish(spark, root, run, probes):
+    limits = frame(spark, LIMITS, (1, 10, 300), (2, 10, 300))
+    publish_refresh(spark, frame(spark, PROBES, *probes), limits, root, run)
+    return update_visitors(spark, root, run)
+
+
+def agree(spark, root, as_of=START + 120 * DAY):
+    whole = daily_report(spark, root, as_of)
+    ours = read_visitor_report(spark, root, as_of)
+    assert ours.columns == whole.columns and rows(ours) == rows(whole) and rows(ours)
+
+
+def written(spark, root, number):
+    return rows(spark.read.parquet(f"{root}/visitors/days/version={number}"), "clientmac", "utoday")
+
+
+def test_only_what_a_run_reaches_is_written(spark, tmp_path):
+    root = str(tmp_path)
+    first = [p for mac in "abc" for day in (0, 5, 20, 33, 70, 100) for p in visit(1, mac, day)]
+    assert publish(spark, root, "r1", first) == 1
+    agree(spark, root)
+    # One visitor's further day: that day, those of the next 29, and the next month after it.
+    assert publish(spark, root, "r2", visit(1, "b", 30)) == 2
+    agree(spark, root)
+    # Day 70 lies in March; its previous month is February, which the day of January does not touch.
+    assert [(mac, (day - START) // DAY) for mac, day in written(spark, root, 2)] == [("b", 30), ("b", 33)]
+    assert rows(spark.read.parquet(f"{root}/visitors/totals/version=2"), "clientmac") == [("b",)]
+
+
+def test_late_days_reach_the_next_active_month(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "r1", [p for day in (0, 100) for p in visit(1, "a", day)] + passing(1, "a", 65))
+    agree(spark, root)
+    # The flow of day 100 looks back to March, its stay to January: a stay in February hides January.
+    publish(spark, root, "r2", visit(1, "a", 40))
+    agree(spark, root)
+    assert {(day - START) // DAY for _, day in written(spark, root, 2)} == {40, 65, 100}
+
+
+def test_a_stay_that_vanishes_and_a_run_applied_twice(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "r1", visit(1, "a", 3, at=100) + visit(1, "a", 40))
+    assert rows(read_visitor_report(spark, root, START), "indoors") == [(2,), (2,)]
+    # A sighting at midnight itself moves the stay out of its day.
+    publish(spark, root, "r2", [(1, START + 3 * DAY, "a", START + 3 * DAY, 1)])
+    agree(spark, root)
+    assert rows(read_visitor_report(spark, root, START), "indoors") == [(0,), (1,)]
+    update_visitors(spark, root, "r2")
+    agree(spark, root)
+    update_visitors(spark, root, "r1")
+    agree(spark, root)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_of_runs_is_the_whole(spark, tmp_path, seed):
+    rng, root = random.Random(seed), str(tmp_path)
+
+    def some():
+        entity, mac, day = rng.choice([1, 2]), rng.choice("abcdef"), rng.randrange(130)
+        return visit(entity, mac, day, rng.randrange(1, 80_000), rng.choice([0, 5, 60, 200])) if rng.random() < 0.6 else passing(entity, mac, day)
+
+    for run in range(3):
+        publish(spark, root, f"r{run}", [p for _ in range((120, 12, 5)[run]) for p in some()])
+    agree(spark, root)
+    agree(spark, root, START + 60 * DAY)
+    compact_visitors(spark, root)
+    assert versions(spark, root) == [4]
+    agree(spark, root)
+
+
+def test_earlier_days_are_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "r1", [p for day in range(0, 120, 10) for p in visit(1, "a", day)])
+    # Were they read, the lost day would be missing from the month before.
+    import shutil
+
+    for table in ("flow", "indoor", "rec_indoor"):
+        shutil.rmtree(tmp_path / table / f"file_day={START + 10 * DAY}")
+    publish(spark, root, "r2", visit(1, "a", 121))
+    last = read_visitor_report(spark, root, START).filter(f"utoday = {START + 121 * DAY}").first()
+    assert (last.visits, last.visits30, last.visitsPrevMonth) == (13, 3, 2) and last.FirstVisit == START
+
+
+def test_a_run_without_probes(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "r1", visit(1, "a", 0))
+    assert update_visitors(spark, root, "none") == 1 and versions(spark, root) == [1]
