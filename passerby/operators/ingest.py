@@ -1,10 +1,11 @@
 """What waits to be processed and what was."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from passerby.functions.sizes import broadcast_if_small
 from passerby.session import cut_lineage
+from passerby.sources.probes import file_entity
 
 MEGABYTE = 1024 * 1024
 # Fixed value: the name of the operation in the processing log.
@@ -56,6 +57,21 @@ def ingest_backlog(files: DataFrame, groups: int = 6) -> DataFrame:
     )
 
 
+def probe_files_found(spark: SparkSession, root: str, entities: DataFrame) -> DataFrame:
+    """``folder, path, length`` of the probe files under ``root``, and a null path for each venue without any.
+
+    The files are listed by tasks, and of each only path and length are read. A
+    venue's folder has its number for a name; one that holds no file cannot be
+    found by looking for files, so the venues are joined in. Files without a byte
+    are none.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    venue = file_entity(F.col("path")).cast("string")
+    found = listing.select(venue.alias("folder"), "path", "length").filter(F.col("folder").isNotNull())
+    folders = entities.select(F.col("entityid").cast("string").alias("folder")).distinct()
+    return found.join(folders, "folder", "full_outer").select("folder", "path", "length")
+
+
 def probe_file_name(root: str = "/data") -> Column:
     """The file that holds a venue's probes of a day."""
     date = F.date_format(F.timestamp_seconds(F.col("file_day")), "yyyyMMdd")

@@ -108,6 +108,17 @@ _CTE = {
                CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT) AS ufirstday
         FROM sessions GROUP BY entityid, clientmac, file_day""",
 }
+# What the clock of a stream shows after all events: ten minutes before the newest sighting.
+_CTE["clock"] = "SELECT max(stime) - 600 AS clock FROM indoor_probes"
+# The second span of time begins at a whole five minutes; half of the access points move then.
+_CTE["middle"] = "SELECT (low + (high - low) // 2) // 300 * 300 AS middle FROM span"
+_CTE["moved_points"] = """
+        SELECT apmac, a.entityid, inside, indoor_seconds, leave_seconds, 0 AS valid_from,
+               CASE WHEN CAST(apmac AS BIGINT) % 2 = 0 THEN middle END AS valid_to FROM access_points a, middle
+        UNION ALL
+        SELECT apmac, t.entityid, inside, t.indoor_seconds, t.leave_seconds, middle, NULL
+        FROM access_points a, middle, thresholds t
+        WHERE CAST(apmac AS BIGINT) % 2 = 0 AND t.entityid = 100000 + (a.entityid - 99999) % 25"""
 _CTE["all_indoor_days"] = _CTE["indoor_days"].replace("WHERE o_orderstatus <> 'P' ", "")
 for _name, _from in (("late", "late_probes"), ("later", "later_probes")):
     _CTE[f"{_name}_timeline"] = _CTE["timeline"].replace("FROM indoor_probes)", f"FROM {_from})")
@@ -115,6 +126,12 @@ for _name, _from in (("late", "late_probes"), ("later", "later_probes")):
 _CTE["short_timeline"] = """
         SELECT *, stime - lag(stime) OVER (PARTITION BY entityid, clientmac ORDER BY stime) AS gap FROM short_leave"""
 _CTE["short_visits"] = _CTE["visit_numbers"].replace("FROM timeline", "FROM short_timeline")
+# Of each span of time the newest sighting of a device, as the rule "latest" takes it.
+_CTE["newest_probes"] = """
+        SELECT entityid, clientmac, max(stime) AS stime FROM indoor_probes, span
+        GROUP BY entityid, clientmac, (stime >= (low + (high - low) // 3) // 300 * 300)::INT + (stime >= (low + (high - low) * 2 // 3) // 300 * 300)::INT"""
+_CTE["newest_timeline"] = _CTE["timeline"].replace("FROM indoor_probes)", "FROM newest_probes)")
+_CTE["newest_visits"] = _CTE["visit_numbers"].replace("FROM timeline", "FROM newest_timeline")
 _CTE["late_zones"] = """
         SELECT * FROM zones, cut WHERE starttime >= cut"""
 # Rows less than 30 and 7 days before count, which is 29 and 6 days in seconds.
@@ -192,9 +209,27 @@ def oracle_sql() -> dict[str, str]:
                      max(visit) OVER (PARTITION BY entityid, clientmac) AS last_visit
               FROM strict_numbers GROUP BY entityid, clientmac, visit)
         WHERE visit < last_visit""")
+    expired = _with(f"{_TIMELINE} visit_numbers clock", f"""SELECT {_VISIT}, max(stime) - min(stime) AS seconds,
+               CAST(CASE WHEN visit = max(visit) OVER (PARTITION BY entityid, clientmac)
+                          AND max(stime) + min(leave_seconds) > (SELECT clock FROM clock) THEN 0 ELSE 1 END AS INTEGER) AS done
+        FROM visit_numbers GROUP BY entityid, clientmac, visit""")
+    windowed = _with(f"{_TIMELINE} strict_numbers clock", f"""
+        SELECT clientmac, entityid, etime, ltime, CASE WHEN etime = ltime THEN 5 ELSE ltime - etime END AS seconds
+        FROM (SELECT {_VISIT}, min(leave_seconds) AS leave FROM strict_numbers
+              GROUP BY entityid, clientmac, visit), clock
+        WHERE ltime + leave <= clock""")
+    moved = _with(f"{_SIGHTED} span middle moved_points", f"""
+        SELECT {_MATCHED} FROM sightings JOIN moved_points USING (apmac)
+        WHERE rssi > inside AND rssi <= 0 AND stime >= valid_from AND (valid_to IS NULL OR stime < valid_to)""")
+    published = _with(f"{_SESSIONS} {_REPORT}", "SELECT * FROM report", flow_days="published_flow", indoor_days="published_indoor")
+
+    def sketched(seconds: int) -> str:
+        return _with(f"{_SIGHTED} zones", _counted("CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END").replace(
+            "FROM zones", f"FROM (SELECT * REPLACE (starttime // {seconds} * {seconds} AS starttime) FROM zones)"))
+
     matching = _with(f"{_SIGHTED} zones", _counted(
         "CASE WHEN indoor THEN mac END", "CASE WHEN away THEN mac END", "CASE WHEN visit THEN mac END"))
-    return {
+    every = {
         "probe_dedup": _with(_PROBES, """
             SELECT *, CAST(epoch(date_trunc('month', to_timestamp(file_day) AT TIME ZONE 'UTC')) AS BIGINT)
               AS ufirstday FROM probes"""),
@@ -306,8 +341,36 @@ def oracle_sql() -> dict[str, str]:
               AS ufirstday FROM probes"""),
         "day_publish": sessions,
         "applied_run": sessions,
-        "published_report": _with(f"{_SESSIONS} {_REPORT}", "SELECT * FROM report",
-                                  flow_days="published_flow", indoor_days="published_indoor"),
+        "published_report": published,
+        "report_by_change": published,
+        "report_compacted": published,
+        "live_visits_expiring": expired,
+        "live_visits_redelivered": _with(f"{_BASE} {_PROBES} indoor_probes span newest_probes newest_timeline newest_visits",
+                                         visits.replace("FROM visit_numbers", "FROM newest_visits")),
+        "closed_visits_windowed": windowed,
+        "zone_heatmap_hours": sketched(3600),
+        "zone_heatmap_days": sketched(86400),
+        "zone_heatmap_parted": matching,
+        "zone_heatmap_redelivered": matching,
+        "store_delete": _with(f"{_SESSIONS} long", f"SELECT {_SESSION} FROM long"),
+        "file_ingest": sessions,
+        "moved_access_points": moved,
+        "moved_access_points_stream": moved,
+        "counted_lines": _with("sightings", """
+            SELECT 1 AS run, CAST(2 * count(*) AS BIGINT) AS lines, CAST(2 * (count(*) - count(*) FILTER (good)) AS BIGINT) AS rejects,
+                   CAST(2 * count(*) FILTER (good) - count(DISTINCT (apmac, mac, rssi, stime)) FILTER (good) AS BIGINT) AS repeats,
+                   CAST(0 AS BIGINT) AS late, CAST(count(DISTINCT (apmac, mac, rssi, stime)) FILTER (good) AS BIGINT) AS rows
+            FROM (SELECT *, event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AS good FROM sightings)"""),
+        "probe_backlog": _with(f"{_BASE} {_PROBES}", """
+            SELECT CAST(position // (folders // 6 + 1) + 1 AS INTEGER) AS folder_group, CAST(sum(files) AS BIGINT) AS files,
+                   count(bytes) AS remaining_folders, count(*) - count(bytes) AS processed_folders, CAST(floor(coalesce(sum(bytes), 0) / 1048576) AS BIGINT) AS megabytes
+            FROM (SELECT *, row_number() OVER (ORDER BY folder) - 1 AS position, count(*) OVER () AS folders FROM (
+                SELECT CAST(e.entityid AS VARCHAR) AS folder, count(DISTINCT file_day) AS files,
+                       sum(length(clientmac || ',' || stime || ',' || flag) + 1) AS bytes
+                FROM entities e LEFT JOIN (SELECT * FROM probes WHERE entityid % 5 <> 0) p ON e.entityid = p.entityid GROUP BY e.entityid))
+            GROUP BY 1"""),
+        "stored_report": _with(_REPORT, "SELECT * FROM report"),
+        "report_table": _with(_REPORT, "SELECT * FROM report"),
         "closed_visits": closed,
         "closed_visits_stream": closed,
         "ingest_backlog": """
@@ -327,3 +390,4 @@ def oracle_sql() -> dict[str, str]:
                      || strftime(to_timestamp(file_day) AT TIME ZONE 'UTC', '%Y%m%d') || '.txt' AS fileName
             FROM probes"""),
     }
+    return every | {"store_upsert": every["session_upsert"], "stored_log": every["processing_log"]}

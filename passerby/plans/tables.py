@@ -13,9 +13,9 @@ class Tables:
     The tables hold times without a zone, read here as UTC.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, feed: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str, feed: str | None = None, events: DataFrame | None = None):
         self.spark, self.folder, self.feed = spark, folder, feed
-        self._frames: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame] = {} if events is None else {"events": events}
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -28,17 +28,23 @@ class Tables:
         """The same inputs with the events as a stream of what comes to ``feed``."""
         return Tables(self.spark, self.folder, feed)
 
+    def of_events(self, events: DataFrame) -> "Tables":
+        """The same inputs with some of the events."""
+        return Tables(self.spark, self.folder, events=events)
+
     def events(self) -> DataFrame:
         if self.feed is None:
             return self.read("events")
         return read_stream(self.spark, "parquet", self.read("events").schema, path=self.feed)
 
+    def event_cuts(self, parts: int = 3) -> list[int]:
+        """Where the events are cut into ``parts`` equal spans of time: whole five minutes."""
+        low, high = self.read("events").agg(F.min(_epoch("ts")), F.max(_epoch("ts"))).first()
+        return [(low + (high - low) * i // parts) // 300 * 300 for i in range(1, parts)]
+
     def event_slices(self, parts: int = 3) -> list[DataFrame]:
-        """The events in ``parts`` equal spans of time, in order; spans begin on whole five minutes."""
-        seconds = _epoch("ts")
-        low, high = self.read("events").agg(F.min(seconds), F.max(seconds)).first()
-        cuts = [(low + (high - low) * i // parts) // 300 * 300 for i in range(1, parts)]
-        ends = [None, *cuts, None]
+        """The events in ``parts`` equal spans of time, in order."""
+        seconds, ends = _epoch("ts"), [None, *self.event_cuts(parts), None]
         return [self.read("events").filter((F.lit(True) if a is None else seconds >= a) & (F.lit(True) if b is None else seconds < b))
                 for a, b in zip(ends, ends[1:], strict=False)]
 
@@ -85,6 +91,16 @@ class Tables:
             "apmac", "entityid", "rssi", "nearbyrssi", "indoor_seconds", "leave_seconds"
         )
 
+    def access_point_changes(self) -> DataFrame:
+        """The access points since ever; at the middle of the events those of even suppliers move to the next venue."""
+        middle = F.lit(self.event_cuts(2)[0]).cast("bigint")
+        start = self.access_points().withColumns({"changed_at": F.lit(0).cast("bigint"), "removed": F.lit(False), "valid_at_start": F.lit(True)})
+        moving = start.filter(F.col("apmac").cast("bigint") % 2 == 0).withColumns({"changed_at": middle, "valid_at_start": F.lit(False)})
+        left = moving.withColumn("removed", F.lit(True))
+        new = moving.withColumn("entityid", (100000 + (F.col("entityid") - 99999) % 25).cast("int")).drop("indoor_seconds", "leave_seconds").join(
+            self.thresholds(), "entityid").select(start.columns)
+        return start.unionByName(left).unionByName(new)
+
     def access_point_sources(self) -> dict[str, DataFrame]:
         """The four tables behind the access-point dimension; a box serves two venues."""
         suppliers, nations = self.read("supplier"), self.read("nation")
