@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from passerby.functions.time import month_start
 from passerby.operators import dimensions, heatmap, ingest, keyed, matching, recency, sessions
-from passerby.plans.refresh import apply_run, daily_report, publish_refresh, refresh_days
+from passerby.plans.refresh import apply_run, apply_run_in_place, daily_report, publish_refresh, refresh_days
 from passerby.plans.tables import Tables
 from passerby.schemas import SESSION_KEYS
 from passerby.plans.visitors import compact_visitors, read_visitor_report, update_visitors
@@ -489,6 +489,16 @@ def store_upsert(t: Tables) -> DataFrame:
     return read_store(t.spark, name)
 
 
+@_query
+def store_applied_run(t: Tables) -> DataFrame:
+    """`applied_run` in a bucketed table."""
+    root, first = _published(t)
+    name = f"store_{root.rsplit('/', 1)[1]}"
+    create_store(first.select(SESSION), name, f"{root}/store")
+    apply_run_in_place(t.spark, name, root, "r2")
+    return read_store(t.spark, name)
+
+
 @_query
 def store_delete(t: Tables) -> DataFrame:
     """Sessions other than long stays deleted from a stored table; days left without any go."""

@@ -341,6 +341,7 @@ def oracle_sql() -> dict[str, str]:
               AS ufirstday FROM probes"""),
         "day_publish": sessions,
         "applied_run": sessions,
+        "store_applied_run": sessions,
         "published_report": published,
         "report_by_change": published,
         "report_compacted": published,

@@ -11,6 +11,7 @@ from passerby.operators.recency import visitor_report
 from passerby.operators.sessions import flow_daily, indoor_daily, sessionize
 from passerby.schemas import DAY_KEYS, SESSION_KEYS, SESSIONS, by_day
 from passerby.session import cut_lineage, temporary_tables
+from passerby.sources.store import update_store
 from passerby.sources.tables import (
     append_probes, is_stored, on_days, read_flow_daily, read_indoor_daily, read_sessions, read_stored_probes,
     touched, write_days,
@@ -96,6 +97,15 @@ def apply_run(spark: SparkSession, target: DataFrame, root: str, run: str) -> Da
     return upsert(delete_keys(target, stale), sessions)
 
 
+def apply_run_in_place(spark: SparkSession, store: str, root: str, run: str) -> list[int]:
+    """`apply_run` on a table of `create_store`: only the days with changes are read and written. Returns them."""
+    with temporary_tables(spark):
+        days = spark.read.parquet(f"{root}/days/{run}")
+        replaced = touched(days, read_sessions(spark, f"{root}/rec_indoor"))
+        sessions = read_sessions(spark, f"{root}/rec_indoor").filter(on_days(replaced.rows)).join(replaced.days, DAY_KEYS, "left_semi")
+        return update_store(spark, store, sessions, spark.read.parquet(f"{root}/tombstones/{run}"))
+
+
 def daily_report(spark: SparkSession, root: str, as_of_day: int) -> DataFrame:
     """The visitor report over all published days under ``root``."""
     return visitor_report(

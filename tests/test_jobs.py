@@ -4,7 +4,7 @@ import pytest
 
 from helpers import frame, rows
 from passerby.plans import jobs
-from passerby.streaming.sinks import read_heatmap, read_live_visits, start_live
+from passerby.streaming.sinks import read_heatmap, read_heatmap_sketches, read_live_visits, start_live
 
 
 def test_refresh_and_report(spark, tmp_path):
@@ -31,6 +31,24 @@ def test_refresh_and_report(spark, tmp_path):
     spark.sql("DROP DATABASE jobs CASCADE")
 
 
+def test_ingest_and_report_by_changes(spark, tmp_path):
+    day, root = 1705276800, str(tmp_path / "out")
+    frame(spark, "entityid int, indoor_threshold int, leave_threshold int", (7, 20, 5)).write.parquet(str(tmp_path / "entities"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS taken LOCATION '{tmp_path}/taken'")
+    (tmp_path / "in" / "7").mkdir(parents=True)
+    for n, text in enumerate((f"aa,{day + 100},1\naa,{day + 160},1\n", f"aa,{day + 86500},1\naa,{day + 86600},1\nbb,{day + 86500},0\n")):
+        (tmp_path / "in" / "7" / f"t_cf_2024011{5 + n}.txt").write_text(text)
+        jobs.main(["ingest", "--probes", str(tmp_path / "in"), "--entities", str(tmp_path / "entities"), "--root", root, "--checkpoint", str(tmp_path / "state")])
+    for by in ("changes", "days"):
+        jobs.main(["report", "--root", root, "--as-of", "2024-01-17", "--table", f"taken.{by}", "--by", by, "--path", str(tmp_path / by)])
+    assert rows(spark.table("taken.changes")) == rows(spark.table("taken.days")) == rows(spark.read.parquet(str(tmp_path / "changes")))
+    assert rows(spark.table("taken.changes"), "clientmac", "indoors", "visits7") == [("aa", 2, 1), ("aa", 2, 2), ("bb", 0, 1)]
+    jobs.main(["compact", "--out", root, "--kind", "report"])
+    jobs.main(["report", "--root", root, "--as-of", "2024-01-17", "--table", "taken.again", "--by", "changes"])
+    assert rows(spark.table("taken.again")) == rows(spark.table("taken.days"))
+    spark.sql("DROP DATABASE taken CASCADE")
+
+
 ACCESS_POINT = "apmac string, entityid int, rssi int, nearbyrssi int, indoor_seconds long, leave_seconds long"
 
 
@@ -87,6 +105,8 @@ def test_matched_feed_and_age(spark, tmp_path, monkeypatch):
     assert rows(read_live_visits(spark, out), "clientmac", "seconds") == [("AA", 50)]
     jobs.main(["compact", "--out", out, "--kind", "visits"])
     assert rows(read_live_visits(spark, out), "clientmac") == [("AA",)]
+    out = live(spark, tmp_path, "visits", source, monkeypatch, "--feed", "matched", "--delay", "10 seconds")
+    assert rows(read_live_visits(spark, out), "clientmac", "done") == [("AA", 0), ("BB", 1)]
 
 
 def test_heat_map_job(spark, tmp_path, monkeypatch):
@@ -95,3 +115,5 @@ def test_heat_map_job(spark, tmp_path, monkeypatch):
     source = write_feed(tmp_path, "heat", [f"h,x,P,aa,-5,{now}", "h,x,P,bb,-70,2020-01-01 00:00:00"])
     out = live(spark, tmp_path, "heatmap", source, monkeypatch, "--access-points", str(tmp_path / "ap"))
     assert rows(read_heatmap(spark, out), "entityid", "indoors", "aways", "visits") == [(7, 1, 0, 0)]
+    out = live(spark, tmp_path, "heatmap", source, monkeypatch, "--access-points", str(tmp_path / "ap"), "--store", "sketches")
+    assert rows(read_heatmap_sketches(spark, out, "day"), "entityid", "indoors", "aways", "visits") == [(7, 1, 0, 0)]
