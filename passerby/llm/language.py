@@ -91,13 +91,12 @@ class Trie:
         rows[np.repeat(np.arange(len(words)), sizes), column] = self.characters[points]
         return rows
 
-    def walk(self, rows: np.ndarray, first: int = 0, end: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """All pieces of all words, by their start: (start, length, words, piece numbers); only those that start in a range, if asked.
+    def walk(self, rows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """All pieces of all words, by their start: (start, length, words, piece numbers).
 
         Where no single character is a piece, the character is one of number -1.
         """
-        last = rows.shape[1] - 1
-        for start in range(first, last if end is None else min(end, last)):
+        for start in range(rows.shape[1] - 1):
             words = np.flatnonzero(rows[:, start] >= 0)
             state = self.first[rows[words, start]]
             lone = self.piece[state] < 0
@@ -118,37 +117,101 @@ class Trie:
                 length += 1
 
 
+    def spans(self, row: np.ndarray, first: int, end: int) -> np.ndarray:
+        """For each start in a range of one word, the numbers of its pieces by length; `NO_PIECE` where there is none."""
+        starts = np.arange(first, min(end, len(row) - 1))
+        found = np.full((len(starts), self.reach), NO_PIECE)
+        state, alive = self.first[row[starts]], np.arange(len(starts))
+        for length in range(1, self.reach + 1):
+            number = self.piece[state]
+            found[alive, length - 1] = np.where(number >= 0, number, -1 if length == 1 else NO_PIECE)
+            letter = row[np.minimum(starts[alive] + length, len(row) - 1)]
+            state = np.where((letter >= 0) & (letter < self.next.shape[1]), self.next[state, np.clip(letter, 0, self.next.shape[1] - 1)], 0)
+            alive, state = alive[state > 0], state[state > 0]
+            if not len(alive):
+                break
+        return found
+
+
 trie_of = functools.cache(Trie)
+#: Marks a length for which there is no piece.
+NO_PIECE = -2
+#: A longer word is taken by itself, all its starts together.
+LONG = 128
+
+
+def _weights(trie: Trie, row: np.ndarray, first: int, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of the starts of one part of a word, and their chances, 0 where there is no piece."""
+    found = trie.spans(row, first, first + PART)
+    return found, np.where((found == NO_PIECE)[:, :, None], 0.0, chances[found])
+
+
+def forward_one(trie: Trie, row: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`forward` for one word of any length, with a scale for each place."""
+    size = len(row) - 1
+    total, scale = np.zeros((size + trie.reach + 1, chances.shape[1])), np.zeros((size + 1, chances.shape[1]))
+    total[0], level = 1.0, np.zeros(chances.shape[1])
+    for first in range(0, size, PART):
+        for start, weights in enumerate(_weights(trie, row, first, chances)[1], first):
+            if start % BLOCK == 0:
+                most = total[start:start + trie.reach].max(axis=0)
+                total[start:start + trie.reach] /= most
+                level = level + np.log(most)
+            scale[start] = level
+            total[start + 1:start + 1 + trie.reach] += total[start] * weights
+    scale[size] = level
+    return total[:size + 1], scale
+
+
+def expected_one(trie: Trie, row: np.ndarray, chances: np.ndarray, count: float) -> np.ndarray:
+    """`expected` for one word of any length."""
+    ahead, scale = (values[:, 0] for values in forward_one(trie, row, chances[:, None]))
+    size, used = len(row) - 1, np.zeros(len(chances))
+    back, levels = np.zeros(size + trie.reach + 1), np.append(scale, np.full(trie.reach, scale[-1]))
+    back[size] = count / ahead[size]
+    for first in range((size - 1) // PART * PART, -1, -PART):
+        found, weights = _weights(trie, row, first, chances[:, None])
+        rests = np.zeros(found.shape)
+        for at in range(len(found) - 1, -1, -1):
+            start = first + at
+            after = slice(start + 1, start + 1 + trie.reach)
+            rests[at] = back[after] * weights[at, :, 0] * np.exp(levels[start] - levels[after])
+            back[start] = rests[at].sum()
+        held = found != NO_PIECE
+        used += np.bincount(found[held] % len(chances), (ahead[first:first + len(found), None] * rests)[held], len(chances))
+    return used[:-1]
 
 
 #: At every so many places of a word what has been added up is scaled anew, so that no product leaves the range of a double.
 BLOCK = 16
-#: Places of a word whose steps are kept together on the way back.
-PART = 256
+#: Starts of a long word whose pieces are looked up together.
+PART = 1024
 
 
 def forward(rows: np.ndarray, steps, chances: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Chance of each beginning of each word, by language, all ways of cutting it added up, and the logarithm it is scaled by.
+    """Chance of each beginning of each word, by language, all ways of cutting it added up, and the logarithms it is scaled by.
 
     ``chances`` has a row for each piece and a last one for lone characters; no
     piece is longer than ``reach``. The steps come by their start, so a place is
     complete before it is used. The chance itself is the value times e to the
-    power of the scale.
+    power of the scale of the place's block.
     """
     total = np.zeros((*rows.shape, chances.shape[1]))
-    scale = np.zeros_like(total)
     total[:, 0] = 1.0
-    done = 0
+    scale = np.zeros((len(rows), rows.shape[1] // BLOCK + 1, chances.shape[1]))
+    block = 0
     for start, length, words, numbers in steps:
-        if start >= done + BLOCK:
-            done = start
+        if start >= (block + 1) * BLOCK:
+            block += 1
+            scale[:, block] = scale[:, block - 1]
             alive = rows[:, start] >= 0
             # What the places from here on have got so far came from before.
             part = total[alive, start:start + reach]
             most = part.max(axis=1)
             total[alive, start:start + reach] = part / most[:, None]
-            scale[alive, start:] += np.log(most)[:, None]
+            scale[alive, block] += np.log(most)
         total[words, start + length] += total[words, start] * chances[numbers]
+    scale[:, block + 1:] = scale[:, block:block + 1]
     return total, scale
 
 
@@ -158,16 +221,16 @@ def ends_of(rows: np.ndarray) -> np.ndarray:
 
 def expected(rows: np.ndarray, trie: Trie, chances: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """How often each piece is used in one language, over all ways of cutting all words."""
+    if rows.shape[1] > LONG:
+        return sum(expected_one(trie, row[:ends_of(row[None])[0] + 1], chances, count) for row, count in zip(rows, counts, strict=True))
     ahead, scale = (values[:, :, 0] for values in forward(rows, trie.walk(rows), chances[:, None], trie.reach))
     back, every, ends = np.zeros(rows.shape), np.arange(len(rows)), ends_of(rows)
     back[every, ends] = counts / ahead[every, ends]
     used = np.zeros(len(chances))
-    # The steps again from the last to the first, a part at a time: those of a very long word are never all there.
-    for first in range((rows.shape[1] - 1) // PART * PART, -1, -PART):
-        for start, length, words, numbers in reversed(list(trie.walk(rows, first, first + PART))):
-            rest = back[words, start + length] * chances[numbers] * np.exp(scale[words, start] - scale[words, start + length])
-            back[words, start] += rest
-            used += np.bincount(numbers % len(chances), ahead[words, start] * rest, len(chances))
+    for start, length, words, numbers in reversed(list(trie.walk(rows))):
+        rest = back[words, start + length] * chances[numbers] * np.exp(scale[words, start // BLOCK] - scale[words, (start + length) // BLOCK])
+        back[words, start] += rest
+        used += np.bincount(numbers % len(chances), ahead[words, start] * rest, len(chances))
     return used[:-1]
 
 
@@ -187,7 +250,8 @@ def batches_of(words: list[str], wide: int = 1) -> Iterator[list[int]]:
     while first < len(order):
         # Lengths ascend, so the last word taken is the widest.
         last = first + 1
-        while last < len(order) and (last + 1 - first) * (len(words[order[last]]) + 2) * wide <= TOGETHER:
+        while last < len(order) and (last + 1 - first) * (len(words[order[last]]) + 2) * wide <= TOGETHER and (
+                (len(words[order[first]]) + 2 > LONG) == (len(words[order[last]]) + 2 > LONG)):
             last += 1
         yield order[first:last]
         first = last
@@ -216,9 +280,14 @@ class Model:
         trie, out = trie_of(self.vocabulary), np.zeros((len(words), len(self.languages)))
         for part in batches_of(words, len(self.languages)):
             rows = trie.spell([words[i] for i in part])
+            if rows.shape[1] > LONG:
+                for i, row in zip(part, rows, strict=True):
+                    total, scale = forward_one(trie, row[:ends_of(row[None])[0] + 1], self.chances)
+                    out[i] = np.log(total[-1]) + scale[-1]
+                continue
             total, scale = forward(rows, trie.walk(rows), self.chances, trie.reach)
-            at = np.arange(len(rows)), ends_of(rows)
-            out[part] = np.log(total[at]) + scale[at]
+            every, ends = np.arange(len(rows)), ends_of(rows)
+            out[part] = np.log(total[every, ends]) + scale[every, ends // BLOCK]
         return out
 
 
