@@ -64,23 +64,25 @@ class OpenVisits(StatefulProcessor):
             writer.write_table(table)
         self.state.update((sink.getvalue().to_pybytes(), timer))
 
-    def _changed(self, visits, done: int):
-        """Rows of the output; under the trigger rule ended visits alone."""
-        if self.strict:
-            visits = visits[visits["done"] == 1] if done < 0 else visits
+    def _over(self, visits, timerValues):
+        """Which of the open visits have ended, as no sighting that is still accepted can go on with them."""
+        return (visits["ltime"] + visits["leave_seconds"]) * 1000 <= timerValues.getCurrentWatermarkInMs()
+
+    def _rows(self, visits):
+        """The output's rows of visits with ``done``; under the trigger rule of ended ones alone."""
         seconds = visits["ltime"] - visits["etime"]
         if self.strict:
             seconds = seconds.where(seconds != 0, self.floor_seconds)
-        out = visits.assign(seconds=seconds)
-        if done >= 0:
-            out = out.assign(done=done)
-        return out[["clientmac", "entityid", "etime", "ltime", "seconds", "done"]].astype({"entityid": "int32", "done": "int32"})
+        out = visits.assign(seconds=seconds)[["clientmac", "entityid", "etime", "ltime", "seconds", "done"]]
+        return (out[out["done"] == 1] if self.strict else out).astype({"entityid": "int32", "done": "int32"})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         import numpy as np
         import pandas as pd
 
         held, timer = self._load()
+        over = self._over(held, timerValues)
+        ended, held = held[over].assign(done=1), held[~over]
         new = pd.concat([frame[[*KEYS, "stime", "leave_seconds"]] for frame in rows])
         # Each second of a device once, with its shortest leave time.
         new = new.groupby([*KEYS, "stime"], as_index=False)["leave_seconds"].min()
@@ -94,25 +96,26 @@ class OpenVisits(StatefulProcessor):
         first = both["clientmac"].ne(both["clientmac"].shift()) | both["entityid"].ne(both["entityid"].shift())
         gap = both["etime"] - both["ltime"].shift(fill_value=0)
         begins = first | (gap > both["leave_seconds"] if self.strict else gap >= both["leave_seconds"])
-        number = begins.cumsum()
-        visits = both.groupby(number.to_numpy(), sort=True).agg(
+        visits = both.groupby(begins.cumsum().to_numpy(), sort=True).agg(
             entityid=("entityid", "first"), clientmac=("clientmac", "first"), etime=("etime", "first"), ltime=("ltime", "last"),
             leave_seconds=("leave_seconds", "last"), fresh=("fresh", "max"))
-        last = np.append((visits["clientmac"].to_numpy()[1:] != visits["clientmac"].to_numpy()[:-1])
-                         | (visits["entityid"].to_numpy()[1:] != visits["entityid"].to_numpy()[:-1]), True)
+        # All visits of a device but its last are done.
+        names, venues = visits["clientmac"].to_numpy(), visits["entityid"].to_numpy()
+        last = np.append((names[1:] != names[:-1]) | (venues[1:] != venues[:-1]), True)
         visits = visits.assign(done=np.where(last, 0, 1)).astype({"entityid": "int64", "etime": "int64", "ltime": "int64", "leave_seconds": "int64"})
         self._store(visits.loc[last, [*KEYS, "etime", "ltime", "leave_seconds"]], timer)
-        changed = self._changed(visits[(visits["fresh"] == 1) | (visits["done"] == 1)], -1)
-        if len(changed):
-            yield changed
+        changed = visits[(visits["fresh"] == 1) | (visits["done"] == 1)]
+        for out in (self._rows(part) for part in (ended, changed) if len(part)):
+            if len(out):
+                yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         held, _ = self._load()
-        over = (held["ltime"] + held["leave_seconds"]) * 1000 <= timerValues.getCurrentWatermarkInMs()
+        over = self._over(held, timerValues)
         # The timer that has fired is gone by itself.
         self._store(held[~over], None)
         if over.any():
-            yield self._changed(held[over], 1)
+            yield self._rows(held[over].assign(done=1))
 
     def close(self) -> None:
         pass

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import frame, rows
 from passerby.operators.heatmap import add_up, zone_heatmap, zone_sketches
 from passerby.sources.feeds import read_stream
-from passerby.streaming.counts import batch_counts, counted_feed, once, read_counts, write_counts
+from passerby.streaming.counts import CountLog, batch_counts, counted_feed, once, read_counts, write_counts
 from passerby.streaming.sinks import compact, live_writer, read_heatmap_sketches, run_of, start_live
 
 AP = "apmac string, entityid int, rssi int, nearbyrssi int"
@@ -105,3 +105,23 @@ def test_every_line_is_a_row_a_reject_a_repeat_or_late(spark, tmp_path):
     assert all(row.rejects == sum(text == "broken" or ",x," in text for text in batch) for row, batch in zip(log, batches, strict=True))
     assert log[0].repeats > 0 and log[2].late > 0 and log[0].late == log[1].late == 0
     assert spark.read.parquet(path).count() == sum(row.rows for row in log)
+
+
+def test_a_listener_writes_the_counts_of_every_batch(spark, tmp_path):
+    import time
+
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    listener = CountLog(spark, log, lambda name: int(name.rpartition("-")[2]))
+    spark.streams.addListener(listener)
+    try:
+        frame(spark, "value string", ("r,ap,m,-5,t,2024-01-15 20:00:00\nbroken",)).write.parquet(folder)
+        feed = counted_feed(read_stream(spark, "parquet", "value string", path=folder), "raw", "updatingtime")
+        start_live(feed, live_writer(spark, str(tmp_path / "out"), str(tmp_path / "s")), str(tmp_path / "s"), every=None, mode="append").queryName(
+            "counted-7").start().awaitTermination()
+        for _ in range(100):
+            if list((tmp_path / "log").glob("run=*/batch_id=*/_SUCCESS")):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert rows(read_counts(spark, log), "run", "batch_id", "lines", "rejects", "repeats", "late", "rows") == [(7, 0, 2, 1, 0, 0, 1)]
