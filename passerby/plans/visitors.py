@@ -15,7 +15,7 @@ A version counts when its totals, which are written last, are complete.
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,7 +172,8 @@ def read_visitor_report(spark: SparkSession, root: str, as_of_day: int) -> DataF
     totals = _stored(spark, root, "totals").repartition(*VISITOR).groupBy(*VISITOR).agg(F.max_by("months", "version").alias("months"))
     here = F.col("secondsbyday").isNotNull()
     age = F.lit(as_of_day) - F.col("utoday")
-    recent = days.groupBy(*VISITOR).agg(*[F.count(F.when(here & (age < n * DAY_SECONDS), 1)).alias(f"r_indoors{n}") for n in (7, 30)])
+    visitor = Window.partitionBy(*VISITOR)
+    days = days.withColumns({f"r_indoors{n}": F.count(F.when(here & (age < n * DAY_SECONDS), 1)).over(visitor) for n in (7, 30)})
 
     def every(name: str, fold) -> Column:
         return fold(F.transform("months", lambda m: m[name]))
@@ -183,8 +184,7 @@ def read_visitor_report(spark: SparkSession, root: str, as_of_day: int) -> DataF
     known = totals.select(
         *VISITOR, every("first_visit", F.array_min).alias("FirstVisit"), every("last_visit", F.array_max).alias("LastVisit"), total("visits").alias("visits"),
         every("first_indoor", F.array_min).alias("FirstIndoor"), every("last_indoor", F.array_max).alias("LastIndoor"), total("indoors").alias("indoors"))
-    met = days.join(known, VISITOR).join(recent, VISITOR)
-    return met.select(
+    return days.join(known, VISITOR).select(
         *VISITOR, "utoday", "ufirstday",
         *[F.when(here, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c) for c in INDOOR_MEASURES], *FLOW_MEASURES)
 

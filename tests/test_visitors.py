@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from helpers import frame, rows
+from helpers import frame, rows, shuffles
 from passerby.plans.refresh import daily_report, publish_refresh
 from passerby.plans.visitors import compact_visitors, read_visitor_report, update_visitors, versions
 
@@ -106,6 +106,17 @@ def test_earlier_days_are_not_read(spark, tmp_path):
     assert (last.visits, last.visits30, last.visitsPrevMonth) == (13, 3, 2) and last.FirstVisit == START
 
 
+def test_reading_takes_one_shuffle_of_the_days_and_one_of_the_totals(spark, tmp_path):
+    root = str(tmp_path)
+    for run, day in (("r1", 0), ("r2", 30)):
+        publish(spark, root, run, visit(1, "a", day))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(read_visitor_report(spark, root, START)) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_run_without_probes(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, root, "r1", visit(1, "a", 0))
