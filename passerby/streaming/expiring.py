@@ -1,124 +1,20 @@
 """Live visits that end by time, with state that ends with them.
 
-Devices are dealt over slots, and the state of a slot is one table of its open
-visits. So a micro-batch costs one Python call for each slot, whatever the
-number of devices, and the visits of all devices of a slot are found together.
 Where the watermark passes a visit's end plus its leave time, no sighting that
-is still accepted can go on with it: an event-time timer closes it, and its
-state is gone.
+is still accepted can go on with it: an event-time timeout of its slot closes
+it, and its state is gone. The state is that of `slots`, so no state store of a
+certain kind is asked for.
 """
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from passerby.operators.sessions import known_sightings
 from passerby.streaming.live import fold_batches
+from passerby.streaming.slots import OUTPUT, SLOTS, STATE, advanced, dealt, distinct_seconds, held_visits, hold, shown
 
-SLOTS = 256
 RULES = ("current", "trigger")
-KEYS = ["entityid", "clientmac"]
-_OUTPUT = "clientmac string, entityid int, etime bigint, ltime bigint, seconds bigint, done int"
-
-
-class OpenVisits(StatefulProcessor):
-    """The open visits of one slot: entityid, clientmac, etime, ltime, leave_seconds, one row a device."""
-
-    def __init__(self, rule: str, floor_seconds: int):
-        self.strict, self.floor_seconds = rule == "trigger", floor_seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("visits", "visits binary, timer bigint")
-
-    def _load(self):
-        import pandas as pd
-        import pyarrow as pa
-
-        stored = self.state.get() if self.state.exists() else None
-        if stored is None:
-            return pd.DataFrame({"entityid": [], "clientmac": [], "etime": [], "ltime": [], "leave_seconds": []}), None
-        return pa.ipc.open_stream(stored[0]).read_pandas(), stored[1]
-
-    def _store(self, visits, timer: int | None) -> None:
-        """Keeps the open visits, with one timer for the one that ends first; without any, nothing."""
-        import pyarrow as pa
-
-        if not len(visits):
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.state.clear()
-            return
-        # Fires when the watermark has reached the end, as timers do that lie before it.
-        due = int((visits["ltime"] + visits["leave_seconds"]).min()) * 1000 - 1
-        if timer is None or due < timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(due)
-            timer = due
-        table = pa.Table.from_pandas(visits, preserve_index=False)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as writer:
-            writer.write_table(table)
-        self.state.update((sink.getvalue().to_pybytes(), timer))
-
-    def _over(self, visits, timerValues):
-        """Which of the open visits have ended, as no sighting that is still accepted can go on with them."""
-        return (visits["ltime"] + visits["leave_seconds"]) * 1000 <= timerValues.getCurrentWatermarkInMs()
-
-    def _rows(self, visits):
-        """The output's rows of visits with ``done``; under the trigger rule of ended ones alone."""
-        seconds = visits["ltime"] - visits["etime"]
-        if self.strict:
-            seconds = seconds.where(seconds != 0, self.floor_seconds)
-        out = visits.assign(seconds=seconds)[["clientmac", "entityid", "etime", "ltime", "seconds", "done"]]
-        return (out[out["done"] == 1] if self.strict else out).astype({"entityid": "int32", "done": "int32"})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        held, timer = self._load()
-        over = self._over(held, timerValues)
-        ended, held = held[over].assign(done=1), held[~over]
-        new = pd.concat([frame[[*KEYS, "stime", "leave_seconds"]] for frame in rows])
-        # Each second of a device once, with its shortest leave time.
-        new = new.groupby([*KEYS, "stime"], as_index=False)["leave_seconds"].min()
-        new = new.rename(columns={"stime": "etime"}).assign(ltime=new["stime"], fresh=1)
-        both = pd.concat([held.assign(fresh=0), new], ignore_index=True) if len(held) else new
-        both = both.sort_values([*KEYS, "fresh", "etime"], kind="stable", ignore_index=True)
-        if len(held):
-            # A sighting that is not newer than the open visit's end is ignored.
-            end = both["ltime"].where(both["fresh"] == 0).groupby([both["entityid"], both["clientmac"]]).transform("max")
-            both = both[(both["fresh"] == 0) | end.isna() | (both["etime"] > end)].reset_index(drop=True)
-        first = both["clientmac"].ne(both["clientmac"].shift()) | both["entityid"].ne(both["entityid"].shift())
-        gap = both["etime"] - both["ltime"].shift(fill_value=0)
-        begins = first | (gap > both["leave_seconds"] if self.strict else gap >= both["leave_seconds"])
-        visits = both.groupby(begins.cumsum().to_numpy(), sort=True).agg(
-            entityid=("entityid", "first"), clientmac=("clientmac", "first"), etime=("etime", "first"), ltime=("ltime", "last"),
-            leave_seconds=("leave_seconds", "last"), fresh=("fresh", "max"))
-        # All visits of a device but its last are done.
-        names, venues = visits["clientmac"].to_numpy(), visits["entityid"].to_numpy()
-        last = np.append((names[1:] != names[:-1]) | (venues[1:] != venues[:-1]), True)
-        visits = visits.assign(done=np.where(last, 0, 1)).astype({"entityid": "int64", "etime": "int64", "ltime": "int64", "leave_seconds": "int64"})
-        self._store(visits.loc[last, [*KEYS, "etime", "ltime", "leave_seconds"]], timer)
-        changed = visits[(visits["fresh"] == 1) | (visits["done"] == 1)]
-        for out in (self._rows(part) for part in (ended, changed) if len(part)):
-            if len(out):
-                yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
-        held, _ = self._load()
-        over = self._over(held, timerValues)
-        # The timer that has fired is gone by itself.
-        self._store(held[~over], None)
-        if over.any():
-            yield self._rows(held[over].assign(done=1))
-
-    def close(self) -> None:
-        pass
 
 
 def expiring_visits(sightings: DataFrame, rule: str = "current", delay: str = "10 minutes", slots: int = SLOTS,
@@ -136,11 +32,38 @@ def expiring_visits(sightings: DataFrame, rule: str = "current", delay: str = "1
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
+
+    def advance(key, frames, state):
+        import pandas as pd
+
+        watermark = state.getCurrentWatermarkMs()
+
+        def over(visits):
+            """Which visits have ended, as no sighting that is still accepted can go on with them."""
+            return (visits["ltime"] + visits["leave_seconds"]) * 1000 <= watermark
+
+        held, timed_out = held_visits(state), state.hasTimedOut
+        gone = over(held)
+        changed, held = [held[gone].assign(done=1)], held[~gone]
+        if not timed_out:
+            visits = advanced(held, distinct_seconds(frames), rule)
+            visits["done"] = visits["done"].where(~over(visits), 1)
+            changed.append(visits[(visits["fresh"] == 1) | (visits["done"] == 1)])
+            held = visits[visits["done"] == 0]
+        if len(held):
+            hold(state, held)
+            # Fires when the watermark has reached the end, as timeouts do that lie before it.
+            state.setTimeoutTimestamp(int((held["ltime"] + held["leave_seconds"]).min()) * 1000 - 1)
+        elif state.exists:
+            state.remove()
+        out = shown(pd.concat(changed), rule, floor_seconds)
+        if len(out):
+            yield out
+
     folded = fold_batches(known_sightings(sightings), latest=False)
-    slot = F.pmod(F.xxhash64(*KEYS), F.lit(slots)).cast("int")
     return (
-        folded.withColumns({"slot": slot, "seen": F.timestamp_seconds("stime")})
+        dealt(folded, slots).withColumn("seen", F.timestamp_seconds("stime"))
         .withWatermark("seen", delay)
         .groupBy("slot")
-        .transformWithStateInPandas(OpenVisits(rule, floor_seconds), _OUTPUT, "Update", "EventTime")
+        .applyInPandasWithState(advance, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
     )

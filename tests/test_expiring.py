@@ -121,3 +121,17 @@ def test_as_of_takes_the_leave_time_of_the_last_sighting(spark):
     assert rows(live_visits_batch(seen, as_of=349), "clientmac", "done") == [("a", 0), ("b", 0)]
     assert rows(live_visits_batch(seen, as_of=350), "clientmac", "done") == [("a", 1), ("b", 0)]
     assert rows(closed_visits(seen, as_of=500), "clientmac", "seconds") == [("a", 100), ("b", 5)]
+
+
+@pytest.mark.parametrize("provider", ["HDFSBackedStateStoreProvider", "RocksDBStateStoreProvider"])
+def test_any_state_store_will_do(spark, tmp_path, provider):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"org.apache.spark.sql.execution.streaming.state.{provider}")
+    try:
+        batches = [[(1, "a", 1000, 300), (1, "b", 1000, 300)], [(1, "b", 1250, 300), (2, "z", 1400, 300)]]
+        fed(spark, tmp_path, batches, lambda s: expiring_visits(s, delay="10 seconds", slots=2))
+    finally:
+        spark.conf.set(name, before)
+    assert rows(read_live_visits(spark, str(tmp_path / "out")), *VISIT, "done") == [
+        ("a", 1, 1000, 1000, 0, 1), ("b", 1, 1000, 1250, 250, 0), ("z", 2, 1400, 1400, 0, 0)]
