@@ -2,18 +2,17 @@
 
 Before the shuffle each Arrow batch is reduced to one row per device, venue and
 second, so a device that sends a large share of a micro-batch is mostly folded
-where it is read. The state handler then holds the distinct seconds of one key
-in one micro-batch and never its sightings.
+where it is read. The state handler, see `slots`, then holds the distinct seconds
+of one slot of devices in one micro-batch and never its sightings.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from passerby.operators.sessions import known_sightings
+from passerby.streaming.slots import OUTPUT, SLOTS, STATE, advanced, dealt, distinct_seconds, held_visits, hold, shown
 
 RULES = ("current", "latest", "trigger")
-_STATE = "etime bigint, ltime bigint"
-_OUTPUT = "clientmac string, entityid int, etime bigint, ltime bigint, seconds bigint, done int"
 
 
 def fold_batches(sightings: DataFrame, latest: bool) -> DataFrame:
@@ -35,7 +34,7 @@ def fold_batches(sightings: DataFrame, latest: bool) -> DataFrame:
     return columns.mapInArrow(fold, columns.schema)
 
 
-def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int = 5) -> DataFrame:
+def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int = 5, slots: int = SLOTS) -> DataFrame:
     """Visits changed by each micro-batch, for a streaming sink in update mode.
 
     ``sightings`` streams entityid, clientmac, stime and leave_seconds. A row
@@ -55,72 +54,21 @@ def live_visits(sightings: DataFrame, rule: str = "current", floor_seconds: int
 
     State is kept for every device and venue seen since the start. A new
     checkpoint location starts with none; starting anew each night keeps the
-    state to a day's devices.
+    state to a day's devices. ``slots`` is fixed by the first checkpoint: some
+    for every core.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
-    latest, trigger = rule == "latest", rule == "trigger"
-
-    def distinct_seconds(frames):
-        """Each second once, in order, with its shortest leave time."""
-        import numpy as np
-
-        def folded(parts):
-            seconds = np.concatenate([part[0] for part in parts])
-            leaves = np.concatenate([part[1] for part in parts])
-            order = np.lexsort((leaves, seconds))
-            seconds, leaves = seconds[order], leaves[order]
-            first = np.append(True, seconds[1:] != seconds[:-1])
-            return seconds[first], leaves[first]
-
-        parts, kept, waiting = [], 0, 0
-        for frame in frames:
-            parts.append((frame["stime"].to_numpy(np.int64), frame["leave_seconds"].to_numpy(np.int64)))
-            waiting += len(frame)
-            if waiting > max(kept, 100_000):
-                parts, waiting = [folded(parts)], 0
-                kept = len(parts[0][0])
-        seconds, leaves = folded(parts)
-        return (seconds[-1:], leaves[-1:]) if latest else (seconds, leaves)
 
     def advance(key, frames, state):
-        import numpy as np
-        import pandas as pd
-
-        entityid, clientmac = key
-        seconds, leaves = distinct_seconds(frames)
-        starts, ends = np.empty(0, np.int64), np.empty(0, np.int64)
-        if state.exists:
-            etime, ltime = state.get
-            if not latest:
-                newer = seconds > ltime
-                seconds, leaves = seconds[newer], leaves[newer]
-            starts, ends = np.array([etime]), np.array([ltime])
-        if len(seconds) == 0:
-            return
-        gaps = seconds - np.append(ends[-1:] if len(ends) else seconds[:1], seconds[:-1])
-        begins = np.flatnonzero(gaps > leaves if trigger else gaps >= leaves)
-        if len(starts) == 0:
-            begins = np.union1d(begins, [0])
-        # Sightings up to the first beginning extend the visit that was open.
-        bounds = np.append(begins, len(seconds))
-        if len(starts) and bounds[0] > 0:
-            ends = seconds[bounds[0] - 1:bounds[0]]
-        starts = np.append(starts, seconds[begins]).astype(np.int64)
-        ends = np.append(ends, seconds[bounds[1:] - 1]).astype(np.int64)
-        state.update((int(starts[-1]), int(ends[-1])))
-        visits = pd.DataFrame({
-            "clientmac": clientmac, "entityid": np.int32(entityid), "etime": starts, "ltime": ends,
-            "seconds": ends - starts, "done": np.append(np.ones(len(starts) - 1), 0).astype(np.int32),
-        })
-        if trigger:
-            visits = visits[visits["done"] == 1]
-            visits["seconds"] = visits["seconds"].where(visits["seconds"] != 0, floor_seconds)
-        if len(visits):
-            yield visits
+        visits = advanced(held_visits(state), distinct_seconds(frames, rule == "latest"), rule)
+        hold(state, visits[visits["done"] == 0])
+        out = shown(visits[(visits["fresh"] == 1) | (visits["done"] == 1)], rule, floor_seconds)
+        if len(out):
+            yield out
 
     return (
-        fold_batches(known_sightings(sightings), latest)
-        .groupBy("entityid", "clientmac")
-        .applyInPandasWithState(advance, _OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout)
+        dealt(fold_batches(known_sightings(sightings), rule == "latest"), slots)
+        .groupBy("slot")
+        .applyInPandasWithState(advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
     )
