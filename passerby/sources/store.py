@@ -43,11 +43,11 @@ def read_store(spark: SparkSession, name: str) -> DataFrame:
 
 
 def changed_store(store: DataFrame, upserts: DataFrame, deletes: DataFrame) -> DataFrame:
-    """The rows of ``store`` with the changes applied; a key that is in both is put in."""
+    """The rows of ``store`` with the changes applied; a key that is in both is put in, one put in twice as its longest row."""
     values = [name for name in SESSIONS.names if name not in SESSION_KEYS]
     put = _filed(upserts.select(*SESSIONS.names)).withColumn("gone", F.lit(False))
     changes = put.unionByName(_filed(deletes.select(*SESSION_KEYS)).withColumn("gone", F.lit(True)), allowMissingColumns=True)
-    newest = changes.groupBy(*SESSION_KEYS, "file_day").agg(F.min_by(F.struct("gone", *values), "gone").alias("change"))
+    newest = changes.groupBy(*SESSION_KEYS, "file_day").agg(F.max_by(F.struct("gone", *values), F.struct(~F.col("gone"), *values)).alias("change"))
     met = store.join(newest.withColumnRenamed("file_day", "change_day"), SESSION_KEYS, "full_outer")
     # A row that is only stored has no change, one that is only a change no stored day.
     kept = met.filter(F.col("change").isNull() | ~F.col("change.gone"))
@@ -60,8 +60,9 @@ def changed_store(store: DataFrame, upserts: DataFrame, deletes: DataFrame) -> D
 def update_store(spark: SparkSession, name: str, upserts: DataFrame, deletes: DataFrame) -> list[int]:
     """Applies changes to the store; returns the days that were written again.
 
-    ``upserts`` hold a key once and are stored or computed cheaply, as their days
-    are looked up first. After a failure apply the same changes again.
+    ``upserts`` are stored or computed cheaply, as their days are looked up first;
+    of rows with the same key the longest is put in. After a failure apply the
+    same changes again.
     """
     days = sorted(row.file_day for row in _filed(upserts.select("etime").unionByName(deletes.select("etime"))).select("file_day").distinct().collect())
     if not days:

@@ -94,3 +94,11 @@ def test_a_key_in_both_is_put_in(spark, store):
     name, _ = store
     update_store(spark, name, sessions(spark, ("m1", 1, DAY + 1, 5)), frame(spark, "entityid int, clientmac string, etime long", (1, "m1", DAY + 1)))
     assert rows(read_store(spark, name).filter(f"etime = {DAY + 1}"), "seconds") == [(5,)]
+
+
+@pytest.mark.parametrize("lengths", [(0, 60), (60, 0)])
+def test_a_key_put_in_twice_is_kept_as_its_longest_row(spark, store, lengths):
+    name, _ = store
+    put = sessions(spark, *[("m1", 1, DAY + 1, seconds) for seconds in lengths]).coalesce(1)
+    update_store(spark, name, put, frame(spark, "entityid int, clientmac string, etime long"))
+    assert rows(read_store(spark, name).filter(f"etime = {DAY + 1} AND clientmac = 'm1'"), "ltime", "seconds") == [(DAY + 61, 60)]
