@@ -65,11 +65,13 @@ def _stored(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def touched_visitors(probes: DataFrame) -> DataFrame:
-    """Visitors with their touched days: ``days`` in order, and the ``months`` of these."""
+    """Visitors with the numbers of their touched days, ``days`` in order, the ``touched_months`` of these, and the first of both."""
     day = F.col("file_day")
     return probes.select(*VISITOR, "file_day").distinct().groupBy(*VISITOR).agg(
-        F.array_sort(F.collect_set(day)).alias("days"),
+        F.array_sort(F.collect_set(day_number(day))).alias("days"),
         F.array_sort(F.collect_set(month_start(day))).alias("touched_months"),
+        F.min("file_day").alias("first_day"),
+        F.min(month_start(day)).alias("first_month"),
     )
 
 
@@ -108,7 +110,7 @@ def update_visitors(spark: SparkSession, root: str, run: str) -> int:
         number = max(versions(spark, root), default=0) + 1
         probes = read_stored_probes(spark, f"{root}/t_cf").filter(F.col("run") == run)
         touched = cut_lineage(touched_visitors(probes))
-        first = touched.agg(F.min(F.get("days", F.lit(0)))).first()[0]
+        first = touched.agg(F.min("first_day")).first()[0]
         if first is None:
             return number - 1
         _compute(spark, root, touched, first).write(number)
@@ -126,14 +128,17 @@ class _Version:
 
 def _compute(spark: SparkSession, root: str, touched: DataFrame, first: int) -> _Version:
     """What ``touched`` days change; no day before the month of ``first``, and 29 days before it, is read."""
-    known = broadcast_if_small(touched)
+    # Rows carry the first touched day and month alone; the lists meet them once, at the end.
+    firsts = ["first_day", "first_month"]
+    known = broadcast_if_small(touched.select(*VISITOR, day_number(F.col("first_day")).cast("int").alias("first_day"), "first_month"))
     # The bound prunes the scan; a day more on account of clock changes.
     bound = F.least(month_start(F.lit(first)), F.lit(first - (REACH + 1) * DAY_SECONDS))
-    own_first = F.get("days", F.lit(0))
-    needed = (F.col("ufirstday") >= month_start(own_first)) | (day_number(F.col("utoday")) >= day_number(own_first) - REACH)
+    day = F.col("day")
+    needed = (F.col("ufirstday") >= F.col("first_month")) | (day >= F.col("first_day") - REACH)
 
     def of_these(rows: DataFrame, seconds: Column) -> DataFrame:
-        filed = rows.filter(F.col("file_day") >= bound).select(*VISITOR, "utoday", "ufirstday", seconds.cast("bigint").alias("seconds"))
+        filed = rows.filter(F.col("file_day") >= bound).select(
+            *VISITOR, "utoday", "ufirstday", seconds.cast("bigint").alias("seconds"), day_number(F.col("utoday")).alias("day"))
         return filed.join(known, VISITOR).filter(needed)
 
     rows = cut_lineage(of_these(read_flow_daily(spark, f"{root}/flow"), F.lit(None)).unionByName(
@@ -141,23 +146,21 @@ def _compute(spark: SparkSession, root: str, touched: DataFrame, first: int) ->
     stored = _stored(spark, root, "totals").join(known.select(*VISITOR), VISITOR, "left_semi")
     before = stored.groupBy(*VISITOR).agg(F.max_by("months", "version").alias("before"))
     none = F.array().cast(T.ArrayType(_month_layout()))
-    earlier = F.filter(F.coalesce("before", none), lambda m: m["month"] < F.get("touched_months", F.lit(0)))
-    fresh = _months(rows.filter(F.col("ufirstday") >= F.get("touched_months", F.lit(0))))
-    totals = cut_lineage(touched.join(before, VISITOR, "left").join(fresh, VISITOR, "left").select(
-        *VISITOR, F.concat(earlier, F.coalesce("fresh", none)).alias("months")))
+    earlier = F.filter(F.coalesce("before", none), lambda m: m["month"] < F.col("first_month"))
+    fresh = _months(rows.filter(F.col("ufirstday") >= F.col("first_month")))
+    every = cut_lineage(touched.join(before, VISITOR, "left").join(fresh, VISITOR, "left").select(
+        *VISITOR, F.concat(earlier, F.coalesce("fresh", none)).alias("months"), "days", "touched_months"))
 
     stayed = F.col("seconds").isNotNull()
-    day = F.col("day")
-    counted = rolling_counts(rows.withColumn("day", day_number(F.col("utoday"))), {"visit": ~stayed, "indoor": stayed})
+    counted = rolling_counts(rows, {"visit": ~stayed, "indoor": stayed})
     # A day's stay beside its flow: one row of each at most.
-    daily = counted.groupBy(*VISITOR, "utoday", "ufirstday", "day").agg(
+    daily = counted.groupBy(*VISITOR, "utoday", "ufirstday", "day", *firsts).agg(
         F.sum("seconds").alias("secondsbyday"), F.max(~stayed).alias("seen"),
-        *[F.max(name).alias(name) for name in ("visits30", "visits7", "indoors30", "indoors7")], F.first("days").alias("days"),
-        F.first("touched_months").alias("touched_months")).filter("seen")
-    within = F.exists("days", lambda c: (day >= day_number(c)) & (day <= day_number(c) + REACH))
-    reached = daily.filter(day >= day_number(own_first)).join(broadcast_if_small(totals), VISITOR).filter(within | _reached("visit") | _reached("indoor"))
+        *[F.max(name).alias(name) for name in ("visits30", "visits7", "indoors30", "indoors7")]).filter("seen")
+    within = F.exists("days", lambda c: (day >= c) & (day <= c + REACH))
+    reached = daily.filter(day >= F.col("first_day")).join(broadcast_if_small(every), VISITOR).filter(within | _reached("visit") | _reached("indoor"))
     days = reached.withColumns({"visitsPrevMonth": _previous("visit"), "indoorsPrevMonth": _previous("indoor")})
-    return _Version(root, days.select(*_days_layout().names[:-2], "ufirstday"), totals)
+    return _Version(root, days.select(*_days_layout().names[:-2], "ufirstday"), every.select(*VISITOR, "months"))
 
 
 def read_visitor_report(spark: SparkSession, root: str, as_of_day: int) -> DataFrame:

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from helpers import frame, rows, shuffles
+from helpers import frame, physical, rows, shuffles
+from passerby.plans import visitors
 from passerby.plans.refresh import daily_report, publish_refresh
 from passerby.plans.visitors import compact_visitors, read_visitor_report, update_visitors, versions
 
@@ -121,3 +122,14 @@ def test_a_run_without_probes(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, root, "r1", visit(1, "a", 0))
     assert update_visitors(spark, root, "none") == 1 and versions(spark, root) == [1]
+
+
+def test_lists_of_days_are_not_carried_through_the_windows(spark, tmp_path):
+    root = str(tmp_path)
+    probes = [p for mac in "ab" for day in (3, 40) for p in visit(1, mac, day)]
+    publish(spark, root, "r1", probes)
+    touched = visitors.touched_visitors(frame(spark, PROBES, *probes))
+    days = visitors._compute(spark, root, touched, START + 3 * DAY).days
+    # With a list in it a row cannot be folded in a hash table.
+    assert days.count() == 4 and "Window" in physical(days) and "SortAggregate" not in physical(days)
+    assert all("days" not in line for line in physical(days).splitlines() if "Window" in line)
